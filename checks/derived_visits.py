@@ -20,11 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and their ``k``; few partitions are spread over the cores before the work."""
+    events = table(spark, sf_dir, "events")
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:
+        events = events.repartition(cores)
+    return events.withColumn("k", F.get_json_object("props", "$.k"))
+
+
 def _by_k(cases: dict, otherwise: Column) -> Column:
     result = F
     for k, value in cases.items():
         value = value if isinstance(value, Column) else F.lit(value)
-        result = result.when(F.col("k") == k, value)
+        # Compared as text: a JSON parse per case would cost more than the checked operator.
+        result = result.when(F.col("props") == f'{{"k": {k}}}', value)
     return result.otherwise(otherwise)
 
 
@@ -109,9 +119,7 @@ def _json_hits() -> Column:
 def raw_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw export, 13 text columns."""
     k = F.col("k")
-    numbered = table(spark, sf_dir, "events").withColumn(
-        "k", F.get_json_object("props", "$.k"))
-    return numbered.select(
+    return _events(spark, sf_dir).select(
         _by_k({"7": None, "21": f"user {PLACEHOLDER}", "22": ""},
               F.col("user_id").cast("string")).alias("fullVisitorId"),
         _by_k({"13": None}, F.col("event_id").cast("string")).alias("visitId"),
@@ -137,20 +145,12 @@ def raw_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_visits_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``visitId`` and ``hits``, the latter written as true JSON."""
-    numbered = table(spark, sf_dir, "events").withColumn(
-        "k", F.get_json_object("props", "$.k"))
-    return numbered.select(
+    return _events(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("visitId"), _json_hits().alias("hits"))
 
 
 def write_lot(visits: DataFrame, folder: str) -> int:
-    """Append visits to a folder; returns how many files the folder then holds.
-
-    Data that fills fewer partitions than LOTS is spread first, so that there are enough
-    files for several batches; larger data is written as it is read.
-    """
-    if visits.rdd.getNumPartitions() < LOTS:
-        visits = visits.repartition(LOTS)
+    """Append visits to a folder; returns how many files the folder then holds."""
     visits.write.mode("append").parquet(folder)
     return len(visits.sparkSession.read.parquet(folder).inputFiles())
 

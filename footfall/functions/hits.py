@@ -25,8 +25,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NO_HIT = (None, None, None, None)
 
-# What may stand outside the quotes of a literal that is also JSON but for its spelling.
-_PLAIN_TOKENS = re.compile(r"(?:[\[\]{}:, \0]|True|False|None|-?[0-9]+(?:\.[0-9]+)?)*+")
+# Unclosed strings, and words that are values in JSON but not in a Python literal.
+_NOT_OUTSIDE = ("'", '"', "true", "false", "null", "NaN", "Infinity")
+_STRING = re.compile(r"""('[^']*'|"[^"]*")""")
 _NOT_BRACKETS = re.compile(r"[^\[\]{}]+")
 # The Python parser gives up at 200 nested brackets, the JSON parser only later.
 _SAFE_DEPTH = 100
@@ -41,17 +42,24 @@ def _nesting(outside: str) -> int:
 
 
 def _respell_as_json(text: str) -> str | None:
-    """The same literal as JSON text, or None if the two could differ in any way.
+    """The same literal as JSON text, or None if that could change its meaning.
 
-    Without double quotes and backslashes every string is a plain single-quoted one, so
-    splitting at the quotes separates strings (odd pieces) from all else (even pieces).
+    Without backslashes a string ends at its own quote, so the text splits into strings
+    (odd pieces) and all else (even pieces); if all strings are single-quoted, a plain
+    split at the quotes will do.  What is no JSON after that fails to parse (adjacent or
+    triple-quoted strings, say); what is, means the same in both languages.
     """
-    if text[0] not in "[{" or '"' in text or "\\" in text or "\0" in text:
+    if text[0] not in "[{" or text[-1] not in "]}" or "\\" in text or "\0" in text:
         return None
-    pieces = text.split("'")
+    if '"' in text:
+        pieces = _STRING.split(text)
+        pieces[1::2] = [string[1:-1].replace('"', '\\"') for string in pieces[1::2]]
+    else:
+        pieces = text.split("'")
     outside = "\0".join(pieces[::2])
-    if not _PLAIN_TOKENS.fullmatch(outside):
-        return None
+    for unexpected in _NOT_OUTSIDE:
+        if unexpected in outside:
+            return None
     if outside.count("[") + outside.count("{") > _SAFE_DEPTH and _nesting(outside) > _SAFE_DEPTH:
         return None
     outside = outside.replace("True", "true").replace("False", "false").replace("None", "null")

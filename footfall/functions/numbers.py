@@ -3,23 +3,23 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Optional sign and digits, a point, more digits; blanks and control characters around.
-_FRACTION = r"^[\s\p{Cntrl}]*([+-]?\d*)\.\d*[\s\p{Cntrl}]*$"
+_DIGITS = "^-?[0-9]+$"
+# Blanks or control characters around; maybe a sign; digits, of which those after a point
+# do not count.
+_SPELLED_OTHERWISE = (
+    r"^[\s\p{Cntrl}]*(?<sign>[+-]?)(?:(?<whole>\d*)\.\d*|(?<digits>\d+))[\s\p{Cntrl}]*$"
+)
 
 
 def lenient_int(value: Column) -> Column:
     """Integer part of the number in a text ("2.5" is 2); NULL for bad text or overflow.
 
-    ``try_cast`` rejects fractions, so those are cut at the point in a second try.
-    Like a non-ANSI cast, a text with nothing before the point (".5") is 0.
+    Like a non-ANSI cast, a text with nothing before the point (".5") is 0.  Texts are
+    matched first because a ``try_cast`` that fails builds an exception for every row.
     """
-    whole = F.regexp_extract(value, _FRACTION, 1)
-    has_fraction = F.regexp_like(value, F.lit(_FRACTION))
-    return F.coalesce(
-        value.try_cast("int"),
-        F.when(has_fraction & whole.isin("", "+", "-"), F.lit(0)),
-        F.when(has_fraction, whole.try_cast("int")),
-    )
+    respelled = F.regexp_replace(value, _SPELLED_OTHERWISE, "${sign}0${whole}${digits}")
+    number = F.when(value.rlike(_DIGITS), value).when(value.rlike(_SPELLED_OTHERWISE), respelled)
+    return number.try_cast("int")
 
 
 def lenient_double(value: Column) -> Column:
