@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from checks.derived_visits import raw_lots, raw_visits, raw_visits_json, table, write_lot
 from footfall import contract
 from footfall.functions import (
-    first_hit, lenient_double, lenient_int, normalize_json_list, normalize_json_map, parse_totals,
+    date_parts, first_hit, lenient_double, lenient_int, normalize_json_list, normalize_json_map,
+    parse_day, parse_totals,
 )
 from footfall.operators import (
     column_profile, drop_columns, drop_rows_missing, keep_columns, nullify_placeholders,
@@ -67,7 +68,7 @@ def chunked_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     split_csv(spark, f"{folder}/whole", f"{folder}/parts", rows_per_file)
     key = F.col("o_orderkey").cast("long")
     return (
-        read_csv(spark, f"{folder}/parts")
+        read_csv(spark, f"{folder}/parts", recursiveFileLookup=False)
         .groupBy(F.col("parte").cast("long").alias("chunk"), "_metadata.file_path")
         .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
         .groupBy("chunk")
@@ -134,14 +135,12 @@ def lenient_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("date_parts")
-def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parts_of_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     numeric = F.date_format("o_orderdate", "yyyyMMdd").cast("int")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", numeric.alias("date"))
-    # Dates only: the dimension is built from distinct ones and joined back by text.
-    days = date_dimension(orders).withColumn("key", F.date_format("date", "yyyyMMdd").cast("int"))
     return (
-        orders.withColumnRenamed("date", "key").join(days, "key")
-        .select("o_orderkey", "date", "year", "month", "day", "weekday")
+        table(spark, sf_dir, "orders")
+        .select("o_orderkey", parse_day(numeric).alias("date"))
+        .select("o_orderkey", "date", *date_parts(F.col("date")))
     )
 
 

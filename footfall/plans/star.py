@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall import contract
-from footfall.functions.dates import parse_day
+from footfall.functions.dates import date_parts, parse_day
 from footfall.operators.profile import table_counts
 from footfall.operators.rows import union_lots
 from footfall.sources.tables import export_table, read_table, write_table
@@ -24,18 +24,8 @@ def visit_facts(kpi: DataFrame) -> DataFrame:
 
 def date_dimension(kpi: DataFrame) -> DataFrame:
     """One row per distinct raw date, so each unreadable date is an all-NULL row."""
-    day = F.col("date")
-    return (
-        kpi.select("date").distinct()
-        .select(parse_day(F.col("date")).alias("date"))
-        .select(
-            "date",
-            F.year(day).alias("year"),
-            F.month(day).alias("month"),
-            F.dayofmonth(day).alias("day"),
-            F.date_format(day, "EEEE").alias("weekday"),
-        )
-    )
+    days = kpi.select("date").distinct().select(parse_day(F.col("date")).alias("date"))
+    return days.select("date", *date_parts(F.col("date")))
 
 
 def visitor_dimension(kpi: DataFrame) -> DataFrame:

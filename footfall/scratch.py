@@ -23,8 +23,16 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh, not yet existing folder below :func:`shared_root`."""
-    return f"{shared_root(spark)}/footfall/{purpose}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing folder below :func:`shared_root`.
+
+    All of them lie in one folder per application, which is removed when it ends.
+    """
+    root = f"{shared_root(spark)}/footfall-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    storage = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if storage.mkdirs(path):
+        storage.deleteOnExit(path)
+    return f"{root}/{purpose}-{uuid.uuid4().hex}"
 
 
 def new_database(spark: SparkSession, purpose: str) -> str:

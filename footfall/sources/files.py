@@ -5,8 +5,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
-# Quoted fields may span lines; a quote inside one is doubled.
-CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
+# Quoted fields may span lines; a quote inside one is doubled.  A folder stands for all
+# files below it, and names of sub-folders (as ``split_csv`` makes) add no column.
+CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "recursiveFileLookup": True}
 
 # Parser limits for lots with very large fields.
 WIDE_CSV_OPTIONS = {"maxCharsPerColumn": 10_000_000, "maxColumns": 10_000}
