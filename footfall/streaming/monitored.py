@@ -3,7 +3,9 @@
 import os
 import time
 import traceback
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ def run_monitored_kpi(
     target: str | None = None,
     files_per_batch: int = 1,
     on_error: str = "skip",
+    attempts: int = 3,
     dialect: str = "python_literal",
 ) -> None:
     """Process the new Parquet files of ``source``; hand progress events to ``emit``.
@@ -32,9 +35,10 @@ def run_monitored_kpi(
     the KPI rows, counts those and writes them.  Without ``target`` they are only counted.
 
     A batch has its own folder ``<target>/lote-<n>``, overwritten if the batch is repeated;
-    ``read_accumulated`` reads them all.  With ``on_error="skip"`` a failed batch gives an
-    ``error`` event naming its files, and its rows are missing from the result; ``"fail"``
-    also stops the run, so that a restart repeats the batch.
+    ``read_accumulated`` reads them all.  A batch that fails is tried again, for the cause
+    may be the cluster and not the files.  If it fails for good, an ``error`` event names
+    its files; with ``on_error="skip"`` the run goes on without their rows, with ``"fail"``
+    it stops, so that a restart repeats the batch.  A failing ``emit`` always stops it.
     """
     if on_error not in ("skip", "fail"):
         raise ValueError(f"on_error must be 'skip' or 'fail', not {on_error!r}")
@@ -47,10 +51,10 @@ def run_monitored_kpi(
         paths = sorted(row["path"] for row in listing.collect())
         lot = {"lote_id": batch_id + 1}
         names = [os.path.basename(path) for path in paths]
+        send({"evento": contract.BATCH_STARTED, **lot, "archivos": names})
+        folder = f"{target.rstrip('/')}/lote-{batch_id + 1:06d}" if target else None
         try:
-            send({"evento": contract.BATCH_STARTED, **lot, "archivos": names})
-            folder = f"{target.rstrip('/')}/lote-{batch_id + 1:06d}" if target else None
-            send(*({**event, **lot} for event in _one_pass(spark, paths, folder, dialect)))
+            report = _retried(lambda: _one_pass(spark, paths, folder, dialect), attempts)
         except Exception as error:
             send({
                 "evento": contract.BATCH_FAILED, **lot, "archivos": names,
@@ -58,6 +62,8 @@ def run_monitored_kpi(
             })
             if on_error == "fail":
                 raise
+        else:
+            send(*({**event, **lot} for event in report))
 
     glob = {"pathGlobFilter": "*.parquet"}
     present = spark.read.format("binaryFile").options(**glob).load(source).inputFiles()
@@ -81,6 +87,18 @@ def run_monitored_kpi(
     query.awaitTermination()
 
 
+def _retried(work: Callable[[], list[dict]], attempts: int) -> list[dict]:
+    """The result of ``work``, tried again after any failure but a wrong set of columns."""
+    for _ in range(attempts - 1):
+        try:
+            return work()
+        except AnalysisException:
+            raise
+        except Exception:
+            continue
+    return work()
+
+
 def _one_pass(
     spark: SparkSession, paths: list[str], folder: str | None, dialect: str
 ) -> list[dict]:

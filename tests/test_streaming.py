@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from footfall import contract
 from footfall.plans import visit_kpi
 from footfall.sources import read_accumulated, read_parquet
+from footfall.streaming import monitored
 from footfall.streaming import (
     append_new_kpi, as_json_lines, decode_events, deliver_events, event_rows, json_event_log,
     kafka_event_sink, kafka_event_source, read_event_log, rebuild_kpi, run_monitored_kpi,
@@ -119,6 +120,33 @@ def test_a_stopped_run_repeats_the_failed_batch(spark, lots, tmp_path):
     assert kept == visit_kpi(read_parquet(spark, lots)).count()
 
 
+def test_a_batch_survives_passing_failures(spark, lots, tmp_path, monkeypatch):
+    calls, really = [], monitored._one_pass
+
+    def shaky(*args):
+        calls.append(args)
+        if len(calls) % 3:
+            raise RuntimeError("executor lost")
+        return really(*args)
+
+    monkeypatch.setattr(monitored, "_one_pass", shaky)
+    events = run(spark, lots, tmp_path)
+    assert len(calls) == 9 and "error" not in [e["evento"] for e in events]
+    assert read_accumulated(spark, f"{tmp_path}/kpi").count() == 5
+
+
+def test_a_failing_sink_stops_the_run(spark, lots, tmp_path):
+    def emit(events):
+        if events.filter(F.col("evento") == "fin_lote").count():
+            raise RuntimeError("no broker")
+
+    folders = f"{tmp_path}/progress", f"{tmp_path}/kpi"
+    with pytest.raises(PySparkException, match="no broker"):
+        run_monitored_kpi(spark, lots, emit, *folders)
+    run_monitored_kpi(spark, lots, lambda events: None, *folders)
+    assert read_accumulated(spark, f"{tmp_path}/kpi").count() == 5
+
+
 def test_on_error_is_checked(spark):
     with pytest.raises(ValueError, match="on_error"):
         run_monitored_kpi(spark, "x", print, "y", on_error="ignore")
