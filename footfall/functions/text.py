@@ -6,4 +6,4 @@ from footfall.contract import PLACEHOLDER
 
 def null_if_placeholder(value: Column, placeholder: str = PLACEHOLDER) -> Column:
     """NULL when the text contains the placeholder anywhere (case-sensitive)."""
-    return F.when(F.contains(value, F.lit(placeholder)), F.lit(None)).otherwise(value)
+    return F.when(value.contains(placeholder), None).otherwise(value)

@@ -10,9 +10,13 @@ from footfall.contract import PLACEHOLDER
 from footfall.functions.text import null_if_placeholder
 
 
+def quoted(name: str) -> str:
+    """A column's exact name as text for ``select``, also when it holds dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def column(name: str) -> Column:
-    """Reference by exact name, also when the name holds dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -23,19 +27,20 @@ def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 def keep_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Keep those of the columns that exist (case-sensitive), in the order of ``names``."""
     present = set(df.columns)
-    return df.select([column(name) for name in names if name in present])
+    return df.select([quoted(name) for name in names if name in present])
 
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> None:
-    missing = [name for name in names if name not in df.columns]
+    present = df.columns
+    missing = [name for name in names if name not in present]
     if missing:
-        raise AnalysisException(f"missing column(s) {missing}; the input has {df.columns}")
+        raise AnalysisException(f"missing column(s) {missing}; the input has {present}")
 
 
 def map_string_columns(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
     """Apply ``change`` to every string column in one projection; others pass through."""
     return df.select([
-        change(column(name)).alias(name) if dtype == "string" else column(name)
+        change(column(name)).alias(name) if dtype == "string" else quoted(name)
         for name, dtype in df.dtypes
     ])
 
