@@ -5,6 +5,7 @@ know when querying them: the fact keeps ``date`` as raw text while the date dime
 has a real date; a visitor has one row per engagement type; the fact holds no page.
 """
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,10 +85,15 @@ def build_star(
         tables.channel: channel_dimension(kpi),
         tables.page: page_dimension(kpi),
     }
-    for name, df in derived.items():
-        write_table(df, name)
+
+    def store(name: str) -> None:
+        write_table(derived[name], name)
         if export_to:
             export_table(spark, name, f"{export_to.rstrip('/')}/{name.split('.')[-1]}")
+
+    # Jobs of their own threads share the cluster; small dimensions need not wait for the fact.
+    with ThreadPoolExecutor(len(derived)) as threads:
+        list(threads.map(store, derived))
     return table_counts({
         name.split(".")[-1]: read_table(spark, name) for name in tables.all()
     })

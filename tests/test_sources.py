@@ -1,4 +1,8 @@
-from footfall.scratch import new_database, new_folder
+from types import SimpleNamespace
+
+import pytest
+
+from footfall.scratch import new_database, new_folder, shared_root
 from footfall.sources import (
     accumulate_parquet, export_table, read_accumulated, read_parquet, read_table, table_bytes,
     write_table,
@@ -42,3 +46,15 @@ def test_tables_are_replaced(spark):
 def test_scratch_lies_in_the_shared_folder(spark):
     assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    def session(master, setting=None, directory=None):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: setting),
+            sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: directory))
+
+    assert shared_root(session("spark://host", "hdfs:/a/")) == "hdfs:/a"
+    assert shared_root(session("yarn", None, "hdfs:/b")) == "hdfs:/b"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(session("yarn"))
