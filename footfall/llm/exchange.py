@@ -10,6 +10,7 @@ Chunks are written to the shared folder first: they keep their numbers when a ta
 or an executor is lost.
 """
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from footfall.scratch import write_aside
 
@@ -24,9 +27,6 @@ CHUNK_BYTES = 3 << 20
 BUCKET_BYTES = 16 << 20
 CHUNK_SCHEMA = "chunk long, n_rows long, n_bytes long, data binary"
 
-_ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
-
-
 def slices(batch: pa.RecordBatch, text: str = "text",
            limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into parts whose texts have about ``limit`` bytes; a longer text is one part."""
@@ -46,7 +46,8 @@ def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[bytes | None]:
 
 def packed(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=_ZSTD) as writer:
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
         writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -91,9 +92,9 @@ def bucket_cuts(ascending: np.ndarray, n_buckets: int) -> np.ndarray:
 
 
 def chunk_rows(chunks: DataFrame, task: Callable[[int, pa.RecordBatch], Iterable[dict]],
-               schema: str) -> DataFrame:
+               schema: str | StructType) -> DataFrame:
     """Rows that ``task(chunk, documents)`` makes of each chunk, as dicts of columns."""
-    columns = _arrow_schema(schema)
+    schema, columns = _schemas(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,20 +105,23 @@ def chunk_rows(chunks: DataFrame, task: Callable[[int, pa.RecordBatch], Iterable
     return chunks.select("chunk", "data").mapInArrow(run, schema)
 
 
-def bucket_rows(asked: DataFrame, task: Callable[[pa.Table], dict], schema: str) -> DataFrame:
+def bucket_rows(asked: DataFrame, task: Callable[[pa.Table], dict],
+                schema: str | StructType) -> DataFrame:
     """Rows that ``task`` makes of all rows of a bucket."""
-    columns = _arrow_schema(schema)
+    schema, columns = _schemas(schema)
     return asked.groupBy("bucket").applyInArrow(
         lambda table: pa.Table.from_pydict(task(table), schema=columns), schema)
 
 
 def answered_rows(chunks: DataFrame, answers: DataFrame,
-                  task: Callable[[pa.RecordBatch, pa.Table], dict], schema: str) -> DataFrame:
-    """Rows that ``task(documents, answers)`` makes of each chunk and its answers."""
-    columns = _arrow_schema(schema)
+                  task: Callable[[int, pa.RecordBatch, pa.Table], dict],
+                  schema: str | StructType) -> DataFrame:
+    """Rows that ``task(chunk, documents, answers)`` makes of each chunk and its answers."""
+    schema, columns = _schemas(schema)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = [task(unpacked(data.as_buffer()), right) for data in left["data"]]
+        parts = [task(chunk.as_py(), unpacked(data.as_buffer()), right)
+                 for chunk, data in zip(left["chunk"], left["data"], strict=True)]
         tables = [pa.Table.from_pydict(part, schema=columns) for part in parts]
         return pa.concat_tables(tables) if tables else columns.empty_table()
 
@@ -128,17 +132,24 @@ def answered_rows(chunks: DataFrame, answers: DataFrame,
     )
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose results have been written.
+
+    Spark removes them when the driver's JVM collects the plans that made them, which a long job
+    with few objects may put off until its end.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def numbers(value: pa.Scalar, dtype: str) -> np.ndarray:
     """A binary value as an array."""
     return np.frombuffer(value.as_buffer(), dtype=dtype) if value.is_valid else np.empty(0, dtype)
 
 
-def _arrow_schema(schema: str) -> pa.Schema:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary(),
-             "string": pa.string(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()),
-             "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32())}
-    fields = [field.strip().rsplit(" ", 1) for field in schema.split(",")]
-    return pa.schema([(name, kinds[kind]) for name, kind in fields])
+def _schemas(schema: str | StructType) -> tuple[StructType, pa.Schema]:
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return schema, to_arrow_schema(schema)
 
 
 def crc_rest(column: Column | str, divisor: int) -> Column:

@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import decontaminate, language, packing, quality, secrets, url_filter
+from footfall.llm import (
+    decontaminate, language, lm, neardup, packing, quality, secrets, substrings, url_filter, vectors,
+)
 from footfall.llm.exchange import crc_rest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +111,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.learn(docs, labels, METADATA)
     return quality.score_quality(docs, model, METADATA, keep=["doc_id"]).withColumn(
         "keep", F.col("score") >= 0.5)
+
+
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.drop_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return kept.select("doc_id", "n_words", "n_removed",
+                       F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op3_minhash_dedup")
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_lm_score")
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op5_embedding_dedup")
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.vector_duplicates(table(spark, sf_dir, "embeddings"))
