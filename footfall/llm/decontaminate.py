@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from footfall.llm.exchange import slices, texts_of
+from footfall.llm.exchange import hidden, shown, slices, texts_of
 from footfall.llm.words import PLAIN, Words, mix, words_of
 from footfall.scratch import write_aside
 
@@ -165,9 +165,10 @@ def item_windows(benchmark: DataFrame, item: str, text: str, window: int) -> Dat
 def _pass(docs: DataFrame, windows: DataFrame, kept: list[str]) -> DataFrame:
     """One search of ``docs``; ``windows`` is of bounded size, see :func:`contamination`."""
     spark = docs.sparkSession
+    names = [f"_k{i}" for i in range(len(kept))]
     built = build_patterns((row.window, row.item) for row in windows.toLocalIterator())
     sets = spark.sparkContext.broadcast([astuple(patterns) for patterns in built])
-    fields = docs.select(*kept).schema
+    fields = docs.select(*names).schema
     result = StructType.fromDDL(RESULT)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,8 +184,9 @@ def _pass(docs: DataFrame, windows: DataFrame, kept: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(rest.columns + found.columns,
                                                  rest.schema.names + found.schema.names)
 
-    return docs.select(*kept, "_text").mapInArrow(
+    found = docs.select(*names, "_text").mapInArrow(
         run, StructType(list(fields.fields) + list(result.fields)))
+    return found.select(*shown(kept), *result.names)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
@@ -209,7 +211,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     """
     names = [n.split()[0] for n in RESULT.split(",")]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    rows = docs.select(*kept, F.col(text).alias("_text"))
+    rows = docs.select(*hidden(kept), F.col(text).alias("_text"))
     windows = write_aside(item_windows(benchmark, item, item_text, window), "windows")
     n_bytes = windows.agg(F.sum(F.length("window") + F.length("item") + 64)).first()[0] or 0
     parts = -(-int(n_bytes) // pass_bytes)
@@ -219,7 +221,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     found = None
     for number in range(parts):
         part = windows.where(F.pmod(F.xxhash64("window", "item"), F.lit(parts)) == number)
-        one = _pass(rows, part, ["_row"]).where("n_hit > 0 OR n_words > 0")
+        one = _pass(rows.select(F.col("_row").alias("_k0"), "_text"), part, ["_row"])
         found = one if found is None else found.unionByName(one)
     merged = found.groupBy("_row").agg(
         F.max("n_words").alias("n_words"),
@@ -239,7 +241,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     merged = merged.select("_row", "n_words", "items", runs.alias("runs"))
     zero = F.lit(0).cast("long")
     return rows.join(merged, "_row", "left").select(
-        *kept, F.coalesce("n_words", zero).alias("n_words"),
+        *shown(kept), F.coalesce("n_words", zero).alias("n_words"),
         F.coalesce(F.aggregate("runs", zero, lambda acc, r: acc + r["b"] - r["a"]), zero)
         .alias("n_hit"),
         F.coalesce(F.array_sort(F.array_distinct("items")), F.array().cast("array<string>"))

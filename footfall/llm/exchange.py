@@ -152,6 +152,16 @@ def _schemas(schema: str | StructType) -> tuple[StructType, pa.Schema]:
     return schema, to_arrow_schema(schema)
 
 
+def hidden(kept: list[str]) -> list[Column]:
+    """A caller's columns under names that no operator uses."""
+    return [F.col(f"`{name}`").alias(f"_k{i}") for i, name in enumerate(kept)]
+
+
+def shown(kept: list[str]) -> list[Column]:
+    """The columns of :func:`hidden` under their own names."""
+    return [F.col(f"_k{i}").alias(name) for i, name in enumerate(kept)]
+
+
 def crc_rest(column: Column | str, divisor: int) -> Column:
     """crc32 of a number's text, modulo ``divisor``; NULL for NULL."""
     column = F.col(column) if isinstance(column, str) else column

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from footfall.llm.exchange import slices
+from footfall.llm.exchange import hidden, shown, slices
 
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
@@ -197,7 +197,8 @@ def identify(docs: DataFrame, model: Centroids, text: str = "text",
     replaced.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in RESULT.names]
-    fields = docs.select(*kept).schema
+    rows = docs.select(*hidden(kept), F.col(text).alias("_text"))
+    fields = rows.drop("_text").schema
     shared = docs.sparkSession.sparkContext.broadcast(
         (model.langs, model.vectors, model.idf, model.least))
 
@@ -223,5 +224,5 @@ def identify(docs: DataFrame, model: Centroids, text: str = "text",
                          pa.array((score < least) | (n_letters == 0), pa.bool_())],
                         [*rest.schema.names, *RESULT.names])
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(
-        run, StructType(list(fields.fields) + list(RESULT.fields)))
+    found = rows.mapInArrow(run, StructType(list(fields.fields) + list(RESULT.fields)))
+    return found.select(*shown(kept), *RESULT.names)

@@ -6,11 +6,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BinaryType, LongType, StructField, StructType,
-)
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from footfall.llm.exchange import slices, texts_of
+from footfall.llm.exchange import hidden, shown, slices, texts_of
 from footfall.llm.words import words_of
 
 CAPACITY = 2048
@@ -178,8 +177,8 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, text: str = "text",
     names = [f.name for f in PIECE.fields]
     kept = [c for c in docs.columns if c != text] if keep is None else keep
     kept = [c for c in kept if c not in names]
-    rows = docs.select(*kept, F.col(text).alias("_text"))
-    fields = docs.select(*kept).schema
+    rows = docs.select(*hidden(kept), F.col(text).alias("_text"))
+    fields = rows.drop("_text").schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -212,10 +211,10 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, text: str = "text",
     def _batch(packer: Packer, schema: pa.Schema) -> pa.RecordBatch:
         rows, packer.rows = packer.rows, []
         columns = [pa.array([r[0][i] for r in rows], field.type) for i, field in enumerate(schema)]
-        columns += [pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()),
-                    pa.array([r[0][-1] for r in rows], pa.int64()),
-                    pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int64()),
-                    pa.array([r[5] for r in rows], pa.binary())]
+        own = [(r[1], r[2], r[0][-1], r[3], r[4], r[5]) for r in rows]
+        columns += [pa.array(values, to_arrow_type(field.dataType))
+                    for values, field in zip(zip(*own, strict=True), PIECE.fields, strict=True)]
         return pa.RecordBatch.from_arrays(columns, [*schema.names, *names])
 
-    return rows.mapInArrow(run, StructType(list(fields.fields) + list(PIECE.fields)))
+    found = rows.mapInArrow(run, StructType(list(fields.fields) + list(PIECE.fields)))
+    return found.select(*shown(kept), *names)

@@ -5,6 +5,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.exchange import hidden, shown
+
 #: The three base kinds in their listed order; a failing match of ``assign`` still uses up its
 #: text, while shorter runs of the other two kinds can hold no match, so their bound is in the
 #: pattern.
@@ -162,10 +164,10 @@ def scan_secrets(docs: DataFrame, samples: DataFrame, text: str = "text",
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
     source = F.coalesce(F.col(text), F.lit(""))
     kept = [c for c in docs.columns if c != "spans"]
-    found = docs.select(*kept, source.alias("_text"), base_spans(source).alias("_base"))
+    found = docs.select(*hidden(kept), source.alias("_text"), base_spans(source).alias("_base"))
     random = F.filter(free_runs(F.col("_text"), F.col("_base")), lambda run: _ratio(
         _slice_of(F.col("_text"), run), table) >= threshold)
-    return found.select(*kept, F.array_sort(F.concat(F.col("_base"), random)).alias("spans"))
+    return found.select(*shown(kept), F.array_sort(F.concat(F.col("_base"), random)).alias("spans"))
 
 
 def spans_text(spans: Column) -> Column:

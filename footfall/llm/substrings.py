@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from footfall.llm.exchange import (
-    answered_rows, bucket_count, bucket_cuts, bucket_of, bucket_rows, chunk_rows, numbers, release,
-    texts_of, write_chunks,
+    answered_rows, bucket_count, bucket_cuts, bucket_of, bucket_rows, chunk_rows, hidden, numbers,
+    release, shown, texts_of, write_chunks,
 )
 from footfall.llm.words import Words, window_hashes, words_of
 from footfall.scratch import write_aside
@@ -192,9 +192,10 @@ def drop_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW,
     """
     spark, block = docs.sparkSession, block_size(window)
     kept = [c for c in docs.columns if c != text] if keep is None else keep
-    kept = [c for c in kept if c not in (*RESULT.names, "text")]
-    fields = docs.select(*kept).schema
-    chunks = write_chunks(docs.select(*kept, F.col(text).alias("text")), "chunks")
+    kept = [c for c in kept if c not in RESULT.names]
+    rows = docs.select(*hidden(kept), F.col(text).alias("text"))
+    fields = rows.drop("text").schema
+    chunks = write_chunks(rows, "chunks")
     n_bytes = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     n_buckets = bucket_count(spark, n_bytes)
     shape = (window, block, n_buckets)
@@ -216,5 +217,6 @@ def drop_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW,
         words = words_of(texts)
         return _kept(batch, _removed(words, answers, *shape), words, texts)
 
-    return answered_rows(chunks, anchors.unionByName(repeats), finish,
-                         StructType(list(fields.fields) + list(RESULT.fields)))
+    found = answered_rows(chunks, anchors.unionByName(repeats), finish,
+                          StructType(list(fields.fields) + list(RESULT.fields)))
+    return found.select(*shown(kept), *RESULT.names)

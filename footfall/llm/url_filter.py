@@ -6,6 +6,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.exchange import hidden, shown
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -98,7 +100,8 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule],
     """
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "listed", "verdict")]
     parts = (
-        pages.select(*kept, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
+        pages.select(*hidden(kept), url_host(F.col(url)).alias("host"),
+                     url_path(F.col(url)).alias("path"))
         .withColumn("_rule", first_rule(F.col("host"), F.col("path"), rules))
         .withColumn("_key", F.when(F.col("host") != "", canonical_url(F.col("host"), F.col("path"))))
     )
@@ -126,7 +129,7 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule],
         .unionByName(probed.where(F.col("_probe").isNull()).withColumn("_on", F.lit(False)))
     )
     return hits.select(
-        *kept, "host", "path", F.col("_rule.rule").alias("rule"), F.col("_on").alias("listed"),
+        *shown(kept), "host", "path", F.col("_rule.rule").alias("rule"), F.col("_on").alias("listed"),
         F.coalesce(F.col("_rule.verdict"),
                    F.when(F.col("_on"), "block").otherwise("allow")).alias("verdict"),
     )
