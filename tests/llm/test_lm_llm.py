@@ -35,7 +35,10 @@ def role(i):
 def brute(rows, order):
     """Plain recursion over dictionaries, with the same classes and rounds."""
     seqs = {i: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)) + ["</s>"] for i, t in rows}
-    grams = lambda seq, k: [tuple((["<s>"] * (k - 1) + seq)[j:j + k]) for j in range(len(seq))]
+
+    def grams(seq, k):
+        padded = ["<s>"] * (k - 1) + seq
+        return [tuple(padded[j:j + k]) for j in range(len(seq))]
 
     def counts(roles):
         chosen = [s for i, s in seqs.items() if role(i) in roles]
@@ -44,11 +47,11 @@ def brute(rows, order):
         return found, context, sum(found[1].values())
 
     def parts(seq, found, context, total, distinct):
-        out = []
+        out, own = [], {k: grams(seq, k) for k in range(1, order + 1)}
         for j in range(len(seq)):
             row = [(1 / (distinct + 1), 0)]
             for k in range(1, order + 1):
-                g = grams(seq, k)[j]
+                g = own[k][j]
                 seen = total if k == 1 else context[k][g[:-1]]
                 row.append((found[k][g] / seen if seen else 0,
                             min(int(math.log2(seen)) + 1, CLASSES - 1) if seen else 0))

@@ -24,7 +24,7 @@ def best_sum(counts, capacity):
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 60), st.integers(1, 5), min_size=1, max_size=8))
 def test_fill_is_the_closest_multiset(counts):
-    taken = fill(counts, 64)
+    taken = fill(np.array([counts.get(i, 0) for i in range(64)]), 64)
     assert all(0 < n <= counts[length] for length, n in taken.items()) and max(counts) in taken
     assert sum(length * n for length, n in taken.items()) == best_sum(counts, 64)
 
@@ -35,8 +35,8 @@ def test_packer_places_every_id_once_without_padding():
     for i, ids in enumerate(docs):
         packer.add((i, len(ids)), ids)
         if packer.n_waiting >= 40:
-            packer.pack(last=False)
-    packer.pack(last=True)
+            packer.pack(leave=20)
+    packer.pack()
     found, filled = defaultdict(list), defaultdict(list)
     for (i, _), start, length, number, offset, data in packer.rows:
         found[i].append((start, data))
