@@ -23,12 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events and their ``k``; few partitions are spread over the cores before the work."""
-    events = table(spark, sf_dir, "events")
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        events = events.repartition(cores)
-    return events.withColumn("k", F.get_json_object("props", "$.k"))
+    """Events and their ``k``."""
+    return table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k"))
 
 
 # Below, columns are built as SQL text: so many small expressions are faster to parse at

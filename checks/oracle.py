@@ -160,9 +160,6 @@ _DATE_DIMENSION = """
   FROM (SELECT try_strptime("date", '%Y%m%d')::DATE AS d FROM (SELECT DISTINCT "date" FROM kpi))
 """
 
-# Rows per file of the chunked export: the usual 100 000, less where that gives few files.
-_CHUNK = "least(100000, greatest(1000, ceil(count(*) / 16.0)))::BIGINT"
-
 _PROFILED = ["fullVisitorId", "visitId", "visitNumber", "date", "visitStartTime",
              "channelGrouping", "socialEngagementType", "device", "customDimensions",
              "geoNetwork", "trafficSource", "totals", "hits"]
@@ -177,23 +174,34 @@ def _raw_null(name: str) -> str:
     return _RAW_NULLS.get(name, "false")
 
 
+def _export(name: str, columns: list[str], rows: str) -> str:
+    """The rows of a table as text, its columns in order."""
+    cells = ", ".join(f"coalesce(({column})::VARCHAR, '-')" for column in columns)
+    return f"""
+        SELECT '{name}' AS export, concat_ws('|', {cells}) AS row FROM ({rows})"""
+
+
 ORACLE = {
     # Files
     "csv_multiline_roundtrip": """
         SELECT doc_id::VARCHAR AS doc_id, text, lang, source, n_chars::VARCHAR AS n_chars
+        FROM documents
+        UNION ALL SELECT NULL, NULL, CASE WHEN lang <> 'en' THEN lang END, NULL, NULL
         FROM documents""",
+    "csv_header_order": """
+        SELECT page_id::VARCHAR AS page_id, url, CASE WHEN page_id % 2 = 0 THEN html END AS html
+        FROM pages""",
     "csv_wide_roundtrip": "SELECT page_id::VARCHAR AS page_id, url, html FROM pages",
-    "chunked_export": f"""
-        WITH size AS (SELECT {_CHUNK} AS n FROM orders),
-        numbered AS (
-          SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders)
-        SELECT (i // n)::BIGINT AS chunk, 1::BIGINT AS files, count(*)::BIGINT AS n,
-               min(o_orderkey)::BIGINT AS lo, max(o_orderkey)::BIGINT AS hi
-        FROM numbered, size GROUP BY 1""",
+    "chunked_export": """
+        WITH numbered AS (
+          SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders)
+        SELECT (i // 5000)::BIGINT AS chunk, 1::BIGINT AS files, (i % 5000)::BIGINT AS place,
+               o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey,
+               o_orderstatus, o_orderpriority
+        FROM numbered""",
     "parquet_accumulate": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
-        FROM orders""",
-    "single_file_export": "SELECT * FROM customer",
+        SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders""",
+    "single_file_export": "SELECT *, 1::INTEGER AS files FROM customer",
     # Scalar functions
     "json_map_normalize": """
         SELECT event_id, '{"k":"' || json_extract_string(props, '$.k') || '"}' AS device
@@ -247,7 +255,8 @@ ORACLE = {
     # An empty text does not survive CSV: it is read as NULL.
     "raw_ingest_job": f"""
         SELECT * REPLACE (nullif("fullVisitorId", '') AS "fullVisitorId",
-                          nullif(hits, '') AS hits) FROM ({CLEAN_RAW})""",
+                          nullif(hits, '') AS hits), 3::INTEGER AS files
+        FROM ({CLEAN_RAW})""",
     # Visit KPI
     "visit_kpi": KPI_ROWS,
     "visit_kpi_typed_totals": """
@@ -257,7 +266,19 @@ ORACLE = {
                'PAGE' AS "hitType"
         FROM events""",
     "visit_kpi_rebuild": KPI_ROWS,
+    "kpi_mixed_schemas": f"""
+        SELECT * REPLACE (CASE WHEN even THEN visits END AS visits,
+                          CASE WHEN even THEN pageviews END AS pageviews,
+                          CASE WHEN even THEN transactions END AS transactions,
+                          CASE WHEN even THEN "transactionRevenue" END AS "transactionRevenue")
+        EXCLUDE even FROM (SELECT *, "visitId"::BIGINT % 2 = 0 AS even FROM ({KPI_ROWS}))""",
     "visit_kpi_microbatch": KPI_ROWS,
+    "monitored_rebuild": KPI_ROWS,
+    "batch_error_mixed": over_kpi("""
+        SELECT 'inicio_lote' AS metric, 1::BIGINT AS value
+        UNION ALL SELECT 'error', 1
+        UNION ALL SELECT 'failed files', 1
+        UNION ALL SELECT 'kpi rows', count(*) FROM kpi"""),
     # Profiles and events
     "row_count": "SELECT count(*)::BIGINT AS rows FROM events",
     "column_null_profile": f"WITH {_EVENTS} " + " UNION ALL ".join(
@@ -268,7 +289,8 @@ ORACLE = {
         WITH {_EVENTS}
         SELECT event_id::VARCHAR AS "visitId" FROM ev WHERE k = '7'""",
     "batch_events": over_kpi("""
-        SELECT 1::BIGINT AS runs, true AS every_batch_complete, 0::BIGINT AS errors,
+        SELECT true AS names_match, true AS stamps_fit, true AS time_passed,
+               1::BIGINT AS runs, true AS every_batch_complete, 0::BIGINT AS errors,
                (SELECT count(*) FROM raw)::BIGINT AS filas_originales,
                (SELECT count(*) FROM kpi)::BIGINT AS filas_finales,
                (SELECT count(*) FROM ev WHERE k = '7')::BIGINT AS null_visitors"""),
@@ -276,7 +298,11 @@ ORACLE = {
         SELECT 'failed lot' AS metric, 2::BIGINT AS value
         UNION ALL SELECT 'failed files', 1::BIGINT
         UNION ALL SELECT 'kpi rows', 2 * count(*) FROM kpi"""),
-    "event_stream_decode": "SELECT event_id, user_id, event_type, value FROM events",
+    "event_stream_decode": """
+        SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts), NULL::VARCHAR AS texto
+        FROM events
+        UNION ALL BY NAME SELECT '{broken ' || event_id AS texto
+        FROM events WHERE event_id % 10 = 0""",
     # Star schema
     "union_lots": KPI_ROWS,
     "fact_visits": over_kpi("""
@@ -298,5 +324,17 @@ ORACLE = {
         UNION ALL SELECT 'dim_canal', count(*) FROM (SELECT DISTINCT "channelGrouping" FROM kpi)
         UNION ALL SELECT 'dim_pagina', count(*)
           FROM (SELECT DISTINCT "pagePath", referer, "isInteraction" FROM kpi)"""),
-    "star_exports": over_kpi(_DATE_DIMENSION),
+    "star_exports": over_kpi(" UNION ALL ".join([
+        _export("hechos_visitas", [
+            '"visitId"', '"fullVisitorId"', '"date"', '"visitNumber"', '"visitStartTime"',
+            "visits", "pageviews", "transactions", 'round("transactionRevenue" * 100)::BIGINT',
+            '"channelGrouping"', '"hitType"'], "SELECT * FROM kpi"),
+        _export("dim_tiempo", ['"date"', '"year"', '"month"', '"day"', "weekday"],
+                _DATE_DIMENSION),
+        _export("dim_visitante", ['"fullVisitorId"', '"socialEngagementType"'],
+                'SELECT DISTINCT "fullVisitorId", "socialEngagementType" FROM kpi'),
+        _export("dim_canal", ['"channelGrouping"'], 'SELECT DISTINCT "channelGrouping" FROM kpi'),
+        _export("dim_pagina", ['"pagePath"', "referer", '"isInteraction"'],
+                'SELECT DISTINCT "pagePath", referer, "isInteraction" FROM kpi'),
+    ])),
 }

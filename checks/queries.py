@@ -21,8 +21,8 @@ from footfall.plans import (
 )
 from footfall.scratch import new_database, new_folder
 from footfall.sources import (
-    accumulate_parquet, export_table, read_accumulated, read_csv, read_csv_wide, read_parquet,
-    read_table, write_csv, write_parquet, write_table,
+    accumulate_parquet, export_table, read_accumulated, read_csv, read_csv_by_header,
+    read_csv_wide, read_parquet, read_table, write_csv, write_parquet, write_table,
 )
 from footfall.streaming import (
     append_new_kpi, as_json_lines, decode_events, deliver_events, json_event_log, read_event_log,
@@ -32,6 +32,9 @@ from footfall.streaming import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+ROWS_PER_CHUNK = 5000
+
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
@@ -47,9 +50,24 @@ def query(name: str) -> Callable[[Query], Query]:
 @query("csv_multiline_roundtrip")
 def csv_multiline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "documents")
-    write_csv(table(spark, sf_dir, "documents"), f"{folder}/csv")
+    documents = table(spark, sf_dir, "documents")
+    write_csv(documents, f"{folder}/csv")
     write_parquet(read_csv(spark, f"{folder}/csv"), f"{folder}/parquet")
-    return read_parquet(spark, f"{folder}/parquet")
+    some = F.when(F.col("lang") != "en", F.col("lang"))
+    write_csv(documents.select(some.alias("lang")), f"{folder}/one")
+    return read_parquet(spark, f"{folder}/parquet").unionByName(
+        read_csv(spark, f"{folder}/one"), allowMissingColumns=True)
+
+
+@query("csv_header_order")
+def csv_header_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two lots of one table, the second with its columns in the other order and one less."""
+    pages = table(spark, sf_dir, "pages")
+    folder = new_folder(spark, "headers")
+    odd = F.col("page_id") % 2 == 1
+    write_csv(pages.where(~odd), f"{folder}/1")
+    write_csv(pages.where(odd).select("url", "page_id"), f"{folder}/2")
+    return read_csv_by_header(spark, f"{folder}/1", f"{folder}/2")
 
 
 @query("csv_wide_roundtrip")
@@ -61,25 +79,27 @@ def csv_wide_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("chunked_export")
 def chunked_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    """Every row and column of the chunks, with the chunk and the place in it."""
+    orders = table(spark, sf_dir, "orders")
     folder = new_folder(spark, "chunks")
-    write_csv(orders.orderBy("o_orderkey"), f"{folder}/whole")
-    rows_per_file = min(100_000, max(1000, -(-orders.count() // 16)))
-    split_csv(spark, f"{folder}/whole", f"{folder}/parts", rows_per_file)
-    key = F.col("o_orderkey").cast("long")
-    return (
-        read_csv(spark, f"{folder}/parts", recursiveFileLookup=False)
-        .groupBy(F.col("parte").cast("long").alias("chunk"), "_metadata.file_path")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
-        .groupBy("chunk")
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("n"),
-             F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    )
+    write_csv(orders.select(*(F.col(c).cast("string").alias(c) for c in ORDER_COLUMNS))
+              .orderBy(F.col("o_orderkey").cast("long")), f"{folder}/whole")
+    split_csv(spark, f"{folder}/whole", f"{folder}/parts", ROWS_PER_CHUNK)
+    rows = read_csv(spark, f"{folder}/parts", recursiveFileLookup=False).select(
+        F.col("parte").cast("long").alias("chunk"), *ORDER_COLUMNS,
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("at"))
+    # a chunk is one file and one task, so its rows are numbered as they are read
+    first = rows.groupBy("chunk").agg(
+        F.min("at").alias("first"), F.count_distinct("file").alias("files"))
+    return rows.join(first, "chunk").select(
+        "chunk", "files", (F.col("at") - F.col("first")).alias("place"), *ORDER_COLUMNS)
 
 
 @query("parquet_accumulate")
 def parquet_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
     status = F.col("o_orderstatus")
     finished = F.coalesce(status == "F", F.lit(False))
     opened = F.coalesce(status == "O", F.lit(False))
@@ -95,8 +115,9 @@ def single_file_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{new_database(spark, 'export')}.customer"
     write_table(table(spark, sf_dir, "customer"), name)
     folder = new_folder(spark, "customer")
-    export_table(spark, name, folder)
-    return read_parquet(spark, folder)
+    export_table(spark, name, folder, single_file=True)
+    exported = read_parquet(spark, folder)
+    return exported.withColumn("files", F.lit(len(exported.inputFiles())))
 
 
 # --- scalar functions ---------------------------------------------------------
@@ -194,8 +215,9 @@ def raw_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "ingest")
     write_csv(raw_visits(spark, sf_dir), f"{folder}/csv")
-    ingest_csv(spark, f"{folder}/csv", f"{folder}/parquet", wide=True)
-    return read_parquet(spark, f"{folder}/parquet")
+    ingest_csv(spark, f"{folder}/csv", f"{folder}/parquet", wide=True, partitions=3)
+    ingested = read_parquet(spark, f"{folder}/parquet")
+    return ingested.withColumn("files", F.lit(len(ingested.inputFiles())))
 
 
 # --- visit KPI ----------------------------------------------------------------
@@ -234,6 +256,19 @@ def visit_kpi_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, target)
 
 
+@query("kpi_mixed_schemas")
+def kpi_mixed_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lot without ``totals`` beside a full one."""
+    visits = raw_visits(spark, sf_dir)
+    odd = F.col("visitId").cast("long") % 2 == 1
+    source = new_folder(spark, "lots")
+    write_lot(visits.where(~F.coalesce(odd, F.lit(False))), source)
+    write_lot(visits.where(odd).drop("totals"), source)
+    target = new_folder(spark, "kpi")
+    rebuild_kpi(spark, source, target)
+    return read_parquet(spark, target)
+
+
 @query("visit_kpi_microbatch")
 def visit_kpi_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, files_per_batch = raw_lots(spark, sf_dir)
@@ -270,11 +305,20 @@ def batch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, source, json_event_log(f"{folder}/events"), f"{folder}/progress",
         files_per_batch=files_per_batch)
     events = read_event_log(spark, f"{folder}/events")
+    names = events.where(F.col("evento") == contract.BATCH_STARTED).select(
+        F.explode("archivos").alias("name"))
+    paths = read_parquet(spark, source).select("_metadata.file_name").distinct()
+    ended = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
 
     def count(tag: str):
         return F.count_if(F.col("evento") == tag)
 
     return events.agg(
+        F.lit(names.exceptAll(paths).isEmpty() and paths.exceptAll(names).isEmpty())
+        .alias("names_match"),
+        F.bool_and((F.col("timestamp") <= ended)
+                   & (F.col("timestamp") > ended - F.expr("INTERVAL 1 DAY"))).alias("stamps_fit"),
+        F.bool_and(F.coalesce(F.col("duracion_segundos") > 0, F.lit(True))).alias("time_passed"),
         count(contract.RUN_STARTED).alias("runs"),
         ((count(contract.BATCH_STARTED) == count(contract.BATCH_PROFILE))
          & (count(contract.BATCH_STARTED) == count(contract.BATCH_RESULT))
@@ -298,28 +342,67 @@ def batch_error_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "isolated")
     run_monitored_kpi(
         spark, source, json_event_log(f"{folder}/events"), f"{folder}/progress",
-        f"{folder}/kpi", files_per_batch=files)
+        f"{folder}/kpi", files_per_batch=files, on_error="skip", failed=f"{folder}/failed")
     failed = read_event_log(spark, f"{folder}/events").filter(
         F.col("evento") == contract.BATCH_FAILED)
     return union_lots(
         failed.select(F.lit("failed lot").alias("metric"),
-                      F.col("lote_id").cast("long").alias("value")),
-        failed.select(F.lit("failed files").alias("metric"),
-                      (F.size("archivos") / files).cast("long").alias("value")),
+                      F.col("lote_id").cast("long").alias("value")).distinct(),
+        failed.agg((F.sum(F.size("archivos")) / files).cast("long").alias("value")).select(
+            F.lit("failed files").alias("metric"), "value"),
         row_count(read_accumulated(spark, f"{folder}/kpi")).select(
             F.lit("kpi rows").alias("metric"), F.col("rows").alias("value")),
     )
 
 
+@query("batch_error_mixed")
+def batch_error_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch of many files, one of which lacks ``hits``, and which is mended afterwards."""
+    visits = raw_visits(spark, sf_dir)
+    source = new_folder(spark, "lots")
+    write_lot(visits, source)
+    write_lot(visits.drop("hits").coalesce(1), source)
+    folder = new_folder(spark, "mixed")
+    run_monitored_kpi(
+        spark, source, json_event_log(f"{folder}/events"), f"{folder}/progress",
+        f"{folder}/kpi", on_error="skip", failed=f"{folder}/failed")
+    events = read_event_log(spark, f"{folder}/events")
+    return union_lots(
+        events.groupBy(F.col("evento").alias("metric")).agg(F.count(F.lit(1)).alias("value"))
+        .where(F.col("metric").isin(contract.BATCH_STARTED, contract.BATCH_FAILED)),
+        row_count(spark.read.text(f"{folder}/failed")).select(
+            F.lit("failed files").alias("metric"), F.col("rows").alias("value")),
+        row_count(read_accumulated(spark, f"{folder}/kpi")).select(
+            F.lit("kpi rows").alias("metric"), F.col("rows").alias("value")),
+    )
+
+
+@query("monitored_rebuild")
+def monitored_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run from scratch twice into one target, with other batches: the rows of one run."""
+    source, files_per_batch = raw_lots(spark, sf_dir)
+    folder = new_folder(spark, "monitored")
+    for number, files in enumerate((files_per_batch, 1000)):
+        run_monitored_kpi(
+            spark, source, json_event_log(f"{folder}/events"), f"{folder}/progress{number}",
+            f"{folder}/kpi", files_per_batch=files)
+    return read_accumulated(spark, f"{folder}/kpi")
+
+
 @query("event_stream_decode")
 def event_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    """All columns of all events, with a broken message for every tenth."""
+    events = table(spark, sf_dir, "events").withColumn(
+        "ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     folder = new_folder(spark, "topic")
     as_json_lines(events).write.text(f"{folder}/topic")
+    events.where("event_id % 10 = 0").select(
+        F.concat(F.lit("{broken "), "event_id").alias("value")).write.mode("append").text(
+        f"{folder}/topic")
     messages = spark.readStream.text(f"{folder}/topic")
     delivery = deliver_events(
-        decode_events(messages, events.schema), f"{folder}/delivered", f"{folder}/progress",
-        available_now=True)
+        decode_events(messages, events.schema, unreadable="texto"), f"{folder}/delivered",
+        f"{folder}/progress", available_now=True)
     delivery.awaitTermination()
     return read_parquet(spark, f"{folder}/delivered")
 
@@ -383,4 +466,15 @@ def star_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, lots = _lot_tables(spark, sf_dir)
     folder = new_folder(spark, "star")
     build_star(spark, lots, StarTables.in_database(database), export_to=folder)
-    return read_parquet(spark, f"{folder}/{contract.DATE_TABLE}")
+
+    def rows(name: str) -> DataFrame:
+        exported = read_parquet(spark, f"{folder}/{name}")
+        if name == contract.FACT_TABLE:
+            exported = exported.withColumn(
+                "transactionRevenue", F.round(F.col("transactionRevenue") * 100).cast("long"))
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in exported.columns]
+        return exported.select(F.lit(name).alias("export"), F.concat_ws("|", *cells).alias("row"))
+
+    return union_lots(*(rows(name) for name in (
+        contract.FACT_TABLE, contract.DATE_TABLE, contract.VISITOR_TABLE, contract.CHANNEL_TABLE,
+        contract.PAGE_TABLE)))

@@ -1,4 +1,4 @@
-from footfall.operators.chunks import number_rows, split_csv
+from footfall.operators.chunks import split_csv
 from footfall.operators.columns import (
     drop_columns, keep_columns, map_string_columns, nullify_placeholders, require_columns,
 )
@@ -15,7 +15,6 @@ __all__ = [
     "map_string_columns",
     "null_counts",
     "nullify_placeholders",
-    "number_rows",
     "profile_metrics",
     "require_columns",
     "row_count",

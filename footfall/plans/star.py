@@ -8,6 +8,7 @@ has a real date; a visitor has one row per engagement type; the fact holds no pa
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,12 +70,15 @@ def build_star(
     lots: list[str] = contract.LOT_TABLES,
     tables: StarTables = StarTables(),
     export_to: str | None = None,
+    single_file: tuple[str, ...] = (contract.DATE_TABLE, contract.CHANNEL_TABLE),
 ) -> DataFrame:
     """Union the lot tables, write all star tables, and return their row counts.
 
     Everything after the unified table is read back from tables: each one is computed
     once, and exports and counts only read files.  With ``export_to`` the fact and the
-    dimensions are also written as Parquet folders, in a single file where that is small.
+    dimensions are also written as Parquet folders.  Those named in ``single_file`` become one
+    file each, through one task: by default the days and the channels, of which there are few
+    whatever the number of visits.
     """
     write_table(union_lots(*(read_table(spark, lot) for lot in lots)), tables.unified)
     kpi = read_table(spark, tables.unified)
@@ -89,11 +93,13 @@ def build_star(
     def store(name: str) -> None:
         write_table(derived[name], name)
         if export_to:
-            export_table(spark, name, f"{export_to.rstrip('/')}/{name.split('.')[-1]}")
+            short = name.split(".")[-1]
+            export_table(spark, name, f"{export_to.rstrip('/')}/{short}", short in single_file)
 
     # Jobs of their own threads share the cluster; small dimensions need not wait for the fact.
+    # The threads keep the caller's job group and scheduler pool.
     with ThreadPoolExecutor(len(derived)) as threads:
-        list(threads.map(store, derived))
+        list(threads.map(inheritable_thread_target(spark)(store), derived))
     return table_counts({
         name.split(".")[-1]: read_table(spark, name) for name in tables.all()
     })

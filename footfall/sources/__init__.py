@@ -1,8 +1,9 @@
 from footfall.sources.files import (
-    accumulate_parquet, export_parquet, read_accumulated, read_csv, read_csv_wide, read_parquet,
-    write_csv, write_parquet,
+    accumulate_parquet, export_parquet, read_accumulated, read_csv, read_csv_by_header,
+    read_csv_wide, read_parquet, write_csv, write_parquet,
 )
-from footfall.sources.tables import export_table, read_table, table_bytes, write_table
+from footfall.sources.lots import read_lot
+from footfall.sources.tables import export_table, read_table, write_table
 
 __all__ = [
     "accumulate_parquet",
@@ -10,10 +11,11 @@ __all__ = [
     "export_table",
     "read_accumulated",
     "read_csv",
+    "read_csv_by_header",
     "read_csv_wide",
+    "read_lot",
     "read_parquet",
     "read_table",
-    "table_bytes",
     "write_csv",
     "write_parquet",
     "write_table",

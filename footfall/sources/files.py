@@ -1,23 +1,24 @@
 """CSV and Parquet files."""
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 # Quoted fields may span lines; a quote inside one is doubled.  A folder stands for all
-# files below it, and names of sub-folders (as ``split_csv`` makes) add no column.
-CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "recursiveFileLookup": True}
-
-# Parser limits for lots with very large fields.
-WIDE_CSV_OPTIONS = {"maxCharsPerColumn": 10_000_000, "maxColumns": 10_000}
-
+# files below it, and names of sub-folders (as ``split_csv`` makes) add no column.  A file
+# whose header does not name the columns in the same order fails instead of being misread.
+CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "recursiveFileLookup": True,
+               "enforceSchema": False}
 
 def read_csv(spark: SparkSession, *paths: str, schema: T.StructType | None = None,
              **options) -> DataFrame:
     """All columns as strings, named by the header (or by an all-string ``schema``).
 
-    A multi-line file cannot be split, so each file is one task: prefer many files.
+    Fields may have any length.  Files read together must have the same header; read files
+    with other orders of columns with :func:`read_csv_by_header`.  A multi-line file cannot be
+    split, so each file is one task: prefer many files, as :func:`split_csv` makes them.
     """
     reader = spark.read.options(**CSV_OPTIONS).options(**options)
     if schema is not None:
@@ -25,19 +26,39 @@ def read_csv(spark: SparkSession, *paths: str, schema: T.StructType | None = Non
     return reader.csv(list(paths))
 
 
-def read_csv_wide(spark: SparkSession, *paths: str, **options) -> DataFrame:
-    """As :func:`read_csv`, for fields of up to 10 million characters."""
-    return read_csv(spark, *paths, **{**WIDE_CSV_OPTIONS, **options})
+def read_csv_wide(spark: SparkSession, *paths: str, max_chars: int | None = None,
+                  max_columns: int | None = None, **options) -> DataFrame:
+    """As :func:`read_csv`, with optional limits.
+
+    A file with a field of more than ``max_chars`` characters or a row of more than
+    ``max_columns`` columns then fails; without them Spark's own limits hold, which are none
+    for characters and 20 480 columns.
+    """
+    limits = {"maxCharsPerColumn": max_chars, "maxColumns": max_columns}
+    return read_csv(spark, *paths, **{k: v for k, v in limits.items() if v is not None}, **options)
+
+
+def read_csv_by_header(spark: SparkSession, *paths: str, **options) -> DataFrame:
+    """Files whose headers name the same columns in any order, or not all of them.
+
+    Each path is a file or a folder of files with one header.  Columns are matched by name; one
+    that a path lacks is NULL there.
+    """
+    parts = [read_csv(spark, path, **options) for path in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def csv_writer(df: DataFrame) -> DataFrameWriter:
     """Writer whose output :func:`read_csv` reads back unchanged, outer blanks included.
 
-    Only empty texts come back as NULL: CSV as read here does not tell them apart.
+    Only empty texts come back as NULL: CSV as read here does not tell them apart.  Both are
+    written in quotes, so that a row of one NULL is not an empty line, which readers skip.
     """
     return df.write.options(
         header=True,
         escape='"',
+        nullValue='""',
+        emptyValue='""',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )

@@ -4,9 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footfall.sources.files import export_parquet
 
-# Larger tables are exported as many files, not through a single task.
-SINGLE_FILE_MAX_BYTES = 128 * 1024 * 1024
-
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
@@ -17,17 +14,6 @@ def write_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def table_bytes(spark: SparkSession, name: str) -> int:
-    """Size of the table's files, from a listing (no scan)."""
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Statistics'")
-    return int(details.first()["data_type"].split()[0])
-
-
-def export_table(
-    spark: SparkSession, name: str, path: str, max_bytes: int = SINGLE_FILE_MAX_BYTES
-) -> bool:
-    """Export a table to Parquet, as one file if its size allows; tells whether it did."""
-    single_file = table_bytes(spark, name) <= max_bytes
+def export_table(spark: SparkSession, name: str, path: str, single_file: bool = False) -> None:
+    """Export a table to Parquet; see :func:`export_parquet` for ``single_file``."""
     export_parquet(spark.table(name), path, single_file)
-    return single_file

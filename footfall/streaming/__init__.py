@@ -3,7 +3,7 @@ from footfall.streaming.events import (
     stamp_events,
 )
 from footfall.streaming.kafka import kafka_event_sink, kafka_event_source
-from footfall.streaming.monitored import run_monitored_kpi
+from footfall.streaming.monitored import retry_failed, run_monitored_kpi
 from footfall.streaming.visits import append_new_kpi, rebuild_kpi
 
 __all__ = [
@@ -17,6 +17,7 @@ __all__ = [
     "kafka_event_source",
     "read_event_log",
     "rebuild_kpi",
+    "retry_failed",
     "run_monitored_kpi",
     "stamp_events",
 ]

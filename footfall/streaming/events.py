@@ -32,10 +32,20 @@ def as_json_lines(events: DataFrame) -> DataFrame:
     return events.select(F.to_json(F.struct("*"), options).alias("value"))
 
 
-def decode_events(messages: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
-    """Typed rows from a ``value`` column of UTF-8 JSON; malformed text is all NULL."""
+def decode_events(messages: DataFrame, schema: T.StructType = EVENT_SCHEMA,
+                  unreadable: str | None = None) -> DataFrame:
+    """Typed rows from a ``value`` column of UTF-8 JSON; what cannot be read is NULL.
+
+    With ``unreadable``, a last column of that name keeps the whole text of every message that
+    is no JSON object of these types; it is NULL for all others.
+    """
+    if unreadable is None:
+        return messages.select(
+            F.from_json(F.col("value").cast("string"), schema).alias("event")).select("event.*")
+    fields = T.StructType([*schema.fields, T.StructField(unreadable, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": unreadable}
     return messages.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("event")
+        F.from_json(F.col("value").cast("string"), fields, options).alias("event")
     ).select("event.*")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from footfall import contract
 from footfall.operators.profile import profile_metrics
 from footfall.plans.visits import visit_kpi
+from footfall.sources.lots import escape_glob, files_missing, read_lot
 from footfall.streaming.events import EventSink, event_rows
 
 _FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
@@ -23,53 +24,68 @@ def run_monitored_kpi(
     emit: EventSink,
     checkpoint: str,
     target: str | None = None,
-    files_per_batch: int = 1,
-    on_error: str = "skip",
+    files_per_batch: int = 1000,
+    on_error: str = "fail",
     attempts: int = 3,
     dialect: str = "python_literal",
+    failed: str | None = None,
 ) -> None:
     """Process the new Parquet files of ``source``; hand progress events to ``emit``.
 
-    The stream carries file names only.  Each batch reads its files as an ordinary
-    DataFrame and makes one pass over them, which counts the raw rows and NULLs, computes
-    the KPI rows, counts those and writes them.  Without ``target`` they are only counted.
-
-    A batch has its own folder ``<target>/lote-<n>``, overwritten if the batch is repeated;
-    ``read_accumulated`` reads them all.  A batch that fails is tried again, for the cause
-    may be the cluster and not the files.  If it fails for good, an ``error`` event names
-    its files; with ``on_error="skip"`` the run goes on without their rows, with ``"fail"``
-    it stops, so that a restart repeats the batch.  A failing ``emit`` always stops it.
+    The stream carries file names only.  Each batch reads its files, which may differ in
+    columns, as one ordinary DataFrame and makes one pass over them, which counts the raw rows
+    and NULLs, computes the KPI rows, counts those and writes them.  Without ``target`` they are
+    only counted.
+
+    A batch has its own folder ``<target>/lote-<n>``, emptied if the batch is repeated;
+    ``read_accumulated`` reads them all.  A target belongs to one checkpoint: with a new one the
+    lots of an earlier run are removed first, as nothing of them counts as done; a target that
+    another checkpoint goes on filling raises ``ValueError``.
+
+    Files without a key or the hits are bad.  If the pass over the others fails, it is tried
+    again, for the cause may be the cluster and not the files; then by halves, until the bad
+    files are alone.  Each bad file has its ``error`` event.  With ``on_error="fail"`` the run
+    then stops, and a restart repeats the batch, so nothing is lost.  With ``"skip"`` it goes on
+    with the rows of all other files; the names of the bad ones are added as text lines to the
+    folder ``failed``, from which :func:`retry_failed` takes them up again.  A failing ``emit``
+    always stops the run.
     """
     if on_error not in ("skip", "fail"):
         raise ValueError(f"on_error must be 'skip' or 'fail', not {on_error!r}")
+    if on_error == "skip" and failed is None:
+        raise ValueError("on_error='skip' needs a folder for the names of failed files")
 
     def send(*events: dict) -> None:
         emit(event_rows(spark, events))
 
     def process(listing: DataFrame, batch_id: int) -> None:
         # At most files_per_batch names.
-        paths = sorted(row["path"] for row in listing.collect())
+        paths = sorted({row["path"] for row in listing.collect()})
         lot = {"lote_id": batch_id + 1}
         names = [os.path.basename(path) for path in paths]
         send({"evento": contract.BATCH_STARTED, **lot, "archivos": names})
         folder = f"{target.rstrip('/')}/lote-{batch_id + 1:06d}" if target else None
-        try:
-            report = _retried(lambda: _one_pass(spark, paths, folder, dialect), attempts)
-        except Exception as error:
+        if folder:
+            _remove(spark, folder)
+        report, bad = _isolated(spark, paths, folder, dialect, attempts)
+        for path, error in bad:
             send({
-                "evento": contract.BATCH_FAILED, **lot, "archivos": names,
-                "detalle": str(error), "stacktrace": traceback.format_exc(),
+                "evento": contract.BATCH_FAILED, **lot, "archivos": [os.path.basename(path)],
+                "detalle": str(error), "stacktrace": "".join(traceback.format_exception(error)),
             })
-            if on_error == "fail":
-                raise
-        else:
-            send(*({**event, **lot} for event in report))
-
+        if bad and on_error == "fail":
+            raise bad[0][1]
+        if bad:
+            spark.createDataFrame([(path,) for path, _ in bad], "value string").coalesce(1) \
+                .write.mode("append").text(failed)
+        send(*({**event, **lot} for event in report))
+
+    if target:
+        _claim(spark, target, checkpoint)
     glob = {"pathGlobFilter": "*.parquet"}
-    present = spark.read.format("binaryFile").options(**glob).load(source).inputFiles()
     send({
         "evento": contract.RUN_STARTED,
-        "total_archivos": len(present),
+        "total_archivos": spark.read.format("binaryFile").options(**glob).load(source).count(),
         "tamaño_lote": files_per_batch,
     })
     query = (
@@ -77,6 +93,7 @@ def run_monitored_kpi(
         .schema(_FILE_LISTING)
         .options(**glob)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("__globPaths__", False)  # else a batch skips files whose names look like patterns
         .load(source)
         .select("path")
         .writeStream.foreachBatch(process)
@@ -87,6 +104,105 @@ def run_monitored_kpi(
     query.awaitTermination()
 
 
+def retry_failed(
+    spark: SparkSession, failed: str, target: str | None, attempts: int = 3,
+    dialect: str = "python_literal",
+) -> list[str]:
+    """Process the files named in the folder ``failed`` again, as the lot ``<target>/lote-otra``.
+
+    Returns the names that still fail.  The lot is replaced each time, so a second call after
+    mending more files loses none.
+    """
+    paths = sorted(row.value for row in spark.read.text(failed).distinct().toLocalIterator())
+    folder = f"{target.rstrip('/')}/lote-otra" if target else None
+    if folder:
+        _remove(spark, folder)
+    _, bad = _isolated(spark, paths, folder, dialect, attempts)
+    return [path for path, _ in bad]
+
+
+_MARK = "_checkpoint"
+
+
+def _path(spark: SparkSession, path: str):
+    """A path in Hadoop's terms and its file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path, files = _path(spark, folder)
+    files.delete(path, True)
+
+
+def _claim(spark: SparkSession, target: str, checkpoint: str) -> None:
+    """Make ``target`` the output of ``checkpoint``; a new checkpoint starts with no lots."""
+    mark, files = _path(spark, f"{target.rstrip('/')}/{_MARK}")
+    mine, checkpoints = _path(spark, f"{checkpoint.rstrip('/')}/metadata")
+    owner = None
+    if files.exists(mark):
+        stream = files.open(mark)
+        owner = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+    if checkpoints.exists(mine):
+        if owner not in (None, checkpoint):
+            raise ValueError(f"{target} holds the lots of checkpoint {owner}, not of {checkpoint}")
+    else:
+        for status in files.globStatus(_path(spark, f"{target.rstrip('/')}/lote-*")[0]) or []:
+            files.delete(status.getPath(), True)
+    if owner != checkpoint:
+        stream = files.create(mark, True)
+        stream.write(bytearray(checkpoint.encode()))
+        stream.close()
+
+
+def _isolated(
+    spark: SparkSession, paths: list[str], folder: str | None, dialect: str, attempts: int
+) -> tuple[list[dict], list[tuple[str, Exception]]]:
+    """The events of all files that can be processed, and the bad files with their errors."""
+    missing = files_missing(spark, paths, [*contract.KEY_COLUMNS, "hits"])
+    bad: list[tuple[str, Exception]] = [
+        (path, ValueError(f"{path} lacks {', '.join(names)}")) for path, names in missing.items()]
+    reports = []
+    todo = [([path for path in paths if path not in missing], "todo")]
+    while todo:
+        some, part = todo.pop()
+        if not some:
+            continue
+        try:
+            own = f"{folder}/{part}" if folder else None
+            reports.append(_retried(lambda s=some, o=own: _one_pass(spark, s, o, dialect), attempts))
+        except Exception as error:
+            if folder:
+                _remove(spark, f"{folder}/{part}")
+            if len(some) == 1:
+                bad.append((some[0], error))
+            else:
+                half = len(some) // 2
+                todo += [(some[half:], f"{part}-b"), (some[:half], f"{part}-a")]
+    return _summed(reports), sorted(bad, key=lambda item: item[0])
+
+
+def _summed(reports: list[list[dict]]) -> list[dict]:
+    """The events of one pass, from those of passes over parts of the files."""
+    if not reports:
+        return []
+    profile, result, finished = ([report[i] for report in reports] for i in range(3))
+    columns = list(dict.fromkeys(name for event in profile for name in event["columnas"]))
+    rows = sum(event["filas_originales"] for event in profile)
+    present = {name: sum(event["filas_originales"] - event["campos_nulos"][name]
+                         for event in profile if name in event["campos_nulos"]) for name in columns}
+    return [
+        {**profile[0], "filas_originales": rows, "columnas": columns,
+         "campos_nulos": {name: rows - present[name] for name in columns}},
+        {**result[0], "filas_finales": sum(event["filas_finales"] for event in result),
+         "columnas_finales": list(dict.fromkeys(
+             name for event in result for name in event["columnas_finales"]))},
+        {**finished[0],
+         "duracion_segundos": sum(event["duracion_segundos"] for event in finished)},
+    ]
+
+
 def _retried(work: Callable[[], list[dict]], attempts: int) -> list[dict]:
     """The result of ``work``, tried again after any failure but a wrong set of columns."""
     for _ in range(attempts - 1):
@@ -103,7 +219,7 @@ def _one_pass(
     spark: SparkSession, paths: list[str], folder: str | None, dialect: str
 ) -> list[dict]:
     """Write the KPI rows of some files; the events that tell how it went."""
-    raw = spark.read.parquet(*paths)
+    raw = read_lot(spark, *map(escape_glob, paths))
     before, after = Observation(), Observation()
     kpi = visit_kpi(raw.observe(before, *profile_metrics(raw)), dialect)
     counted = kpi.observe(after, F.count(F.lit(1)).alias("n"))

@@ -2,16 +2,25 @@
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from footfall.contract import KEY_COLUMNS
 from footfall.plans.visits import visit_kpi
-from footfall.sources.files import read_parquet, write_parquet
+from footfall.sources.files import write_parquet
+from footfall.sources.lots import parquet_files, read_lot, require_in_files
+
+NEEDED = [*KEY_COLUMNS, "hits"]
 
 
 def rebuild_kpi(
     spark: SparkSession, source: str, target: str, dialect: str = "python_literal"
 ) -> None:
-    """Replace ``target`` by the KPI rows of all files in ``source``, in one job."""
-    write_parquet(visit_kpi(read_parquet(spark, source), dialect), target)
+    """Replace ``target`` by the KPI rows of all files in ``source``, in one job.
+
+    Files may differ in columns; one that lacks a key or the hits raises ``ValueError``.
+    """
+    require_in_files(spark, parquet_files(spark, source), NEEDED)
+    write_parquet(visit_kpi(read_lot(spark, source), dialect), target)
 
 
 def append_new_kpi(
@@ -21,15 +30,24 @@ def append_new_kpi(
     checkpoint: str,
     files_per_batch: int = 1000,
     dialect: str = "python_literal",
+    schema: StructType | None = None,
 ) -> StreamingQuery:
     """Append the KPI rows of files not seen before; returns the finished query.
 
     ``checkpoint`` remembers the files done, and the Parquet sink adds each batch exactly
     once, so a restart neither repeats nor loses rows.  Any failure stops the run.  Do not
-    share ``target`` with :func:`rebuild_kpi`.  All files must have the same columns.
+    share ``target`` with :func:`rebuild_kpi`.
+
+    Files may differ in columns.  Without ``schema``, the footers of all files present are merged
+    into one, and a file that lacks a key or the hits raises ``ValueError`` before anything is
+    written.  With ``schema`` no footer is read, which spares a listing of a very large source;
+    what a file lacks is then NULL.
     """
+    if schema is None:
+        require_in_files(spark, parquet_files(spark, source), NEEDED)
+        schema = read_lot(spark, source).schema
     visits = (
-        spark.readStream.schema(read_parquet(spark, source).schema)
+        spark.readStream.schema(schema)
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(source)

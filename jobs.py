@@ -29,7 +29,7 @@ def arguments() -> argparse.ArgumentParser:
     job = jobs.add_parser("ingest", help="raw CSV to cleaned Parquet")
     job.add_argument("source")
     job.add_argument("target")
-    job.add_argument("--wide", action="store_true", help="fields of up to 10 million characters")
+    job.add_argument("--wide", action="store_true", help="read as read_csv_wide does")
     job.add_argument("--partitions", type=int, help="spread the rows of a few big files")
 
     job = jobs.add_parser("kpi", help="cleaned Parquet to the visit KPI table")
@@ -42,8 +42,9 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("source")
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--target", help="where KPI rows go; without it they are only counted")
-    job.add_argument("--files-per-batch", type=int, default=1)
-    job.add_argument("--on-error", choices=["skip", "fail"], default="skip")
+    job.add_argument("--files-per-batch", type=int, default=1000)
+    job.add_argument("--on-error", choices=["skip", "fail"], default="fail")
+    job.add_argument("--failed", help="with skip: folder for the names of failed files")
     sink = job.add_mutually_exclusive_group(required=True)
     sink.add_argument("--events", help="folder for events as JSON lines")
     sink.add_argument("--kafka", help="broker list")
@@ -60,6 +61,7 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("target")
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--topic", default=contract.EVENT_TOPIC)
+    job.add_argument("--max-per-batch", type=int, help="messages per micro-batch")
     return parser
 
 
@@ -79,14 +81,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             def emit(events):
                 kafka_event_sink(events, args.kafka, args.topic).save()
         run_monitored_kpi(spark, args.source, emit, args.checkpoint, args.target,
-                          args.files_per_batch, args.on_error)
+                          args.files_per_batch, args.on_error, failed=args.failed)
     elif args.job == "load-lots":
         load_lots(spark, args.paths)
     elif args.job == "star":
         build_star(spark, export_to=args.export_to).show(truncate=False)
     elif args.job == "listen":
-        messages = kafka_event_source(spark, args.kafka, args.topic).load()
-        deliver_events(decode_events(messages), args.target, args.checkpoint).awaitTermination()
+        messages = kafka_event_source(
+            spark, args.kafka, args.topic, max_per_batch=args.max_per_batch).load()
+        deliver_events(decode_events(messages, unreadable="texto"), args.target, args.checkpoint).awaitTermination()
 
 
 def main() -> None:

@@ -1,4 +1,6 @@
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.errors import AnalysisException
 
 from footfall.plans import clean_raw, ingest_csv
@@ -49,9 +51,12 @@ def test_csv_round_trip_keeps_odd_texts(spark, tmp_path):
 
 
 def test_wide_csv_takes_huge_fields(spark, tmp_path):
-    huge = "x" * 3_000_000
+    huge = "x" * 10_000_100
     write_csv(spark.createDataFrame([(huge,)], "t string"), f"{tmp_path}/csv")
-    assert read_csv_wide(spark, f"{tmp_path}/csv").first()["t"] == huge
+    for reader in (read_csv, read_csv_wide):
+        assert reader(spark, f"{tmp_path}/csv").first()["t"] == huge
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        read_csv_wide(spark, f"{tmp_path}/csv", max_chars=1000).first()
 
 
 @pytest.mark.parametrize("partitions, files", [(None, 1), (4, 4)])

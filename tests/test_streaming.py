@@ -10,7 +10,8 @@ from footfall.sources import read_accumulated, read_parquet
 from footfall.streaming import monitored
 from footfall.streaming import (
     append_new_kpi, as_json_lines, decode_events, deliver_events, event_rows, json_event_log,
-    kafka_event_sink, kafka_event_source, read_event_log, rebuild_kpi, run_monitored_kpi,
+    kafka_event_sink, kafka_event_source, read_event_log, rebuild_kpi, retry_failed,
+    run_monitored_kpi,
 )
 
 
@@ -48,6 +49,7 @@ def test_rebuild_replaces(spark, lots, tmp_path):
 
 
 def run(spark, source, tmp_path, **options):
+    options = {"files_per_batch": 1, **options}
     run_monitored_kpi(spark, source, json_event_log(f"{tmp_path}/events"),
                       f"{tmp_path}/progress", f"{tmp_path}/kpi", **options)
     lines = [row[0] for row in spark.read.text(f"{tmp_path}/events").collect()]
@@ -91,10 +93,13 @@ def test_counting_only(spark, lots, tmp_path):
     assert not (tmp_path / "kpi").exists()
 
 
-def test_a_bad_file_does_not_stop_the_others(spark, lots, raw, tmp_path):
+@pytest.mark.parametrize("files_per_batch", [1, 100])
+def test_a_bad_file_does_not_stop_the_others(spark, lots, raw, tmp_path, files_per_batch):
+    options = {"files_per_batch": files_per_batch, "on_error": "skip",
+               "failed": f"{tmp_path}/failed"}
     (tmp_path / "raw" / "damaged.parquet").write_text("this is no Parquet file")
     raw({}).drop("hits").coalesce(1).write.mode("append").parquet(lots)
-    events = run(spark, lots, tmp_path)
+    events = run(spark, lots, tmp_path, **options)
     errors = [e for e in events if e["evento"] == "error"]
     assert len(errors) == 2
     assert all(set(e) == {"evento", "timestamp", "lote_id", "archivos", "detalle", "stacktrace"}
@@ -102,9 +107,79 @@ def test_a_bad_file_does_not_stop_the_others(spark, lots, raw, tmp_path):
     assert ["damaged.parquet"] in [e["archivos"] for e in errors]
     assert any("hits" in e["detalle"] for e in errors)
     assert read_accumulated(spark, f"{tmp_path}/kpi").count() == 5
-    run(spark, lots, tmp_path)  # skipped for good
+    run(spark, lots, tmp_path, **options)  # done with
     assert read_accumulated(spark, f"{tmp_path}/kpi").count() == 5
 
+    damaged = tmp_path / "raw" / "damaged.parquet"
+    damaged.write_bytes(read_bytes_with_rows(spark, tmp_path, raw))
+    for crc in (tmp_path / "raw").glob(".damaged*"):
+        crc.unlink()
+    for _ in range(2):
+        still = retry_failed(spark, f"{tmp_path}/failed", f"{tmp_path}/kpi")
+        assert len(still) == 1 and "damaged" not in still[0]
+        assert read_accumulated(spark, f"{tmp_path}/kpi").count() == 6
+
+
+def read_bytes_with_rows(spark, tmp_path, raw):
+    raw({"visitId": "mended"}).coalesce(1).write.parquet(f"{tmp_path}/mended")
+    return next((tmp_path / "mended").glob("part-*.parquet")).read_bytes()
+
+
+def test_a_pass_that_fails_is_taken_by_halves(spark, lots, tmp_path, monkeypatch):
+    really, culprit = monitored._one_pass, sorted(
+        path.name for path in (tmp_path / "raw").glob("part-*.parquet"))[0]
+
+    def picky(spark, paths, *args):
+        if any(path.endswith(culprit) for path in paths):
+            raise RuntimeError("bad page")
+        return really(spark, paths, *args)
+
+    monkeypatch.setattr(monitored, "_one_pass", picky)
+    events = run(spark, lots, tmp_path, files_per_batch=100, on_error="skip",
+                 failed=f"{tmp_path}/failed")
+    assert [e["archivos"] for e in events if e["evento"] == "error"] == [[culprit]]
+    want = visit_kpi(read_parquet(spark, *(
+        str(path) for path in (tmp_path / "raw").glob("part-*.parquet") if path.name != culprit)))
+    assert same(read_accumulated(spark, f"{tmp_path}/kpi"), want)
+    final = [e for e in events if e["evento"] == "resultado_limpieza"]
+    assert [e["filas_finales"] for e in final] == [want.count()]
+
+
+def test_a_new_checkpoint_starts_afresh(spark, lots, tmp_path):
+    run(spark, lots, tmp_path)
+    for number in (1, 2):
+        run_monitored_kpi(spark, lots, lambda events: None, f"{tmp_path}/other{number}",
+                          f"{tmp_path}/kpi")
+        assert read_accumulated(spark, f"{tmp_path}/kpi").count() == 5
+    with pytest.raises(ValueError, match="checkpoint"):
+        run(spark, lots, tmp_path)
+
+
+def test_names_with_glob_characters(spark, raw, tmp_path):
+    raw({"visitId": "1"}).coalesce(1).write.parquet(f"{tmp_path}/one")
+    (tmp_path / "raw").mkdir()
+    for name in ("g[1].parquet", "h{a,b}.parquet", "i*.parquet"):
+        source = next((tmp_path / "one").glob("part-*.parquet"))
+        (tmp_path / "raw" / name).write_bytes(source.read_bytes())
+    run(spark, f"{tmp_path}/raw", tmp_path, files_per_batch=2)
+    assert read_accumulated(spark, f"{tmp_path}/kpi").count() == 3
+
+
+def test_files_that_differ_in_columns(spark, raw, tmp_path):
+    source = f"{tmp_path}/raw"
+    raw({"visitId": "1"}).coalesce(1).write.parquet(source)
+    raw({"visitId": "2"}).drop("totals").coalesce(1).write.mode("append").parquet(source)
+    rebuild_kpi(spark, source, f"{tmp_path}/kpi1")
+    append_new_kpi(spark, source, f"{tmp_path}/kpi2", f"{tmp_path}/done")
+    for folder in ("kpi1", "kpi2"):
+        rows = read_parquet(spark, f"{tmp_path}/{folder}").orderBy("visitId").collect()
+        assert [(r.visitId, r.visits) for r in rows] == [("1", 1), ("2", None)]
+    raw({"visitId": "3"}).drop("hits").coalesce(1).write.mode("append").parquet(source)
+    with pytest.raises(ValueError, match="hits"):
+        rebuild_kpi(spark, source, f"{tmp_path}/kpi1")
+    with pytest.raises(ValueError, match="hits"):
+        append_new_kpi(spark, source, f"{tmp_path}/kpi3", f"{tmp_path}/done3")
+
 
 def test_a_stopped_run_repeats_the_failed_batch(spark, lots, tmp_path):
     damaged = tmp_path / "raw" / "damaged.parquet"
@@ -150,6 +225,8 @@ def test_a_failing_sink_stops_the_run(spark, lots, tmp_path):
 def test_on_error_is_checked(spark):
     with pytest.raises(ValueError, match="on_error"):
         run_monitored_kpi(spark, "x", print, "y", on_error="ignore")
+    with pytest.raises(ValueError, match="failed"):
+        run_monitored_kpi(spark, "x", print, "y", on_error="skip")
 
 
 def test_events_are_stamped_in_utc(spark):
@@ -180,6 +257,8 @@ def test_event_stream(spark, tmp_path):
     assert by_tag["inicio_proceso"]["tamaño_lote"] == 1
     assert by_tag["stats_dataframe"]["campos_nulos"] == {"a": 3, "b": 0}
     assert by_tag[None]["timestamp"] is None
+    told = decode_events(spark.read.text(f"{tmp_path}/topic"), unreadable="text")
+    assert sorted(r.text or "" for r in told.collect()) == ["", "", "[]", "{broken"]
 
 
 def test_kafka_ends_need_only_the_connector(spark):
