@@ -267,11 +267,12 @@ ORACLE = {
         FROM events""",
     "visit_kpi_rebuild": KPI_ROWS,
     "kpi_mixed_schemas": f"""
-        SELECT * REPLACE (CASE WHEN even THEN visits END AS visits,
-                          CASE WHEN even THEN pageviews END AS pageviews,
-                          CASE WHEN even THEN transactions END AS transactions,
-                          CASE WHEN even THEN "transactionRevenue" END AS "transactionRevenue")
-        EXCLUDE even FROM (SELECT *, "visitId"::BIGINT % 2 = 0 AS even FROM ({KPI_ROWS}))""",
+        SELECT * EXCLUDE (even) REPLACE (
+          CASE WHEN even THEN visits END AS visits,
+          CASE WHEN even THEN pageviews END AS pageviews,
+          CASE WHEN even THEN transactions END AS transactions,
+          CASE WHEN even THEN "transactionRevenue" END AS "transactionRevenue")
+        FROM (SELECT *, "visitId"::BIGINT % 2 = 0 AS even FROM ({KPI_ROWS}))""",
     "visit_kpi_microbatch": KPI_ROWS,
     "monitored_rebuild": KPI_ROWS,
     "batch_error_mixed": over_kpi("""
