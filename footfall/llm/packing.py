@@ -1,5 +1,6 @@
 """Packing: documents as tokens in sequences of bounded length, by minimum bin slack."""
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -10,66 +11,145 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from footfall.llm.exchange import hidden, shown, slices, texts_of
-from footfall.llm.words import words_of
+from footfall.llm.words import Words, words_of
 
 CAPACITY = 2048
 END_ID = 1
 #: Remainders that a task gathers before it fills sequences.
 WINDOW_PIECES = 4096
-CACHE_WORDS = 400_000
+KNOWN_WORDS = 1_000_000
+#: Words of a-z and the letters of Latin-1 beyond ASCII, in UTF-8.
+LATIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
-class WordTokenizer:
-    """Token ids of texts whose tokenizer never joins characters across ASCII blanks.
+_BYTES = np.arange(256)
+_LETTER = ((_BYTES | 32) >= 0x61) & ((_BYTES | 32) <= 0x7A) & (_BYTES < 0x80)
+_SIGN = (_BYTES > 0x20) & (_BYTES < 0x7F) & ~_LETTER
+
 
-    Each distinct word of a batch is looked up once; words not met before are encoded by the
-    library.  The memory of known words is emptied when full, which changes no result.
+class WordTokenizer:
+    """Token ids of texts, for tokenizers that lower-case and cut at ASCII blanks and between an
+    ASCII letter and a following ASCII digit or sign.
+
+    Words are looked up by hash; those not met before are encoded by the library together.  Words
+    of Latin letters are joined by blanks, and each one's ids end with its only token that ends
+    a word; between other words there is a special token, at which the ids are cut apart.  A batch
+    that holds the beginning of a special token's text is encoded text by text.  Once the memory
+    of known words is full, further words are encoded anew for each batch.
     """
 
     def __init__(self, file: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def ids(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids (uint32), and where each text's ids begin; one entry more ends the last."""
-        words = words_of(texts)
-        _, first, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-        distinct = [words.word(i) for i in first]
-        new = [word for word in distinct if word not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = distinct
-        if new:
-            found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            for word, encoding in zip(new, found, strict=True):
-                self.known[word] = np.array(encoding.ids, dtype=np.uint32)
-        parts = [self.known[word] for word in distinct]
-        flat = np.concatenate(parts) if parts else np.empty(0, dtype=np.uint32)
-        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        place = np.cumsum(size) - size
-        sizes = size[which]
-        ends = np.cumsum(sizes)
+        special = {id_: token.content for id_, token in self.tokenizer.get_added_tokens_decoder().items()
+                   if token.special}
+        self.mark, self.mark_id = min((text, id_) for id_, text in special.items())
+        self.opening = {text[:2].encode() for text in special.values()}
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        #: Sorted hashes, the number of each one's entry, and the entries: where its ids are.
+        self.known = np.empty(0, dtype=np.uint64)
+        self.entry = np.empty(0, dtype=np.int64)
+        self.place = np.empty(0, dtype=np.int64)
+        self.size = np.empty(0, dtype=np.int64)
+        self.flat = np.empty(0, dtype=np.uint32)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, self.entry[at], -1)
+
+    def _encode(self, texts: list[bytes], joint: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(
+            joint.encode().join(texts).decode(), add_special_tokens=False).ids, dtype=np.uint32)
+
+    def _word_ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of words, and where each word's begin and end."""
+        latin = np.array([LATIN.fullmatch(text) is not None for text in texts], dtype=bool)
+        latin &= self.is_end.any()
+        flat, begin, end = [], np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
+        done = 0
+        for rows, joint in ((np.flatnonzero(latin), " "), (np.flatnonzero(~latin), self.mark)):
+            if not len(rows):
+                continue
+            own = [texts[i] for i in rows.tolist()]
+            ids = self._encode(own, joint)
+            if joint == " ":
+                to = np.flatnonzero(self.is_end[ids]) + 1
+                at = np.concatenate(([0], to[:-1]))
+                if len(to) != len(rows):
+                    raise ValueError("the tokenizer does not mark where words end")
+            else:
+                cuts = np.flatnonzero(ids == self.mark_id)
+                at, to = np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(ids)]))
+            begin[rows], end[rows] = at + done, to + done
+            flat.append(ids)
+            done += len(ids)
+        return np.concatenate(flat), begin, end
+
+    def _learn(self, words: Words, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Encode words, given their hashes and where one of each is; the numbers of their entries."""
+        ids, begin, end = self._word_ids([words.word(i) for i in first.tolist()])
+        numbers = np.arange(len(hashes)) + len(self.place)
+        self.place = np.concatenate((self.place, begin + len(self.flat)))
+        self.size = np.concatenate((self.size, end - begin))
+        self.flat = np.concatenate((self.flat, ids))
+        at = np.searchsorted(self.known, hashes)
+        self.known, self.entry = np.insert(self.known, at, hashes), np.insert(self.entry, at, numbers)
+        return numbers
+
+    def ids(self, texts: list[bytes | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids (uint32), each text's closed by ``end_id``, and where each text's begin."""
+        if any(o in text for text in texts if text for o in self.opening):
+            return self._special_ids(texts, end_id)
+        words = words_of(texts, lower=True, cut=(_LETTER, _SIGN))
+        at = self._find(words.hashes)
+        new = np.flatnonzero(at < 0)
+        before = self.known, self.entry, self.place, self.size, self.flat
+        if len(new):
+            hashes, first, which = np.unique(words.hashes[new], return_index=True, return_inverse=True)
+            at[new] = self._learn(words, hashes, new[first])[which]
+        size = self.size[at]
+        ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(place[which] - (ends - sizes), sizes) + np.arange(total)]
-        return ids, np.concatenate(([0], ends))[words.first]
+        ids = self.flat[np.repeat(self.place[at] - (ends - size), size) + np.arange(total)]
+        if len(self.known) > KNOWN_WORDS:
+            self.known, self.entry, self.place, self.size, self.flat = before
+        begins = np.concatenate(([0], ends))[words.first]
+        return _closed(ids, begins, end_id)
+
+    def _special_ids(self, texts: list[bytes | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch(
+            [(t or b"").decode() for t in texts], add_special_tokens=False)]
+        begins = np.concatenate(([0], np.cumsum([len(f) for f in found])))
+        return _closed(np.array([i for f in found for i in f], dtype=np.uint32), begins, end_id)
 
 
-def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
-    """The multiset of lengths, at most as many of each as ``counts`` has, with the largest sum
-    up to ``capacity`` among those that hold the longest one.
+def _closed(ids: np.ndarray, begins: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with ``end_id`` after each text's."""
+    n = len(begins) - 1
+    out = np.full(len(ids) + n, end_id, dtype="<u4")
+    out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(begins))] = ids
+    return out, begins + np.arange(n + 1)
+
+
+def fill(counts: np.ndarray, capacity: int) -> dict[int, int]:
+    """The multiset of lengths, at most ``counts[length]`` of each, with the largest sum up to
+    ``capacity`` among those that hold the longest one.
 
     A bitset has a bit for each reachable sum.  Lengths are added from the longest down, each in
     groups of 1, 2, 4, ... pieces; the sets before each group lead back from the best sum to
     how many pieces of each length it takes.
     """
-    lengths = sorted(counts, reverse=True)
-    longest = lengths[0]
+    longest = int(np.flatnonzero(counts)[-1])
     space = capacity - longest
     full, reach, steps = (1 << (space + 1)) - 1, 1, []
-    for length in lengths:
-        left = min(counts[length] - (length == longest), space // length)
+    fitting = np.flatnonzero(counts[:space + 1])[::-1]
+    for length, n in zip(fitting.tolist(), counts[fitting].tolist(), strict=True):
+        left = min(n - (length == longest), space // length)
         group = 1
         while left > 0:
             group = min(group, left)
@@ -98,7 +178,8 @@ class Packer:
 
     def __init__(self, capacity: int, number: int) -> None:
         self.capacity, self.number = capacity, number
-        self.waiting: dict[int, list] = {}
+        self.waiting: list[list] = [[] for _ in range(capacity)]
+        self.counts = np.zeros(capacity, dtype=np.int64)
         self.n_waiting = 0
         self.rows: list[tuple] = []
 
@@ -108,38 +189,49 @@ class Packer:
         for start in range(0, full, self.capacity):
             self._emit([(doc, start, ids[start:start + self.capacity])])
         if full < len(ids):
-            self.waiting.setdefault(len(ids) - full, []).append((doc, full, ids[full:].copy()))
-            self.n_waiting += 1
+            self._wait((doc, full, ids[full:].copy()))
+
+    def _wait(self, piece: tuple) -> None:
+        self.waiting[len(piece[2])].append(piece)
+        self.counts[len(piece[2])] += 1
+        self.n_waiting += 1
+
+    def _take(self, length: int) -> tuple:
+        self.counts[length] -= 1
+        self.n_waiting -= 1
+        return self.waiting[length].pop()
 
-    def pack(self, last: bool) -> None:
-        """Fill sequences while they come out full; at the end of a task take everything.
+    def pack(self, leave: int = 0) -> None:
+        """Fill sequences until no more than ``leave`` pieces wait.
 
-        What does not fill the last sequences is cut at powers of two, which need no padding.
+        What a fill lacks is cut from the shortest waiting piece that is longer.  When all that
+        waits is shorter than a sequence, it is cut at powers of two, which need no padding.
         """
-        while self.n_waiting:
-            counts = {length: len(pieces) for length, pieces in self.waiting.items()}
-            taken = fill(counts, self.capacity)
-            total = sum(length * n for length, n in taken.items())
-            if total < self.capacity and not last:
-                return
-            pieces = []
-            for length, n in sorted(taken.items(), reverse=True):
-                for _ in range(n):
-                    pieces.append(self.waiting[length].pop())
-                if not self.waiting[length]:
-                    del self.waiting[length]
-            self.n_waiting -= len(pieces)
-            for size in [total] if total == self.capacity else powers_of_two(total):
-                part, room = [], size
-                while room:
-                    doc, start, ids = pieces[0]
-                    part.append((doc, start, ids[:room]))
-                    if len(ids) > room:
-                        pieces[0] = (doc, start + room, ids[room:])
-                    else:
-                        pieces.pop(0)
-                    room -= len(part[-1][2])
-                self._emit(part)
+        while self.n_waiting > leave:
+            taken = fill(self.counts, self.capacity)
+            pieces = [self._take(length) for length, n in taken.items() for _ in range(n)]
+            gap = self.capacity - sum(len(ids) for _, _, ids in pieces)
+            longer = np.flatnonzero(self.counts[gap + 1:]) if gap else []
+            if len(longer):
+                doc, start, ids = self._take(gap + 1 + int(longer[0]))
+                pieces.append((doc, start, ids[:gap]))
+                self._wait((doc, start + gap, ids[gap:]))
+                gap = 0
+            if not gap:
+                self._emit(pieces)
+            else:
+                self._emit_powers(pieces)
+
+    def _emit_powers(self, pieces: list[tuple]) -> None:
+        for room in powers_of_two(sum(len(ids) for _, _, ids in pieces)):
+            part = []
+            while room:
+                doc, start, ids = pieces.pop()
+                part.append((doc, start, ids[:room]))
+                if len(ids) > room:
+                    pieces.append((doc, start + room, ids[room:]))
+                room -= len(part[-1][2])
+            self._emit(part)
 
     def _emit(self, pieces: list[tuple]) -> None:
         offset = 0
@@ -166,9 +258,9 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, text: str = "text",
     ``offset`` within the sequence and ``ids`` (little-endian unsigned 32-bit).  A document is
     its token ids and ``end_id``.  Whole capacities of a long document are sequences of their
     own.  The remainders wait, and each sequence is filled from the longest one by the multiset
-    of remaining lengths that comes closest to the capacity (see :func:`fill`).  A fill with a
-    gap is put off until more remainders have come; those left at the end of a task are cut at
-    powers of two, so that nothing is padded.
+    of remaining lengths that comes closest to the capacity (see :func:`fill`).  A gap that even
+    the closest leaves is filled with the beginning of another remainder; what is left at the end
+    of a task is cut at powers of two, so that nothing is padded.
 
     Tasks pack on their own: no shuffle, no hot key, and memory for ``window`` remainders.
     ``tokenizer_file`` must exist on every executor.  A NULL or empty text is ``end_id`` alone.
@@ -192,19 +284,15 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, text: str = "text",
             values = [column.to_pylist() for column in own.columns]
             at = 0
             for part in slices(batch, text="_text"):
-                ids, begins = encoder.ids(texts_of(part, "_text"))
-                for i in range(part.num_rows):
-                    tokens = np.append(ids[begins[i]:begins[i + 1]], np.uint32(end_id))
-                    doc = (*(v[at] for v in values), len(tokens))
-                    packer.add(doc, tokens.astype("<u4"))
+                ids, begins = encoder.ids(texts_of(part, "_text"), end_id)
+                for begin, end in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+                    packer.add((*(v[at] for v in values), end - begin), ids[begin:end])
                     at += 1
                     if packer.n_waiting >= window:
-                        packer.pack(last=False)
-                        if packer.n_waiting >= window:
-                            packer.pack(last=True)
+                        packer.pack(leave=window // 2)
                 if packer.rows:
                     yield _batch(packer, schema)
-        packer.pack(last=True)
+        packer.pack()
         if packer.rows:
             yield _batch(packer, schema)
 

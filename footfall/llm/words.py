@@ -82,18 +82,26 @@ class Words:
         return self.data[self.start[i]:self.end[i]]
 
 
-def words_of(texts: list[bytes | None], is_word: np.ndarray = SPACED, lower: bool = False) -> Words:
-    """Split texts (None: no words) into words; ``lower`` maps A-Z to a-z first."""
+def words_of(texts: list[bytes | None], is_word: np.ndarray = SPACED, lower: bool = False,
+             cut: tuple[np.ndarray, np.ndarray] | None = None) -> Words:
+    """Split texts (None: no words) into words; ``lower`` maps A-Z to a-z first.
+
+    With ``cut``, a word also ends between two bytes of which the first is in the one table and
+    the second in the other.
+    """
     texts = [text or b"" for text in texts]
     data = b" ".join(texts) + b" "
     if lower:
         data = data.translate(LOWER)
     raw = np.frombuffer(data, dtype=np.uint8)
     inside = is_word[raw]
-    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    if len(inside) and inside[0]:
-        edges = np.concatenate(([0], edges))
-    start, end = edges[0::2], edges[1::2]
+    begins_here, ends_here = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+    if cut:
+        between = cut[0][raw[:-1]] & cut[1][raw[1:]]
+        begins_here, ends_here = begins_here | between, ends_here | between
+    start, end = np.flatnonzero(begins_here) + 1, np.flatnonzero(ends_here) + 1
+    if inside[0]:
+        start = np.concatenate(([0], start))
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     begins = np.concatenate(([0], np.cumsum(sizes + 1)))
     return Words(data, start, end, np.searchsorted(start, begins), _word_hashes(raw, start, end))
