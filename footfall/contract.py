@@ -73,8 +73,8 @@ TOTALS_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ME
 
 HIT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in HIT_COLUMNS])
 
-# One nullable column per field of any event; each event fills only its own.
-# The timestamp is UTC.
+# The field names of the events.  One nullable column per field of any event;
+# each event fills only its own.  The timestamp is UTC.
 EVENT_SCHEMA = T.StructType([
     T.StructField("evento", T.StringType()),
     T.StructField("timestamp", T.TimestampNTZType()),

@@ -17,5 +17,9 @@ def normalize_json_list(text: Column) -> Column:
 
 
 def parse_totals(text: Column) -> Column:
-    """Struct of the four totals as text; bad text gives a struct of NULLs."""
+    """Struct of the four totals as text.
+
+    Text that does not begin with a JSON object gives a struct of NULLs; what follows the
+    object's closing bracket is ignored, as the engine's JSON reader does.
+    """
     return F.from_json(text, TOTALS_SCHEMA)
