@@ -50,7 +50,8 @@ def _ask_blocks(chunk: int, batch: pa.RecordBatch, block: int, n_buckets: int) -
     words = words_of(texts_of(batch))
     rolling, fixed = _blocks(words, block)
     found, count = np.unique(rolling, return_counts=True)
-    index = np.isin(found, fixed[:, 1])
+    index = np.zeros(len(found), dtype=bool)
+    index[np.searchsorted(found, fixed[:, 1])] = True
     rows: dict[str, list] = {"bucket": [], "chunk": [], "probes": [], "twice": [], "index": []}
     for bucket, piece in _pieces(found, n_buckets):
         low = (found[piece] & LOW).astype("<u4")
@@ -62,15 +63,26 @@ def _ask_blocks(chunk: int, batch: pa.RecordBatch, block: int, n_buckets: int) -
     return rows
 
 
+def _within(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which values are among the ascending ones."""
+    if not len(ascending):
+        return np.zeros(len(values), dtype=bool)
+    return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
+
+
 def _answer_blocks(table: pa.Table) -> dict:
     """For each chunk, which of its reference blocks occur at another place of any text."""
-    probes = [numbers(v, "<u4") for v in table["probes"]]
-    found, count = np.unique(np.concatenate(probes), return_counts=True)
-    again = np.union1d(found[count > 1], np.concatenate([numbers(v, "<u4") for v in table["twice"]]))
+    found = np.sort(np.concatenate([numbers(v, "<u4") for v in table["probes"]]))
+    twice = np.concatenate([numbers(v, "<u4") for v in table["twice"]])
+    again = np.unique(np.concatenate((found[1:][found[1:] == found[:-1]], twice)))
+    index = [numbers(v, "<u4") for v in table["index"]]
+    flat = np.concatenate(index)
+    hit = _within(flat, again)
     rows: dict[str, list] = {"chunk": [], "bucket": [], "step": [], "data": []}
-    for chunk, bucket, index in zip(table["chunk"].to_pylist(), table["bucket"].to_pylist(),
-                                    table["index"], strict=True):
-        own = np.intersect1d(numbers(index, "<u4"), again)
+    at = 0
+    for chunk, bucket, own in zip(table["chunk"].to_pylist(), table["bucket"].to_pylist(), index,
+                                  strict=True):
+        own, at = own[hit[at:at + len(own)]], at + len(own)
         if len(own):
             rows["chunk"].append(chunk)
             rows["bucket"].append(bucket)
@@ -96,7 +108,7 @@ def _candidates(words: Words, answers: pa.Table, window: int, block: int,
     _, fixed = _blocks(words, block)
     key = bucket_of(fixed[:, 1], n_buckets) << np.uint64(32) | (fixed[:, 1] & LOW)
     is_anchor = np.zeros(len(words.start) + block, dtype=bool)
-    is_anchor[fixed[np.isin(key, anchor), 0].astype(np.int64)] = True
+    is_anchor[fixed[_within(key, anchor), 0].astype(np.int64)] = True
     place = _positions(words)
     at = np.flatnonzero(words.left() >= window)
     at = at[is_anchor[at + (-place[at]) % block]]
@@ -121,12 +133,14 @@ def _ask_windows(chunk: int, batch: pa.RecordBatch, answers: pa.Table, window: i
 def _answer_windows(table: pa.Table) -> dict:
     """For each chunk, a bit for each of its windows: whether it occurs elsewhere."""
     probes = [numbers(v, "<u8") for v in table["probes"]]
-    found, count = np.unique(np.concatenate(probes), return_counts=True)
-    again = found[count > 1]
-    data = []
+    flat = np.concatenate(probes)
+    found = np.sort(flat)
+    hit = _within(flat, np.unique(found[1:][found[1:] == found[:-1]]))
+    data, at = [], 0
     for own, twice in zip(probes, table["twice"], strict=True):
         bits = np.unpackbits(numbers(twice, "u1"), count=len(own)).astype(bool)
-        data.append(np.packbits(bits | np.isin(own, again)).tobytes())
+        data.append(np.packbits(bits | hit[at:at + len(own)]).tobytes())
+        at += len(own)
     return {"chunk": table["chunk"].to_pylist(), "bucket": table["bucket"].to_pylist(),
             "step": [1] * len(data), "data": data}
 
