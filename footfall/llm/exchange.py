@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from footfall.scratch import write_aside
+from footfall.scratch import new_folder
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 16 << 20
 CHUNK_SCHEMA = "chunk long, n_rows long, n_bytes long, data binary"
 
@@ -73,7 +73,20 @@ def write_chunks(docs: DataFrame, purpose: str, limit: int = CHUNK_BYTES) -> Dat
                 })
                 number += 1
 
-    return write_aside(docs.mapInArrow(pack, CHUNK_SCHEMA), purpose)
+    return write_blobs(docs.mapInArrow(pack, CHUNK_SCHEMA), purpose, compression="uncompressed")
+
+
+def write_blobs(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
+    """Write rows with large binary values to a fresh shared folder and read them back.
+
+    Parquet's writer looks at the size of a page only every hundred rows by default; with values
+    of half a megabyte such pages, and the buffers outside the heap that compress them, would
+    take most of an executor's memory.
+    """
+    folder = new_folder(df.sparkSession, purpose)
+    df.write.options(**{"compression": compression, "parquet.page.size.row.check.min": 1,
+                        "parquet.page.size.row.check.max": 16}).parquet(folder)
+    return df.sparkSession.read.parquet(folder)
 
 
 def bucket_count(spark: SparkSession, n_bytes: int) -> int:
@@ -142,6 +155,20 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def small_counts(values: np.ndarray) -> bytes:
+    """Counts of one byte each; 255 stands for a larger one, which follows at the end."""
+    large = values >= 255
+    return np.minimum(values, 255).astype("u1").tobytes() + values[large].astype("<u8").tobytes()
+
+
+def counts_of(value: pa.Scalar, n: int) -> np.ndarray:
+    """The ``n`` counts that :func:`small_counts` packed."""
+    raw = numbers(value, "u1")
+    out = raw[:n].astype(np.int64)
+    out[out == 255] = np.frombuffer(raw[n:].tobytes(), dtype="<u8")
+    return out
+
+
 def numbers(value: pa.Scalar, dtype: str) -> np.ndarray:
     """A binary value as an array."""
     return np.frombuffer(value.as_buffer(), dtype=dtype) if value.is_valid else np.empty(0, dtype)

@@ -1,7 +1,7 @@
 """Embedding near-dedup: navigable small-world graphs per shard, audited and verified."""
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
+from footfall.llm.exchange import write_blobs
 from footfall.llm.graph import components
 from footfall.scratch import write_aside
 
@@ -21,6 +22,9 @@ BUILD_BEAM, FIRST_BEAM = 32, 32
 #: Rows that walk the graph together, and vectors each of them expands in one step.
 TOGETHER, EXPAND = 256, 4
 AUDITED, RECALL = 128, 0.999
+WIDEST = 128
+#: How far a cosine in single precision may lie below the true one.
+SLACK = 1e-5
 
 
 @dataclass
@@ -28,12 +32,18 @@ class Graph:
     """``near[l]`` has a row of neighbours (-1: none) for each vector, on level ``l``.
 
     Every vector is on level 0, one in ``DEGREE`` of a level on the next; walks begin at
-    ``entry`` on the top level.
+    ``entry`` on the top level.  Walks compare ``light``, the vectors in single precision.
+    ``lost`` are vectors that a walk towards themselves does not reach; queries are compared with
+    them one by one.
     """
 
     vectors: np.ndarray
     near: list[np.ndarray]
     entry: int
+    lost: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
+
+    def __post_init__(self) -> None:
+        self.light = self.vectors.astype(np.float32)
 
 
 def unit_rows(values: np.ndarray) -> np.ndarray:
@@ -43,18 +53,18 @@ def unit_rows(values: np.ndarray) -> np.ndarray:
 
 
 def _cosines(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    return np.einsum("qnd,qd->qn", vectors[ids], queries)
+    return np.matmul(vectors[ids], queries[:, :, None])[:, :, 0]
 
 
 def _descend(graph: Graph, queries: np.ndarray, level: int) -> np.ndarray:
     """The vector at which a greedy walk over the levels above ``level`` ends."""
     at = np.full(len(queries), graph.entry)
-    best = queries @ graph.vectors[graph.entry]
+    best = queries @ graph.light[graph.entry]
     for upper in range(len(graph.near) - 1, level, -1):
         moving = np.arange(len(queries))
         while len(moving):
             ids = graph.near[upper][at[moving]]
-            cosine = np.where(ids >= 0, _cosines(graph.vectors, ids, queries[moving]), -2)
+            cosine = np.where(ids >= 0, _cosines(graph.light, ids, queries[moving]), -2)
             pick = np.argmax(cosine, axis=1)
             value = cosine[np.arange(len(moving)), pick]
             better = value > best[moving]
@@ -67,14 +77,15 @@ def beam_search(graph: Graph, queries: np.ndarray, beam: int, level: int = 0
                 ) -> tuple[np.ndarray, np.ndarray]:
     """The ``beam`` nearest vectors that a walk on ``level`` finds for each query: numbers (-1:
     none) and cosines.  All queries step together, each expanding its best few vectors."""
+    queries = queries.astype(np.float32)
     n, rows = len(queries), np.arange(len(queries))
     entry = _descend(graph, queries, level)
     ids = np.full((n, beam), -1)
-    cosine = np.full((n, beam), -2.0)
+    cosine = np.full((n, beam), -2, dtype=np.float32)
     open_ = np.zeros((n, beam), dtype=bool)
     seen = np.zeros((n, len(graph.vectors)), dtype=bool)
     ids[:, 0], open_[:, 0] = entry, True
-    cosine[:, 0] = np.einsum("qd,qd->q", graph.vectors[entry], queries)
+    cosine[:, 0] = np.einsum("qd,qd->q", graph.light[entry], queries)
     seen[rows, entry] = True
     active = rows
     width = min(EXPAND, beam)
@@ -91,7 +102,7 @@ def beam_search(graph: Graph, queries: np.ndarray, beam: int, level: int = 0
         found = np.sort(found, axis=1)
         found[:, 1:][found[:, 1:] == found[:, :-1]] = -1
         seen[np.repeat(active, (found >= 0).sum(axis=1)), found[found >= 0]] = True
-        value = np.where(found >= 0, _cosines(graph.vectors, found, queries[active]), -2)
+        value = np.where(found >= 0, _cosines(graph.light, found, queries[active]), -2)
         all_ids = np.concatenate((ids[active], found), axis=1)
         all_cosine = np.concatenate((cosine[active], value), axis=1)
         all_open = np.concatenate((open_[active], found >= 0), axis=1)
@@ -110,7 +121,8 @@ def _select(vectors: np.ndarray, own: np.ndarray, ids: np.ndarray, cosine: np.nd
     order = np.argsort(-cosine, axis=1, kind="stable")
     ids, cosine = np.take_along_axis(ids, order, axis=1), np.take_along_axis(cosine, order, axis=1)
     usable = (ids >= 0) & (ids != own[:, None])
-    between = np.einsum("rid,rjd->rij", vectors[ids], vectors[ids])
+    around = vectors[ids]
+    between = np.matmul(around, around.transpose(0, 2, 1))
     diverse = usable.copy()
     for i in range(ids.shape[1]):
         hidden = (between[:, i, :] > cosine) & diverse[:, i, None]
@@ -128,7 +140,7 @@ def _link(graph: Graph, level: int, new: np.ndarray, ids: np.ndarray, cosine: np
     """Give new vectors their neighbours, and these their links back."""
     near = graph.near[level]
     most = near.shape[1]
-    out = _select(graph.vectors, new, ids, cosine, DEGREE)
+    out = _select(graph.light, new, ids, cosine, DEGREE)
     near[new, :DEGREE] = out
     source = np.repeat(new, DEGREE)[out.ravel() >= 0]
     target = out.ravel()[out.ravel() >= 0]
@@ -143,8 +155,8 @@ def _link(graph: Graph, level: int, new: np.ndarray, ids: np.ndarray, cosine: np
             back = source[begin[few][:, None] + np.arange(size)]
             both = np.sort(np.concatenate((near[nodes[few]], back), axis=1), axis=1)
             both[:, 1:][both[:, 1:] == both[:, :-1]] = -1
-            value = np.where(both >= 0, _cosines(graph.vectors, both, graph.vectors[nodes[few]]), -2)
-            near[nodes[few]] = _select(graph.vectors, nodes[few], both, value, most)
+            value = np.where(both >= 0, _cosines(graph.light, both, graph.light[nodes[few]]), -2)
+            near[nodes[few]] = _select(graph.light, nodes[few], both, value, most)
 
 
 def build(vectors: np.ndarray) -> Graph:
@@ -167,41 +179,52 @@ def build(vectors: np.ndarray) -> Graph:
             here = new[level[new] >= at]
             if len(here):
                 ids, cosine = beam_search(graph, vectors[here], BUILD_BEAM, at)
-                mutual = vectors[here] @ vectors[here].T
+                mutual = graph.light[here] @ graph.light[here].T
                 np.fill_diagonal(mutual, -2)
                 k = min(BUILD_BEAM, len(here))
                 top = np.argpartition(-mutual, k - 1, axis=1)[:, :k]
                 _link(graph, at, here, np.concatenate((ids, here[top]), axis=1),
                       np.concatenate((cosine, np.take_along_axis(mutual, top, axis=1)), axis=1))
         done += len(new)
+    reached = np.zeros(n, dtype=bool)
+    for at in range(0, n, TOGETHER):
+        ids, _ = beam_search(graph, vectors[at:at + TOGETHER], FIRST_BEAM)
+        own = np.arange(at, at + len(ids))[:, None]
+        reached[at:at + len(ids)] = (ids == own).any(axis=1)
+    graph.lost = np.flatnonzero(~reached)
     return graph
 
 
 def linked(graph: Graph, queries: np.ndarray, least: float) -> np.ndarray:
     """For each query a row of flags: the vectors found with a cosine of ``least`` or more.
 
-    The beam begins narrow.  An audit compares some queries with all vectors; as long as it finds
-    too few of the true links, the beam is widened for all.  A query whose whole beam is within
-    reach may have more, so its beam is widened too; one that would need a quarter of the shard is
-    compared with all of it.
+    The beam begins narrow.  An audit compares some queries with all vectors; as long as those
+    whose beam has room left find too few of their true links, the beam is widened for all.  A
+    query whose whole beam is within reach may have more: its own beam is widened, and beyond
+    ``WIDEST``, or a quarter of the shard, it is compared with all vectors.
     """
     n = len(graph.vectors)
     out = np.zeros((len(queries), n), dtype=bool)
     audited = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int))
     truth = queries[audited] @ graph.vectors.T >= least
-    beam = FIRST_BEAM
+    beam, widest = FIRST_BEAM, min(n / 4, WIDEST)
     while beam < n / 4:
-        if _recall(_walk(graph, queries[audited], beam, least)[0], truth) >= RECALL:
+        found, full = _walk(graph, queries[audited], beam, least)
+        if _recall(found[~full], truth[~full]) >= RECALL:
             break
         beam *= 2
     todo = np.arange(len(queries))
-    while len(todo) and beam < n / 4:
+    widest = max(widest, beam + 1) if beam < n / 4 else 0
+    while len(todo) and beam < widest:
         flags, full = _walk(graph, queries[todo], beam, least)
         out[todo] = flags
         todo, beam = todo[full], beam * 2
     for at in range(0, len(todo), TOGETHER):
         rows = todo[at:at + TOGETHER]
         out[rows] = queries[rows] @ graph.vectors.T >= least
+    for at in range(0, len(graph.lost), TOGETHER):
+        some = graph.lost[at:at + TOGETHER]
+        out[:, some] = queries @ graph.vectors[some].T >= least
     return out
 
 
@@ -211,9 +234,11 @@ def _walk(graph: Graph, queries: np.ndarray, beam: int, least: float
     full = np.zeros(len(queries), dtype=bool)
     for at in range(0, len(queries), TOGETHER):
         ids, cosine = beam_search(graph, queries[at:at + TOGETHER], beam)
-        hit = cosine >= least
+        hit = cosine >= least - SLACK
         row, column = np.nonzero(hit)
-        flags[at + row, ids[row, column]] = True
+        column = ids[row, column]
+        true = np.einsum("nd,nd->n", queries[at + row], graph.vectors[column]) >= least
+        flags[at + row[true], column[true]] = True
         full[at:at + len(ids)] = hit.all(axis=1)
     return flags, full
 
@@ -242,7 +267,8 @@ def _smallest(flags: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[n
 
 INDEX = StructType([StructField("ids", BinaryType()), StructField("copies", BinaryType()),
                     StructField("vectors", BinaryType()), StructField("graph", BinaryType()),
-                    StructField("levels", LongType()), StructField("entry", LongType())])
+                    StructField("levels", LongType()), StructField("entry", LongType()),
+                    StructField("lost", BinaryType())])
 GROUP = ["_label", "_dim", "_shard"]
 
 
@@ -301,9 +327,10 @@ def vector_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embed
             "vectors": [graph.vectors.astype("<f8").tobytes()],
             "graph": [np.concatenate(graph.near).astype("<i4").tobytes()],
             "levels": [len(graph.near)], "entry": [graph.entry],
+            "lost": [graph.lost.astype("<i8").tobytes()],
         }, schema=arrow)
 
-    indexes = write_aside(dealt.groupBy(*GROUP).applyInArrow(index, columns), "indexes")
+    indexes = write_blobs(dealt.groupBy(*GROUP).applyInArrow(index, columns), "indexes")
     query = indexes.select("_label", "_dim", F.col("_shard").alias("_other"),
                            F.col("ids").alias("ids_b"), F.col("copies").alias("copies_b"),
                            F.col("vectors").alias("vectors_b"))
@@ -316,7 +343,7 @@ def vector_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embed
                 n_a, n_b = (np.frombuffer(row[c], "<i8") for c in ("copies", "copies_b"))
                 vectors = np.frombuffer(row["vectors"], "<f8").reshape(len(a), -1)
                 near = np.frombuffer(row["graph"], "<i4").reshape(row["levels"], len(a), WIDE)
-                graph = Graph(vectors, list(near), row["entry"])
+                graph = Graph(vectors, list(near), row["entry"], np.frombuffer(row["lost"], "<i8"))
                 flags = linked(graph, np.frombuffer(row["vectors_b"], "<f8").reshape(len(b), -1),
                                least)
                 same = row["_shard"] == row["_other"]

@@ -56,6 +56,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values in ascending order, by sorting; ``np.unique`` alone hashes, which takes
+    far longer and more memory on long arrays."""
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
 @dataclass
 class Words:
     """``first[d]`` is the index of the first word of text ``d``; one entry more ends the last."""
