@@ -25,6 +25,7 @@ from footfall.scratch import new_folder
 
 CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 16 << 20
+LEAST_BUCKET_BYTES = 1 << 16
 CHUNK_SCHEMA = "chunk long, n_rows long, n_bytes long, data binary"
 
 def slices(batch: pa.RecordBatch, text: str = "text",
@@ -90,8 +91,10 @@ def write_blobs(df: DataFrame, purpose: str, compression: str = "snappy") -> Dat
 
 
 def bucket_count(spark: SparkSession, n_bytes: int) -> int:
-    """Buckets of bounded size, and enough of them to level out over the shuffle partitions."""
-    return max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // BUCKET_BYTES))
+    """Buckets of bounded size, and enough of them to level out over the shuffle partitions, unless
+    they would hold next to nothing."""
+    even = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(even, 1 + n_bytes // LEAST_BUCKET_BYTES), -(-n_bytes // BUCKET_BYTES))
 
 
 def bucket_of(hashes: np.ndarray, n_buckets: int) -> np.ndarray:

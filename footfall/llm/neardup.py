@@ -18,12 +18,13 @@ from footfall.scratch import write_aside
 
 SHINGLE = 5
 SIMILARITY = 75
-COORDINATES = 64
+COORDINATES = 128
 #: Equal coordinates from which a pair is compared in full.  At a similarity of 0.75 the number is
-#: binomial (64, 0.75): mean 48, and below 34 once in some 60 000 pairs.
-MATCHES = 34
-#: Hubs of a posting list in the first round, and by how much more each further round has.
-HUBS, MORE = 4, 8
+#: binomial (128, 0.75): mean 96, and below 77 once in some 20 000 pairs.
+MATCHES = 77
+#: Lists of up to so many members are compared in full at once; longer ones have so many hubs
+#: after the most central one, and by how much more in each further round.
+SHORT, HUBS, MORE = 4, 64, 16
 
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 FACTORS, SHIFTS = _SEEDS[:COORDINATES] | np.uint64(1), _SEEDS[COORDINATES:]
@@ -101,8 +102,21 @@ def _coordinate_keys(batch: pa.RecordBatch) -> np.ndarray:
     return mix(numbered + np.uint64(0x2545F4914F6CDD1D))
 
 
+def _shingle_keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of each class, and where each one's begin."""
+    shingle, begins = shingle_sets(texts_of(batch), int(batch["shingle"][0].as_py()))
+    return mix(shingle), begins
+
+
+def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    if "shingle" in batch.schema.names:
+        return _shingle_keys(batch)
+    keys = _coordinate_keys(batch)
+    return keys.ravel(), np.arange(len(keys) + 1) * COORDINATES
+
+
 def _ask_frequencies(chunk: int, batch: pa.RecordBatch, n_buckets: int) -> dict:
-    found, count = np.unique(_coordinate_keys(batch), return_counts=True)
+    found, count = np.unique(_keys(batch)[0], return_counts=True)
     cuts = bucket_cuts(found, n_buckets)
     rows: dict[str, list] = {"bucket": [], "chunk": [], "keys": [], "counts": []}
     for bucket in np.flatnonzero(np.diff(cuts)).tolist():
@@ -124,30 +138,39 @@ def _answer_frequencies(table: pa.Table) -> dict:
     return {"chunk": table["chunk"].to_pylist(), "bucket": table["bucket"].to_pylist(), "data": data}
 
 
-def _rare_postings(chunk: int, batch: pa.RecordBatch, answers: pa.Table, n_buckets: int,
-                   prefix: int) -> dict:
-    """Of each class the ``prefix`` rarest coordinates, in one order for all, without those that
-    no other class has."""
-    keys = _coordinate_keys(batch)
+def _rare_postings(chunk: int, batch: pa.RecordBatch, answers: pa.Table, n_buckets: int) -> dict:
+    """Of each class the rarest keys, as many as its prefix has, in one order for all classes,
+    without those that no other class has."""
+    keys, begins = _keys(batch)
     found, which = np.unique(keys, return_inverse=True)
     cuts = bucket_cuts(found, n_buckets)
     known = np.zeros(len(found), dtype=np.int64)
     for bucket, data in zip(answers["bucket"].to_pylist(), answers["data"], strict=True):
         known[cuts[bucket]:cuts[bucket + 1]] = numbers(data, "<u8")
-    count = known[which].reshape(keys.shape)
-    order = np.lexsort((keys, count), axis=1)[:, :prefix]
-    row, column = np.arange(len(keys))[:, None], order
-    shared = count[row, column] > 1
-    at = np.broadcast_to(row, order.shape)[shared]
-    return {"post": keys[row, column][shared].view(np.int64), "size": count[row, column][shared],
-            "key": batch["key"].take(pa.array(at)),
-            "rank": pa.array(batch["rank"].to_numpy()[at])}
-
-
-def postings(classes: DataFrame, prefix: int) -> DataFrame:
-    """Posting lists (post, size, key, rank): documents under coordinate-value pairs."""
+    count, sizes = known[which], np.diff(begins)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((keys, count, of))
+    prefix = batch["prefix"].to_numpy()
+    place = np.arange(len(keys)) - np.repeat(begins[:-1], sizes)
+    order = order[place < prefix[of]]
+    order = order[count[order] > 1]
+    at = pa.array(of[order])
+    total = np.add.reduceat(count, begins[:-1])
+    return {"post": keys[order].view(np.int64), "size": count[order],
+            **{name: batch[name].take(at) for name in ("key", "n", "rank")},
+            "central": total[of[order]]}
+
+
+def postings(classes: DataFrame) -> DataFrame:
+    """Posting lists: classes (key, with the size n of the set) under their rarest keys (post, with
+    the list's size); central adds up the sizes of all lists of the class.
+
+    ``classes`` has a column ``text`` with the signature, whose keys are its coordinate-value
+    pairs, or, if there is a column ``shingle``, with the text, whose keys are its shingles; and
+    a column ``prefix`` with the number of keys to post.
+    """
     spark = classes.sparkSession
-    chunks = write_chunks(classes.select("key", "rank", F.col("sig").alias("text")), "signatures")
+    chunks = write_chunks(classes, "signatures")
     size = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     n_buckets = bucket_count(spark, 2 * size)
     answers = write_aside(bucket_rows(
@@ -155,10 +178,9 @@ def postings(classes: DataFrame, prefix: int) -> DataFrame:
                    "bucket long, chunk long, keys binary, counts binary"),
         _answer_frequencies, "chunk long, bucket long, data binary"), "frequencies")
     release(spark)
-    return answered_rows(
-        chunks, answers,
-        lambda chunk, batch, own: _rare_postings(chunk, batch, own, n_buckets, prefix),
-        "post long, size long, key long, rank long")
+    return write_aside(answered_rows(
+        chunks, answers, lambda chunk, batch, own: _rare_postings(chunk, batch, own, n_buckets),
+        "post long, size long, key long, n long, rank long, central long"), "postings")
 
 
 def _match(pairs: DataFrame, classes: DataFrame, matches: int) -> DataFrame:
@@ -240,12 +262,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id",
        that agree in ``matches`` of the coordinates share one of the rarest ones, so only that
        prefix is posted, and lists with one member are left out.  Pairs that many documents share
        for a common passage are thereby skipped; they are counted by comparing signatures.
-    3. In a list no more than a few members, the hubs, meet all others.  Pairs with enough
-       collisions are confirmed on their full sets: first each class's best one, then those
-       that the links so far leave apart.  Members that links join need not meet.  Lists that
-       still hold members of several components get eight times the hubs, until none is left or
-       all members were hubs.  So a list of thousands of near copies costs a few links each, and
-       no link between components is lost but by the chance that ``matches`` allows for.
+    3. In a short list all members meet; in a longer one first all meet the most central one,
+       whose lists are the longest, such as what the others were copied from.  Only members
+       of sizes that allow the similarity meet.  Pairs with enough collisions are confirmed on
+       their full sets.  Members that links join need not meet again.
+    4. Members of lists that still hold several components are posted anew under their rarest
+       shingles, an exact filter that parts documents with a common passage from near copies.
+       These lists get more and more hubs that the others meet, until one component is left or
+       all members were hubs.  So a list of thousands of near copies costs a link each, and no link
+       between components is lost but by the chance that ``matches`` allows for.
 
     A text without words links with nothing, nor does a row with a NULL key, which is kept and
     has no component.  Keys are whole numbers; rows with
@@ -274,49 +299,40 @@ def _components(spark: SparkSession, sketch: DataFrame, rows: DataFrame, size: i
     classes = write_aside(
         sketch.where(F.col("_set").isNotNull() & F.col("_key").isNotNull())
         .groupBy("_set").agg(F.min(F.struct("_key", "_tag")).alias("least"),
+                             F.min("n_shingles").alias("n"),
                              F.min("_sig").alias("sig"), F.min("_low").alias("low"))
-        .select("_set", F.col("least._key").alias("key"), F.col("least._tag").alias("tag"), "sig",
+        .select("_set", F.col("least._key").alias("key"), F.col("least._tag").alias("tag"), "n", "sig",
                 "low", F.xxhash64("_set").alias("rank")), "classes")
-    lists = write_aside(postings(classes, COORDINATES - matches + 1), "postings")
-    largest = lists.agg(F.max("size")).first()[0] or 0
+    lists = postings(classes.select(
+        "key", "rank", "n", F.col("sig").alias("text"),
+        F.lit(COORDINATES - matches + 1).cast("long").alias("prefix")))
     links = found = None
-    low, high = 0, HUBS
-    while low < largest:
-        live = lists.where(F.col("size") > low)
-        if found is not None:
-            live = live.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn(
-                "component", F.coalesce("component", "key"))
-            mixed = live.groupBy("post").agg(
-                (F.min("component") != F.max("component")).alias("apart")).where("apart")
-            live = write_aside(live.join(write_aside(mixed, "mixed"), "post", "left_semi"), "live")
-            if live.isEmpty():
-                break
-        else:
-            live = live.withColumn("component", F.col("key"))
-        place = F.pmod("rank", "size")
-        hubs = live.where((place >= low) & (place < high)).select(
-            "post", F.col("key").alias("hub"), F.col("component").alias("of"))
-        met = live.join(hubs, "post").where("key != hub AND component != of")
-        pairs = write_aside(met.select(F.least("key", "hub").alias("a"),
-                                       F.greatest("key", "hub").alias("b")).distinct(), "met")
-        likely = write_aside(_match(pairs, classes, matches), "pairs")
-        wanted = likely.select(F.col("a").alias("key")).unionByName(
+
+    def meet(lists: DataFrame, low: int, high: int) -> None:
+        nonlocal links, found
+        pairs = write_aside(
+            _meeting(_with_components(lists, found), low, high, similarity), "met")
+        likely = write_aside(_match(_across(pairs, found), classes, matches), "pairs")
+        ends = likely.select(F.col("a").alias("key")).unionByName(
             likely.select(F.col("b").alias("key"))).distinct()
-        texts = write_aside(_texts(rows, classes, wanted), "texts")
-        best = (
-            likely.select(F.col("a").alias("x"), F.col("b").alias("y"), "n")
-            .unionByName(likely.select(F.col("b").alias("x"), F.col("a").alias("y"), "n"))
-            .groupBy("x").agg(F.max(F.struct("n", (-F.col("y")).alias("y"))).alias("best"))
-            .select(F.least("x", -F.col("best.y")).alias("a"),
-                    F.greatest("x", -F.col("best.y")).alias("b")).distinct()
-        )
-        for chosen in (best, likely.select("a", "b")):
-            new = write_aside(_confirm(_across(chosen, found), texts, size, similarity), "links")
+        texts = write_aside(_texts(rows, classes, ends), "texts")
+        new = write_aside(_confirm(likely, texts, size, similarity), "links")
+        if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
-            if not new.isEmpty():
-                found = write_aside(components(links), "components")
-            release(spark)
-        low, high = high, high * MORE
+            found = write_aside(components(links), "components")
+        release(spark)
+
+    meet(lists, 0, 0)
+    lists = _apart(lists, found, 0)
+    if lists is not None:
+        lists = _refined(lists, rows, classes, size, similarity)
+        meet(lists, 0, 0)
+    low, high = 0, HUBS
+    while lists is not None and low < (lists.agg(F.max("size")).first()[0] or 0):
+        lists = _apart(lists, found, low)
+        if lists is not None:
+            meet(lists, low, high)
+            low, high = high, high * MORE
     if found is None:
         return classes.select("_set", F.col("key").alias("component_id"))
     return write_aside(
@@ -325,6 +341,61 @@ def _components(spark: SparkSession, sketch: DataFrame, rows: DataFrame, size: i
         .select("_set", F.coalesce("component", "key").alias("component_id")), "classes")
 
 
+def _with_components(lists: DataFrame, found: DataFrame | None) -> DataFrame:
+    if found is None:
+        return lists.withColumn("component", F.col("key"))
+    return lists.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "component", F.coalesce("component", "key"))
+
+
+def _apart(lists: DataFrame, found: DataFrame | None, low: int) -> DataFrame | None:
+    """The postings of lists that hold several components and members that did not meet yet."""
+    left = lists.where((F.col("size") > SHORT) & (F.col("size") > low))
+    mixed = _with_components(left, found).groupBy("post").agg(
+        (F.min("component") != F.max("component")).alias("apart")).where("apart")
+    left = write_aside(left.join(write_aside(mixed, "mixed"), "post", "left_semi"), "live")
+    return None if left.isEmpty() else left
+
+
+def _refined(lists: DataFrame, rows: DataFrame, classes: DataFrame, size: int,
+             similarity: int) -> DataFrame:
+    """Posting lists of the members of ``lists`` under their rarest shingles.
+
+    Sets of n shingles that share enough share one of the n - ceil(similarity * n) + 1 that are
+    rarest among all members, so nothing is lost; members that only have a common passage, though
+    a long one, share none.
+    """
+    members = lists.select("key", "n", "rank").distinct()
+    texts = _texts(rows, classes, members.select("key"))
+    need = F.ceil(F.col("n") * similarity / 100)
+    return postings(members.join(texts, "key").select(
+        "key", "rank", "n", "text", F.lit(size).alias("shingle"),
+        (F.col("n") - need + 1).cast("long").alias("prefix")))
+
+
+def _meeting(live: DataFrame, low: int, high: int, similarity: int) -> DataFrame:
+    """Pairs (a, b) of a member of a list and a hub, of different components.
+
+    With ``high`` 0, all members of short lists are hubs and the most central one of others; else
+    those whose place in the list is from ``low`` to below ``high``.
+    """
+    hub = live.select("post", F.col("key").alias("hub"), F.col("n").alias("hub_n"),
+                      F.col("component").alias("of"), "size", "rank")
+    if high == 0:
+        central = live.where(F.col("size") > SHORT).groupBy("post").agg(
+            F.max(F.struct("central", "key", "n", "component")).alias("top"))
+        hubs = hub.where(F.col("size") <= SHORT).select("post", "hub", "hub_n", "of").unionByName(
+            central.select("post", F.col("top.key").alias("hub"), F.col("top.n").alias("hub_n"),
+                           F.col("top.component").alias("of")))
+    else:
+        place = F.pmod("rank", "size")
+        hubs = hub.where((place >= low) & (place < high)).select("post", "hub", "hub_n", "of")
+    hubs = write_aside(hubs, "hubs").withColumnRenamed("post", "list")
+    met = live.join(hubs, (F.col("post") == F.col("list")) & (F.col("component") != F.col("of"))
+                    & (100 * F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n")))
+    return met.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+
+
 def _texts(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(key, text) of wanted classes: the text of the row with the class's key."""
     chosen = classes.join(wanted, "key").select(F.col("key").alias("_key"), F.col("tag").alias("_tag"))
