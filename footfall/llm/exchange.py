@@ -26,6 +26,7 @@ from footfall.scratch import new_folder
 CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 16 << 20
 LEAST_BUCKET_BYTES = 1 << 16
+ROW_GROUP_BYTES = 4 << 20
 CHUNK_SCHEMA = "chunk long, n_rows long, n_bytes long, data binary"
 
 def slices(batch: pa.RecordBatch, text: str = "text",
@@ -80,13 +81,14 @@ def write_chunks(docs: DataFrame, purpose: str, limit: int = CHUNK_BYTES) -> Dat
 def write_blobs(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Write rows with large binary values to a fresh shared folder and read them back.
 
-    Parquet's writer looks at the size of a page only every hundred rows by default; with values
-    of half a megabyte such pages, and the buffers outside the heap that compress them, would
-    take most of an executor's memory.
+    Parquet's writer looks at the size of a page only every hundred rows by default, and the reader
+    holds a batch of up to 4096 rows of a row group; with values of half a megabyte both would
+    take much of an executor's memory, so pages and row groups are kept small.
     """
     folder = new_folder(df.sparkSession, purpose)
     df.write.options(**{"compression": compression, "parquet.page.size.row.check.min": 1,
-                        "parquet.page.size.row.check.max": 16}).parquet(folder)
+                        "parquet.page.size.row.check.max": 16,
+                        "parquet.block.size": ROW_GROUP_BYTES}).parquet(folder)
     return df.sparkSession.read.parquet(folder)
 
 

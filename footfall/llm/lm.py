@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from footfall.llm.exchange import (
-    answered_rows, bucket_count, bucket_cuts, bucket_rows, chunk_rows, numbers, release,
-    texts_of, write_chunks,
+    answered_rows, bucket_count, bucket_cuts, bucket_rows, chunk_rows, counts_of, numbers, release,
+    small_counts, texts_of, write_blobs, write_chunks,
 )
 from footfall.llm.words import window_hashes, words_of
-from footfall.scratch import write_aside
 
 ORDER = 2
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFB7A1B51)
@@ -24,6 +23,7 @@ ROUNDS = 12
 #: One in so many training documents gives the held-out counts.
 HELD_PART = 10
 KEY_BYTES = 6
+EM_TOKENS = 1 << 12
 FIT, HELD, OTHER = 0, 1, 2
 
 
@@ -76,6 +76,9 @@ def _unpack_keys(value: pa.Scalar) -> np.ndarray:
     return full.view("<u8").ravel()
 
 
+ASKED = "bucket long, chunk long, keys binary, fit binary, held binary, one binary"
+
+
 def _ask(chunk: int, batch: pa.RecordBatch, order: int, n_buckets: int) -> dict:
     """Per bucket: distinct n-grams of all orders, and how often training texts have them."""
     grams, begins = ngrams(texts_of(batch), order)
@@ -93,33 +96,60 @@ def _ask(chunk: int, batch: pa.RecordBatch, order: int, n_buckets: int) -> dict:
         rows["bucket"].append(bucket)
         rows["chunk"].append(chunk)
         rows["keys"].append(_pack_keys(found[piece]))
-        rows["fit"].append(fit[piece].astype("<u4").tobytes())
-        rows["held"].append(held[piece].astype("<u4").tobytes())
+        rows["fit"].append(_pack_few(fit[piece]))
+        rows["held"].append(_pack_few(held[piece]))
         rows["one"].append(np.packbits(one[piece]).tobytes())
     return rows
 
 
+def _pack_few(counts: np.ndarray) -> bytes:
+    """A bit for each count that is not 0, then one for each of these that is not 1, then those."""
+    some = counts[counts > 0]
+    more = some[some > 1]
+    return (np.packbits(counts > 0).tobytes() + np.packbits(some > 1).tobytes()
+            + more.astype("<u4").tobytes())
+
+
+def _unpack_few(value: pa.Scalar, n: int) -> np.ndarray:
+    raw = numbers(value, "u1")
+    out = np.unpackbits(raw, count=n).astype(np.int64)
+    at, raw = np.flatnonzero(out), raw[-(-n // 8):]
+    more = np.unpackbits(raw, count=len(at)).astype(bool)
+    out[at[more]] = np.frombuffer(raw[-(-len(at) // 8):].tobytes(), dtype="<u4")
+    return out
+
+
 ANSWER = "chunk long, bucket long, fit binary, total binary, tokens long, distinct long, fit_tokens long"
 
 
 def _answer(table: pa.Table) -> dict:
-    """For each chunk the corpus counts of its n-grams, and once per bucket its share of totals."""
+    """For each chunk the corpus counts of its n-grams, and once per bucket its share of totals.
+
+    Only held-out chunks (the odd ones) need the counts without held-out documents.
+    """
     keys = [_unpack_keys(v) for v in table["keys"]]
+    sizes = [len(k) for k in keys]
     found, which = np.unique(np.concatenate(keys), return_inverse=True)
-    fit = np.bincount(which, np.concatenate([numbers(v, "<u4") for v in table["fit"]]), len(found))
-    held = np.bincount(which, np.concatenate([numbers(v, "<u4") for v in table["held"]]), len(found))
+
+    def total_of(column: str) -> np.ndarray:
+        parts = [_unpack_few(v, n) for v, n in zip(table[column], sizes, strict=True)]
+        return np.bincount(which, np.concatenate(parts), len(found)).astype(np.int64)
+
+    fit = total_of("fit")
+    total = fit + total_of("held")
     one = np.zeros(len(found), dtype=bool)
-    one[which[np.concatenate([np.unpackbits(numbers(v, "u1"), count=len(k)).astype(bool)
-                              for v, k in zip(table["one"], keys, strict=True)])]] = True
-    total = fit + held
-    ends = np.cumsum([len(k) for k in keys])
-    pieces = [which[e - len(k):e] for e, k in zip(ends, keys, strict=True)]
+    one[which[np.concatenate([np.unpackbits(numbers(v, "u1"), count=n).astype(bool)
+                              for v, n in zip(table["one"], sizes, strict=True)])]] = True
+    ends = np.cumsum(sizes)
+    pieces = [which[e - n:e] for e, n in zip(ends, sizes, strict=True)]
+    chunks = table["chunk"].to_pylist()
     rest = [None] * len(pieces)
     return {
-        "chunk": [*table["chunk"].to_pylist(), -1],
+        "chunk": [*chunks, -1],
         "bucket": [*table["bucket"].to_pylist(), table["bucket"][0].as_py()],
-        "fit": [*(fit[p].astype("<u8").tobytes() for p in pieces), None],
-        "total": [*(total[p].astype("<u8").tobytes() for p in pieces), None],
+        "fit": [*(small_counts(fit[p]) if c % 2 else None
+                  for p, c in zip(pieces, chunks, strict=True)), None],
+        "total": [*(small_counts(total[p]) for p in pieces), None],
         "tokens": [*rest, int(total[one].sum())],
         "distinct": [*rest, int((total[one] > 0).sum())],
         "fit_tokens": [*rest, int(fit[one].sum())],
@@ -132,15 +162,15 @@ def _counts(grams: list[np.ndarray], answers: pa.Table, column: str, n_buckets:
 
     The context of order 1 is empty; its count is left 0 and the caller knows the total.
     """
-    order = len(grams)
     found, which = np.unique(np.concatenate(grams), return_inverse=True)
     known = np.zeros(len(found), dtype=np.int64)
     cuts = bucket_cuts(found, n_buckets)
     for bucket, data in zip(answers["bucket"].to_pylist(), answers[column], strict=True):
-        known[cuts[bucket]:cuts[bucket + 1]] = numbers(data, "<u8")
-    count = np.split(known[which], order)
+        piece = slice(cuts[bucket], cuts[bucket + 1])
+        known[piece] = counts_of(data, piece.stop - piece.start)
+    count = np.split(known[which], len(grams))
     context = [np.zeros(len(count[0]), dtype=np.int64)]
-    for k in range(1, order):
+    for k in range(1, len(grams)):
         before = np.concatenate(([0], count[k - 1][:-1]))
         # the context of a text's first token is starts only, as often as there are texts
         before[begins[:-1]] = n_docs
@@ -253,9 +283,9 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     n_buckets = bucket_count(spark, 3 * size)
     n_docs = {r._role: r.n for r in rows.groupBy("_role").agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    answers = write_aside(bucket_rows(
+    answers = write_blobs(bucket_rows(
         chunk_rows(chunks, lambda chunk, batch: [_ask(chunk, batch, order, n_buckets)],
-                   "bucket long, chunk long, keys binary, fit binary, held binary, one binary"),
+                   ASKED),
         _answer, ANSWER), "counts")
     release(spark)
     sums = answers.where("chunk = -1").agg(*(F.sum(c).alias(c) for c in (
@@ -267,9 +297,12 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
         grams, begins = ngrams(texts_of(batch), order)
         count, context = _counts(grams, own, "fit", n_buckets, begins, totals.fit_docs)
         p, kind = _estimates(count, context, totals.fit_tokens, totals.distinct)
-        return {"p": [p.astype("<f8").tobytes()], "kind": [kind.tobytes()]}
+        # rows of bounded size, whatever the chunk's
+        cuts = range(0, p.shape[1], EM_TOKENS)
+        return {"p": [p[:, i:i + EM_TOKENS].astype("<f8").tobytes() for i in cuts],
+                "kind": [kind[:, i:i + EM_TOKENS].tobytes() for i in cuts]}
 
-    weights = learn_weights(write_aside(answered_rows(
+    weights = learn_weights(write_blobs(answered_rows(
         held, answers.where("pmod(chunk, 2) = 1 AND chunk >= 0").select("chunk", "bucket", "fit"),
         features, "p binary, kind binary"), "estimates"), order)
 

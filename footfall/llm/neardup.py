@@ -306,10 +306,10 @@ def _components(spark: SparkSession, sketch: DataFrame, rows: DataFrame, size: i
     lists = postings(classes.select(
         "key", "rank", "n", F.col("sig").alias("text"),
         F.lit(COORDINATES - matches + 1).cast("long").alias("prefix")))
-    links = found = None
+    found = None
 
     def meet(lists: DataFrame, low: int, high: int) -> None:
-        nonlocal links, found
+        nonlocal found
         pairs = write_aside(
             _meeting(_with_components(lists, found), low, high, similarity), "met")
         likely = write_aside(_match(_across(pairs, found), classes, matches), "pairs")
@@ -318,14 +318,14 @@ def _components(spark: SparkSession, sketch: DataFrame, rows: DataFrame, size: i
         texts = write_aside(_texts(rows, classes, ends), "texts")
         new = write_aside(_confirm(likely, texts, size, similarity), "links")
         if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            found = write_aside(components(links), "components")
+            found = _joined(found, new)
         release(spark)
 
+    lists = _different(lists, found)
     meet(lists, 0, 0)
     lists = _apart(lists, found, 0)
     if lists is not None:
-        lists = _refined(lists, rows, classes, size, similarity)
+        lists = _different(_refined(lists, rows, classes, size, similarity), found)
         meet(lists, 0, 0)
     low, high = 0, HUBS
     while lists is not None and low < (lists.agg(F.max("size")).first()[0] or 0):
@@ -341,6 +341,24 @@ def _components(spark: SparkSession, sketch: DataFrame, rows: DataFrame, size: i
         .select("_set", F.coalesce("component", "key").alias("component_id")), "classes")
 
 
+def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components after more links: these join components, of which there are fewer."""
+    if found is None:
+        return write_aside(components(links), "components")
+    ends = links
+    for end in ("a", "b"):
+        ends = (
+            ends.join(found.withColumnsRenamed({"node": end, "component": f"c{end}"}), end, "left")
+            .withColumn(end, F.coalesce(f"c{end}", end)).drop(f"c{end}")
+        )
+    merged = write_aside(components(ends), "components")
+    renamed = merged.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    old = found.join(renamed, "component", "left").select(
+        "node", F.coalesce("root", "component").alias("component"))
+    return write_aside(
+        old.unionByName(merged.join(found, "node", "left_anti")), "components")
+
+
 def _with_components(lists: DataFrame, found: DataFrame | None) -> DataFrame:
     if found is None:
         return lists.withColumn("component", F.col("key"))
@@ -350,13 +368,24 @@ def _with_components(lists: DataFrame, found: DataFrame | None) -> DataFrame:
 
 def _apart(lists: DataFrame, found: DataFrame | None, low: int) -> DataFrame | None:
     """The postings of lists that hold several components and members that did not meet yet."""
-    left = lists.where((F.col("size") > SHORT) & (F.col("size") > low))
-    mixed = _with_components(left, found).groupBy("post").agg(
-        (F.min("component") != F.max("component")).alias("apart")).where("apart")
-    left = write_aside(left.join(write_aside(mixed, "mixed"), "post", "left_semi"), "live")
+    left = _different(lists.where((F.col("size") > SHORT) & (F.col("size") > low)), found)
     return None if left.isEmpty() else left
 
 
+def _different(lists: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Lists that hold several components, and of lists with the same members only one.
+
+    Documents that share a long passage or are copies of each other are together in many lists.
+    """
+    members = _with_components(lists, found).groupBy("post").agg(
+        (F.min("component") != F.max("component")).alias("apart"), F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("h1"),
+        F.sum(F.xxhash64(F.lit(1), "key").cast("decimal(20,0)")).alias("h2"))
+    one = members.where("apart").groupBy("n", "h1", "h2").agg(F.min("post").alias("post"))
+    return write_aside(
+        lists.join(write_aside(one.select("post"), "chosen"), "post", "left_semi"), "live")
+
+
 def _refined(lists: DataFrame, rows: DataFrame, classes: DataFrame, size: int,
              similarity: int) -> DataFrame:
     """Posting lists of the members of ``lists`` under their rarest shingles.

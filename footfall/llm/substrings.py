@@ -12,7 +12,7 @@ from footfall.llm.exchange import (
     answered_rows, bucket_count, bucket_cuts, bucket_of, bucket_rows, chunk_rows, hidden, numbers,
     release, shown, texts_of, write_chunks,
 )
-from footfall.llm.words import Words, window_hashes, words_of
+from footfall.llm.words import Words, distinct, window_hashes, words_of
 from footfall.scratch import write_aside
 
 WINDOW = 35
@@ -74,7 +74,7 @@ def _answer_blocks(table: pa.Table) -> dict:
     """For each chunk, which of its reference blocks occur at another place of any text."""
     found = np.sort(np.concatenate([numbers(v, "<u4") for v in table["probes"]]))
     twice = np.concatenate([numbers(v, "<u4") for v in table["twice"]])
-    again = np.unique(np.concatenate((found[1:][found[1:] == found[:-1]], twice)))
+    again = distinct(np.concatenate((found[1:][found[1:] == found[:-1]], twice)))
     index = [numbers(v, "<u4") for v in table["index"]]
     flat = np.concatenate(index)
     hit = _within(flat, again)
@@ -135,7 +135,7 @@ def _answer_windows(table: pa.Table) -> dict:
     probes = [numbers(v, "<u8") for v in table["probes"]]
     flat = np.concatenate(probes)
     found = np.sort(flat)
-    hit = _within(flat, np.unique(found[1:][found[1:] == found[:-1]]))
+    hit = _within(flat, distinct(found[1:][found[1:] == found[:-1]]))
     data, at = [], 0
     for own, twice in zip(probes, table["twice"], strict=True):
         bits = np.unpackbits(numbers(twice, "u1"), count=len(own)).astype(bool)

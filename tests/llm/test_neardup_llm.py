@@ -2,7 +2,7 @@ import random
 import re
 
 from footfall.llm.graph import components
-from footfall.llm.neardup import near_duplicates
+from footfall.llm.neardup import _joined, near_duplicates
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -86,6 +86,16 @@ def test_null_keys_repeated_rows_and_empty_table(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_more_links_join_components(spark):
+    first = [(1, 2), (3, 4), (5, 6), (9, 8)]
+    more = [(2, 4), (7, 6), (20, 21), (8, 1)]
+    found = _joined(None, spark.createDataFrame(first, "a long, b long"))
+    found = _joined(found, spark.createDataFrame(more, "a long, b long"))
+    rows = found.select("node", "component").collect()
+    want = closed(range(30), first + more)
+    assert len(rows) == 11 and {r.node: r.component for r in rows} == {r.node: want[r.node] for r in rows}
+
+
 def test_components_of_a_path_a_star_and_a_cycle(spark):
     links = [(i, i + 1) for i in range(50, 90)] + [(200, i) for i in range(201, 260)]
     links += [(300, 301), (301, 302), (302, 300), (7, 7), (None, 4), (90, 3)]
