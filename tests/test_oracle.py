@@ -39,6 +39,11 @@ def test_query_equals_oracle(spark, duck, name):
     assert got
 
 
+def test_visit_kpi_has_no_exchange(spark):
+    plan = driver.queries()["visit_kpi"](spark, SF_DIR)._jdf.queryExecution().executedPlan()
+    assert "Exchange" not in plan.toString()
+
+
 def test_entry(spark):
     df = driver.entry(spark)
     assert len(df.columns) == 15 and df.count() > 0
