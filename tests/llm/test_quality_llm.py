@@ -3,7 +3,9 @@ import random
 import numpy as np
 import pytest
 
-from footfall.llm.quality import learn, logits, score_quality, text_features
+from pyspark.sql import functions as F
+
+from footfall.llm.quality import cut_of, learn, logits, meta_features, score_quality, text_features
 
 
 def rows(n, seed):
@@ -64,3 +66,24 @@ def test_logits_are_the_products():
     want = [sum(weights[p] * v for p, v in zip(places[a:b], values[a:b], strict=True))
             for a, b in zip(first[:-1], first[1:], strict=True)]
     assert np.allclose(logits(features, weights), want)
+
+
+def test_every_unlabelled_row_can_teach(spark):
+    """A source only in unlabelled rows beyond the first 4000 by hash gets a weight."""
+    data = rows(10_000, 5)
+    docs = spark.createDataFrame([(r[0], r[1], r[2], 1) for r in data],
+                                 "doc_id long, text string, source string, n long")
+    place = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / (1 << 30)
+    far = (place > 4000 / 9500) & (F.col("doc_id") >= 500) & F.col("text").contains("junk!!")
+    docs = docs.withColumn("source", F.when(far, "odd").otherwise(F.col("source")))
+    labels = spark.createDataFrame([(r[0], r[4]) for r in data[:500]], "doc_id long, good int")
+    model = learn(docs, labels, ["source", "n"])
+    odd = meta_features([["odd"], [1]])[1][1]
+    assert model.meta[odd] < -0.1
+
+
+def test_cuts_take_as_many_as_asked():
+    counts = np.array([3, 0, 4, 10, 0, 5])
+    assert cut_of(counts, 5, 7) == (2, 0.5, 3, 0.2)
+    assert cut_of(counts, 0, 0) == (0, 0.0, 5, 0.0)
+    assert cut_of(counts, 99, 99) == (6, 0.0, -1, 0.0)
