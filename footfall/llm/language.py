@@ -19,8 +19,15 @@ FIT_ROWS = 4000
 STEPS = 12
 #: Unit vectors of a batch that are held at once.
 ROWS_AT_ONCE = 256
-#: A text is rejected below this part of the least cosines (2nd percentile) of the fitted rows.
-REJECT_PART = 0.25
+#: Classes of texts by powers of two of their distinct n-grams, which a repeated word adds none to.
+CLASSES = DIMENSIONS.bit_length()
+#: At most this part of a language's rows is fitted to, so that others remain to be compared.
+FIT_PART = 0.8
+#: A text is rejected below this part of the low tail (quantile) of the cosines of training rows of
+#: its language and class that the centroids were not fitted to; classes with fewer than
+#: ``ENOUGH`` of them use their neighbours' too.
+REJECT_PART, TAIL, ENOUGH = 0.85, 0.001, 200
+BINS = 400
 UNDETERMINED = "und"
 
 
@@ -68,12 +75,13 @@ def unit_vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 @dataclass
 class Centroids:
     """``langs[i]`` is the language of row ``i`` of ``vectors``; ``least`` the smallest cosine
-    to the nearest of them with which a text is accepted."""
+    to the nearest of them with which a text is accepted, for each row and class of texts or one
+    number for all."""
 
     langs: list[str]
     vectors: np.ndarray
     idf: np.ndarray
-    least: float
+    least: np.ndarray | float
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
@@ -102,8 +110,8 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
 def fit_rows(docs: DataFrame, lang: str, order: str, bound: int) -> DataFrame:
     """At most ``bound`` rows, evenly over the languages and the same ones whenever asked.
 
-    Rows are taken by a hash of ``order``; a first cut by hash keeps the ranking of a frequent
-    language small.
+    Rows are taken by a hash of ``order``, at most ``FIT_PART`` of a language's; a first cut by hash
+    keeps the ranking of a frequent language small.
     """
     totals = docs.groupBy(lang).agg(F.count(F.lit(1)).alias("_total"))
     each = max(1, bound // max(1, totals.count()))
@@ -112,13 +120,14 @@ def fit_rows(docs: DataFrame, lang: str, order: str, bound: int) -> DataFrame:
     few = (
         docs.join(F.broadcast(totals.limit(bound)), lang)
         .where(share <= F.lit(2.0 * each + 64) / F.col("_total"))
-        .select(docs["*"], place.alias("_place"))
+        .select(docs["*"], place.alias("_place"), "_total")
     )
-    picked = few.groupBy(lang).agg(F.slice(F.sort_array(F.collect_list("_place")), 1, each)
+    size = F.least(F.lit(each), F.ceil(F.first("_total") * FIT_PART)).cast("int")
+    picked = few.groupBy(lang).agg(F.slice(F.sort_array(F.collect_list("_place")), F.lit(1), size)
                                    .alias("_taken"))
     return (
         few.join(picked, lang).where(F.array_contains("_taken", F.col("_place")))
-        .drop("_taken", "_place").limit(2 * bound)
+        .drop("_taken", "_total").limit(2 * bound)
     )
 
 
@@ -146,7 +155,8 @@ def learn(train: DataFrame, text: str = "text", lang: str = "lang", order: str =
     """Fit the model to labelled rows.
 
     Document frequencies come from all rows of ``train`` with a language; the centroids from at
-    most about ``bound`` rows of them, evenly over the languages, whose vectors Spark computes.
+    most about ``bound`` rows of them, evenly over the languages, whose vectors Spark computes; the
+    least cosines from all other rows.
     """
     train = train.where(F.col(lang).isNotNull())
     found, rows = document_frequencies(train, text)
@@ -161,23 +171,89 @@ def learn(train: DataFrame, text: str = "text", lang: str = "lang", order: str =
                 data = [v.astype("<f4").tobytes() if n else None
                         for v, n in zip(unit_vectors(counts, idf), n_letters, strict=True)]
                 yield pa.RecordBatch.from_pydict({"lang": part["lang"].cast(pa.string()),
+                                                  "_place": part["_place"],
                                                   "data": pa.array(data, pa.binary())})
 
     sample = fit_rows(train.select(F.col(text).alias("text"), F.col(lang).alias("lang"),
                                    F.col(order).alias("order")), "lang", "order", bound)
     by_lang: dict[str, list[np.ndarray]] = {}
-    made = sample.select("lang", "text").mapInArrow(vectors, "lang string, data binary")
+    taken = []
+    made = sample.select("lang", "_place", "text").mapInArrow(
+        vectors, "lang string, _place long, data binary")
     for row in made.where(F.col("data").isNotNull()).toLocalIterator():
-        by_lang.setdefault(row.lang, []).append(np.frombuffer(row.data, dtype="<f4"))
-    langs, centers, least = [], [], []
+        by_lang.setdefault(row["lang"], []).append(np.frombuffer(row["data"], dtype="<f4"))
+        taken.append(row["_place"])
+    langs, centers = [], []
     for name in sorted(by_lang):
         own = np.array(sorted(map(tuple, by_lang[name])), dtype=np.float32)
         center = _cluster(own, centroids)
         langs += [name] * len(center)
         centers.append(center)
-        least.append(np.quantile((own @ center.T).max(axis=1), 0.02))
-    return Centroids(langs, np.concatenate(centers) if centers else np.zeros((0, DIMENSIONS)), idf,
-                     REJECT_PART * float(min(least)) if least else 1.0)
+    model = Centroids(langs, np.concatenate(centers) if centers else np.zeros((0, DIMENSIONS)), idf, 0.0)
+    if langs:
+        others = train.select(F.col(text).alias("text"),
+                              F.xxhash64(F.col(order), F.lit(7)).alias("_place"))
+        model.least = least_cosines(cosine_counts(others, model, np.array(taken)), langs)
+    return model
+
+
+def text_class(counts: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum((counts > 0).sum(axis=1), 1)).astype(np.int64)
+
+
+def cosine_counts(rows: DataFrame, model: Centroids, taken: np.ndarray) -> np.ndarray:
+    """How many of all rows but those ``taken`` have a cosine in each bin, by the language of the
+    nearest centroid (by name) and class of text."""
+    names = sorted(set(model.langs))
+    shape = (len(names), CLASSES, BINS)
+    of_center = np.array([names.index(name) for name in model.langs])
+    shared = rows.sparkSession.sparkContext.broadcast((model.vectors, model.idf, of_center, taken))
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centers, idf, of_center, taken = shared.value
+        letters, found = _letters(), np.zeros(shape, dtype=np.int64)
+        for batch in batches:
+            for big in slices(batch, limit=1 << 20):
+                for at in range(0, big.num_rows, ROWS_AT_ONCE):
+                    part = big.slice(at, ROWS_AT_ONCE)
+                    part = part.filter(pa.array(~np.isin(np.asarray(part["_place"]), taken)))
+                    counts, n_letters = grams(part["text"].to_pylist(), letters)
+                    counts = counts[n_letters > 0]
+                    cosine = unit_vectors(counts, idf) @ centers.T
+                    bins = np.clip(cosine.max(axis=1) * BINS, 0, BINS - 1).astype(np.int64)
+                    np.add.at(found, (of_center[cosine.argmax(axis=1)], text_class(counts), bins), 1)
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_pydict({"at": at, "n": found.ravel()[at]})
+
+    total = np.zeros(shape, dtype=np.int64)
+    for row in rows.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        total.ravel()[row["at"]] = row["n"]
+    return total
+
+
+def least_cosines(counts: np.ndarray, langs: list[str]) -> np.ndarray:
+    """For each centroid and class of texts, the least cosine that is accepted.
+
+    A class without enough rows takes in those next to it.  The cosine of a short text falls with
+    the root of its distinct n-grams at most, so it is held to that part of what longer ones reach.
+    A language without any row takes those of all languages.
+    """
+    names = sorted(set(langs))
+    values = np.arange(BINS) / BINS
+    least = np.zeros((len(names), CLASSES))
+    for i, own in enumerate(counts):
+        own = own if own.any() else counts.sum(axis=0)
+        for j in range(CLASSES):
+            apart = np.abs(np.arange(CLASSES) - j)
+            reach = next((r for r in range(CLASSES) if own[apart <= r].sum() >= ENOUGH), CLASSES)
+            part = np.sqrt(0.5 ** np.maximum(np.arange(CLASSES) - j, 0))
+            value = (values * part[:, None])[apart <= reach].ravel()
+            n = own[apart <= reach].ravel()
+            order = np.argsort(value)
+            sums = np.cumsum(n[order])
+            if sums[-1]:
+                least[i, j] = value[order][np.searchsorted(sums, TAIL * sums[-1], side="right")]
+    return REJECT_PART * least[[names.index(name) for name in langs]]
 
 
 RESULT = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()),
@@ -191,7 +267,8 @@ def identify(docs: DataFrame, model: Centroids, text: str = "text",
     ``lang_pred`` is the language of the centroid with the largest cosine (the first by name of
     equal ones), or ``und`` for a NULL text, a text without a letter, or a model without
     centroids.  ``score`` is that cosine, from 0 to 1.  ``rejected`` tells whether the text is
-    undetermined or farther from every centroid than the model accepts.
+    undetermined or farther from every centroid than the model accepts in a text with so many
+    distinct n-grams.
 
     Rows are judged where they lie, without a shuffle; columns named like a result column are
     replaced.
@@ -211,17 +288,22 @@ def identify(docs: DataFrame, model: Centroids, text: str = "text",
                     part = big.slice(at, ROWS_AT_ONCE)
                     counts, n_letters = grams(part["_text"].to_pylist(), letters)
                     names, score = [UNDETERMINED] * part.num_rows, np.zeros(part.num_rows)
-                    if langs:
+                    rejected = n_letters == 0
+                    if not langs:
+                        rejected[:] = True
+                    else:
                         cosine = unit_vectors(counts, idf) @ centers.T
                         best = np.argmax(cosine, axis=1)
                         score = np.clip(cosine[np.arange(len(best)), best], 0, 1).astype(float)
                         score[n_letters == 0] = 0
+                        rejected |= score < np.broadcast_to(least, (len(langs), CLASSES))[
+                            best, text_class(counts)]
                         names = [langs[b] if n else UNDETERMINED
                                  for b, n in zip(best, n_letters, strict=True)]
                     rest = part.drop_columns(["_text"])
                     yield pa.RecordBatch.from_arrays(
                         [*rest.columns, pa.array(names, pa.string()), pa.array(score, pa.float64()),
-                         pa.array((score < least) | (n_letters == 0), pa.bool_())],
+                         pa.array(rejected, pa.bool_())],
                         [*rest.schema.names, *RESULT.names])
 
     found = rows.mapInArrow(run, StructType(list(fields.fields) + list(RESULT.fields)))

@@ -52,3 +52,22 @@ def test_ties_go_to_the_first_name_and_no_model_to_und(spark, model):
     none = learn(spark.createDataFrame([], "doc_id long, text string, lang string"))
     row = identify(docs, none).first()
     assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
+
+
+def test_unlearned_languages_and_random_letters_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = learn(docs.where("doc_id % 2 = 0"))
+    random.seed(3)
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan",
+        "Bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar",
+    ]
+    foreign += [" ".join(f.split() * 10) for f in foreign]
+    foreign += ["".join(random.choices("abcdefghijklmnopqrstuvwxyz    ", k=n)) for n in (150, 600, 5000)]
+    judged = identify(spark.createDataFrame([(f,) for f in foreign], "text string"), model).collect()
+    assert [r.text[:20] for r in judged if not r.rejected] == []
+    clean = identify(docs.where("doc_id % 2 = 1"), model, keep=["text"])
+    assert clean.where("rejected").count() <= 0.01 * clean.count()
+    short = docs.where("doc_id % 2 = 1").selectExpr("substring_index(text, ' ', 8) AS text")
+    assert identify(short, model).where("rejected").count() <= 0.02 * short.count()
