@@ -22,13 +22,24 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group; rows of one id are one document."""
-    kept = neardup.near_duplicates(docs).where("kept").select("doc_id")
-    named = docs.where(F.col("doc_id").isNotNull())
-    return (
-        named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        .unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    """Keep the row with the smallest id of each group, of one id that with the smallest hash of
+    its text; rows without an id come last.
+
+    Groups are of rows, so texts that share an id but are no near copies all stay.  Of rows with
+    the same id and a text without words one stays.
+    """
+    rows = write_aside(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = neardup.near_duplicates(rows, key="_row").select("_row", "n_shingles", "component_id")
+    wordless = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text").alias("hash"), "_row")
+    kept = (
+        rows.select("_row", place.alias("place"), "doc_id").join(found, "_row")
+        .groupBy(F.when(wordless, F.col("doc_id")).alias("id"),
+                 F.when(~wordless, F.col("component_id")).alias("component"),
+                 F.when(wordless, F.col("place.hash")).alias("hash"))
+        .agg(F.min("place").alias("least")).select(F.col("least._row").alias("_row"))
     )
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,14 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
     assert pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    random.seed(2)
+    one, two, three = (" ".join(f"{c}{random.randrange(900)}" for _ in range(60)) for c in "abc")
+    rows = [(1, one), (1, two), (1, one), (2, one + " end"), (None, two), (None, three), (None, three),
+            (5, ""), (5, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect()
+    want = [(1, one), (1, two), (None, three), (5, ""), (6, None)]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
