@@ -20,8 +20,9 @@ SHINGLE = 5
 SIMILARITY = 75
 COORDINATES = 128
 #: Equal coordinates from which a pair is compared in full.  At a similarity of 0.75 the number is
-#: binomial (128, 0.75): mean 96, and below 77 once in some 20 000 pairs.
-MATCHES = 77
+#: binomial (128, 0.75): mean 96, and below 72 with a probability of 1.2e-6, once in some 830 000
+#: pairs; at 0.76 of 2.9e-7.
+MATCHES = 72
 #: Lists of up to so many members are compared in full at once; longer ones have so many hubs
 #: after the most central one, and by how much more in each further round.
 SHORT, HUBS, MORE = 4, 64, 16

@@ -1,8 +1,9 @@
 import random
 import re
+from math import comb
 
 from footfall.llm.graph import components
-from footfall.llm.neardup import _joined, near_duplicates
+from footfall.llm.neardup import COORDINATES, MATCHES, SIMILARITY, _joined, near_duplicates
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -104,3 +105,9 @@ def test_components_of_a_path_a_star_and_a_cycle(spark):
     got = {r.node: r.component for r in found}
     assert len(found) == len(got) and got == {n: want[n] for n in got}
     assert set(got) == {3, *range(50, 91), *range(200, 260), 300, 301, 302}
+
+
+def test_signatures_miss_hardly_a_pair_at_the_threshold():
+    p = SIMILARITY / 100
+    missed = sum(comb(COORDINATES, k) * p ** k * (1 - p) ** (COORDINATES - k) for k in range(MATCHES))
+    assert missed < 2e-6
