@@ -15,7 +15,7 @@ from footfall.llm.exchange import (
 )
 from footfall.llm.words import window_hashes, words_of
 
-ORDER = 2
+ORDER = 3
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFB7A1B51)
 #: Context frequencies fall into powers of two, and the last class holds all larger ones.
 CLASSES = 24

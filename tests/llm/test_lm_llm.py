@@ -10,6 +10,7 @@ import pytest
 from footfall.llm.lm import (
     CLASSES, FIT, HELD, HELD_PART, ROUNDS, score_documents,
 )
+from footfall.llm.queries import QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -115,3 +116,10 @@ def test_null_keys_repeated_rows_clashing_names_and_empty_table(spark):
     got = sorted((tuple(r) for r in out.collect()), key=repr)
     assert got[0] == got[1] and [r for r in got if r[0] is None][0][1:4] == (False, 2, 1)
     assert score_documents(docs.limit(0)).count() == 0
+
+
+def test_the_registered_query_has_the_highest_order(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = {r.doc_id: r.score for r in score_documents(docs, order=3).collect()}
+    got = {r.doc_id: r.score for r in QUERIES["op4_lm_score"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == pytest.approx(want, abs=1e-9)
