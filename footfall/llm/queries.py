@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import (
-    decontaminate, language, lm, neardup, packing, quality, secrets, substrings, url_filter, vectors,
+    bpe, decontaminate, language, lm, neardup, packing, quality, secrets, substrings, url_filter, vectors,
 )
 from footfall.llm.exchange import crc_rest
 
@@ -39,11 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_file() -> str:
-    """The public vocabulary that every machine holds with its Python packages."""
+def tokenizer_file(name: str = TOKENIZER) -> str:
+    """A public vocabulary that every machine holds with its Python packages."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def _id_list(items: Column) -> Column:
@@ -133,3 +133,12 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_embedding_dedup")
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vector_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_bpe")
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode_documents(docs, tokenizer_file())
+    return bpe.decode_documents(ids, tokenizer_file()).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
