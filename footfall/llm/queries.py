@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import (
-    bpe, decontaminate, language, lm, neardup, packing, quality, secrets, substrings, url_filter, vectors,
+    alignment, bpe, decontaminate, language, lm, neardup, packing, quality, secrets, substrings, url_filter, vectors,
 )
 from footfall.llm.exchange import crc_rest
 
@@ -135,6 +135,13 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vector_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align_documents(
+        docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 @query("op13_bpe")
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
