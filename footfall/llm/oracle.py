@@ -120,3 +120,27 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, vec_id) AS compone
   vec_id = coalesce(c, vec_id) AS kept
 FROM embeddings LEFT JOIN counts ON counts.x = vec_id LEFT JOIN least ON least.x = vec_id
 """
+
+ORACLE["op11_hard_negatives"] = """
+WITH points AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS MATERIALIZED (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    list_dot_product(a.v, b.v)::BIGINT AS s
+  FROM points a JOIN points b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY s DESC, id) AS k FROM scores WHERE same QUALIFY k <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.s AS positive_score, n.s AS negative_score,
+    p.k AS k, row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY n.s DESC, n.id) AS rank
+  FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same
+  WHERE 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score,
+  k::INTEGER AS positive_rank
+FROM negatives WHERE rank <= 5
+"""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import (
-    alignment, bpe, decontaminate, language, lm, neardup, packing, quality, secrets, substrings, url_filter, vectors,
+    alignment, bpe, decontaminate, language, lm, negatives, neardup, packing, quality, secrets, substrings, url_filter, vectors,
 )
 from footfall.llm.exchange import crc_rest
 
@@ -135,6 +135,14 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vector_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_hard_negatives")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh vector is labelled wrongly on purpose, so that there are near rows of other labels."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query("op12_alignment")
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
