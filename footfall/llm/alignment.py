@@ -11,6 +11,7 @@ the same span or an empty one, and there the lengths of their decoded bytes cut
 """
 
 import hashlib
+import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -28,9 +29,13 @@ from footfall.llm.lookup import HashIndex, begins, ranges
 from footfall.llm.words import _word_hashes
 
 #: Bytes of texts that one chunk holds; a longer text is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Distinct segments that a task remembers; beyond, it forgets all and begins anew.
-KNOWN_SEGMENTS = 500_000
+KNOWN_SEGMENTS = 400_000
+#: Bytes of segments that the tokenizers take at a time.
+LEARN_BYTES = 1 << 19
+#: Segments that the tokenizers take as one text, where they may.
+TOGETHER = 64
 #: A pair of ids as one number: the A id times this, plus the B id.
 PAIR = 1 << 32
 SPACE_MARK = "▁"
@@ -94,28 +99,38 @@ class TokenizerPair:
         self.may_cut = not any(x != SPACE_MARK and y == SPACE_MARK
                                for p in pieces for x, y in zip(p, p[1:], strict=False))
 
-    def tokens_a(self, segments: list[str], raw: np.ndarray, first: np.ndarray) -> Tokens:
-        """Character offsets, as bytes, refined."""
-        found = self.a.encode_batch(segments, add_special_tokens=False)
+    def tokens_a(self, segments: list[str], raw: np.ndarray, first: np.ndarray, together: int) -> Tokens:
+        """Character offsets, as bytes, refined; so many segments are one text for the tokenizer."""
+        found = self.a.encode_batch(_joined(segments, together), add_special_tokens=False)
+        sizes = [len(e) for e in found]
         ids = np.array([i for e in found for i in e.ids], dtype=np.int64)
-        spans = np.array([s for e in found for s in e.offsets], dtype=np.int64).reshape(-1, 2)
-        segment = np.repeat(np.arange(len(found)), [len(e.ids) for e in found])
-        lead = np.flatnonzero((raw & 0xC0) != 0x80)  # where characters begin
-        char = np.searchsorted(lead, first[:-1])
-        lead = np.append(lead, len(raw))
-        place = lead[char[segment][:, None] + spans]
-        return refined(ids, place[:, 0], place[:, 1], segment, first, self.labels_a)
-
-    def tokens_b(self, segments: list[str], first: np.ndarray) -> Tokens:
-        """Byte spans of the protos, refined; the blank that every segment begins with is B's own."""
-        found = [e.pieces for e in self.b.encode([s[1:] for s in segments], return_type="proto")]
-        flat = np.array([v for e in found for p in e for v in (p.id, p.begin, p.end)],
-                        dtype=np.int64).reshape(-1, 3)
-        segment = np.repeat(np.arange(len(found)), [len(e) for e in found])
-        base = first[segment]
-        opening = np.concatenate(([True], segment[1:] != segment[:-1]))[:len(segment)]
-        begin = np.where(opening, base, base + flat[:, 1] + 1)
-        return refined(flat[:, 0], begin, base + flat[:, 2] + 1, segment, first, self.labels_b)
+        spans = np.array([x for e in found for s in e.offsets for x in s], dtype=np.int64)
+        lead = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # where characters begin
+        base = np.repeat(np.searchsorted(lead, first[:-1:together]), sizes)
+        place = lead[spans.reshape(-1, 2) + base[:, None]]
+        return refined(ids, place[:, 0], place[:, 1], _owner(place[:, 0], first), first, self.labels_a)
+
+    def tokens_b(self, segments: list[str], first: np.ndarray, together: int) -> Tokens:
+        """Byte spans of the protos, refined; the blank that a text begins with is B's own."""
+        found = [e.pieces for e in self.b.encode(
+            [text[1:] for text in _joined(segments, together)], return_type="proto")]
+        sizes = np.array([len(e) for e in found], dtype=np.int64)
+        pieces = [p for e in found for p in e]
+        ids, begin, end = (np.array(v, dtype=np.int64) for v in (
+            [p.id for p in pieces], [p.begin for p in pieces], [p.end for p in pieces]))
+        base = np.repeat(first[:-1:together], sizes) + 1
+        begin, end = begin + base, end + base
+        begin[begins(sizes)[:-1][sizes > 0]] -= 1
+        return refined(ids, begin, end, _owner(begin, first), first, self.labels_b)
+
+
+def _joined(segments: list[str], together: int) -> list[str]:
+    return ["".join(segments[at:at + together]) for at in range(0, len(segments), together)]
+
+
+def _owner(begin: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The segment in which each token begins."""
+    return np.minimum(np.searchsorted(first, begin, side="right"), len(first) - 1) - 1
 
 
 def refined(ids: np.ndarray, begin: np.ndarray, end: np.ndarray, segment: np.ndarray,
@@ -175,19 +190,29 @@ class Segments:
         self.index = HashIndex()
         self.right = np.empty(0, dtype=bool)
         self.counts = np.empty((0, 4), dtype=np.int64)
-        self.texts: list[bytes] = []
-        self.place = np.empty(0, dtype=np.int64)
-        self.size = np.empty(0, dtype=np.int64)
-        self.pairs = np.empty(0, dtype=np.int64)
-        self.times = np.empty(0, dtype=np.int64)
-
-    def learn(self, hashes: np.ndarray, segments: list[bytes]) -> np.ndarray:
-        """Tokenize distinct segments, each beginning with a blank; the numbers of their entries."""
+        self.text_place, self.text_size, self.text = (np.empty(0, dtype=t) for t in (np.int64, np.int64, np.uint8))
+        self.place, self.size, self.pairs, self.times = (np.empty(0, dtype=np.int64) for _ in range(4))
+
+    def learn(self, hashes: np.ndarray, segments: list[bytes], together: int) -> np.ndarray:
+        """Tokenize distinct segments, each beginning with a blank; the numbers of their entries.
+
+        Where they end so that no token reaches from one into the next, the tokenizers may take some
+        ``together`` as one text.
+        """
+        ends = np.cumsum([len(s) for s in segments])
+        numbers, at = [], 0
+        while at < len(segments):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LEARN_BYTES, side="right")))
+            numbers.append(self._learn(hashes[at:to], segments[at:to], together))
+            at = to
+        return np.concatenate(numbers) if numbers else np.empty(0, dtype=np.int64)
+
+    def _learn(self, hashes: np.ndarray, segments: list[bytes], together: int) -> np.ndarray:
         raw = np.frombuffer(b"".join(segments), dtype=np.uint8)
         first = begins(np.array([len(s) for s in segments], dtype=np.int64))
         texts = [s.decode() for s in segments]
-        a = self.pair.tokens_a(texts, raw, first)
-        b = self.pair.tokens_b(texts, first)
+        a = self.pair.tokens_a(texts, raw, first, together)
+        b = self.pair.tokens_b(texts, first, together)
         right = exact(a, raw, first, self.pair.labels_a) & exact(b, raw, first, self.pair.labels_b)
         in_a, in_b = right[a.segment], right[b.segment]
         a = Tokens(a.ids[in_a], a.ends[in_a], a.segment[in_a])
@@ -209,7 +234,10 @@ class Segments:
         self.times = np.concatenate((self.times, times))
         self.right = np.concatenate((self.right, right))
         self.counts = np.concatenate((self.counts, counts))
-        self.texts += _group_texts(group_a, a, group_b, b, n, self.pair.decimals)
+        text, size = _group_texts(group_a, a, group_b, b, n, self.pair.decimals)
+        self.text_place = np.concatenate((self.text_place, begins(size)[:-1] + len(self.text)))
+        self.text_size = np.concatenate((self.text_size, size))
+        self.text = np.concatenate((self.text, text))
         return self.index.add(hashes)
 
 
@@ -233,8 +261,8 @@ def _products(group_a: np.ndarray, ids_a: np.ndarray, group_b: np.ndarray, ids_b
 
 
 def _group_texts(group_a: np.ndarray, a: Tokens, group_b: np.ndarray, b: Tokens, n: int,
-                 decimals: Labels) -> list[bytes]:
-    """Each segment's groups as ``a1,a2|b1;``."""
+                 decimals: Labels) -> tuple[np.ndarray, np.ndarray]:
+    """The segments' groups as ``a1,a2|b1;``, joined, and the size of each one's."""
     side = np.repeat((0, 1), (len(group_a), len(group_b)))
     key = np.concatenate((group_a, group_b)) * 2 + side
     order = np.argsort(key, kind="stable")
@@ -243,21 +271,19 @@ def _group_texts(group_a: np.ndarray, a: Tokens, group_b: np.ndarray, b: Tokens,
     following = np.append(key[1:], -1)[:len(key)]
     mark = np.where(following == key, 0, np.where(key % 2 == 0, 1, 2))
     items = ids * len(MARKS) + mark
-    joined = decimals.join(items).tobytes()
-    cut = begins(np.bincount(segment, decimals.size[items], n).astype(np.int64)).tolist()
-    return [joined[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
+    return decimals.join(items), np.bincount(segment, decimals.size[items], n).astype(np.int64)
 
 
-def _segment_starts(raw: np.ndarray) -> np.ndarray:
-    """Where a blank follows a byte that surely ends no white space: a visible ASCII character, or the
-    last byte of a character of which the lead byte tells that."""
+def _solid(raw: np.ndarray) -> np.ndarray:
+    """Bytes that surely end no white space: a visible ASCII character, or the last byte of a character
+    of which the lead byte tells that."""
     ascii_ = (raw >= 0x21) & (raw <= 0x7E)
     inside = (raw & 0xC0) == 0x80
     solid = ascii_.copy()
     solid[1:] |= inside[1:] & (raw[:-1] >= 0xC3) & (raw[:-1] <= 0xDF)
     solid[2:] |= inside[2:] & inside[1:-1] & (raw[:-2] >= 0xE4) & (raw[:-2] <= 0xEF)
     solid[3:] |= inside[3:] & (raw[:-3] >= 0xF0) & (raw[:-3] <= 0xF4)
-    return np.flatnonzero(solid[:-1] & (raw[1:] == 0x20)) + 1
+    return solid
 
 
 @dataclass
@@ -281,14 +307,17 @@ def align(texts: list[bytes | None], known: Segments) -> Aligned:
     spaced = [b" " + text if text else b"" for text in texts]
     raw = np.frombuffer(b"".join(spaced), dtype=np.uint8)
     first = begins(np.array([len(t) for t in spaced], dtype=np.int64))
-    inner = _segment_starts(raw) if known.pair.may_cut else np.empty(0, dtype=np.int64)
-    inner = inner[~np.isin(inner + 1, first)]  # B spells no single blank on its own
-    start = np.unique(np.concatenate((inner, first[:-1][np.diff(first) > 0])))
-    entry, text_of = _entries(raw, start, first, known)
+    solid = _solid(raw) if known.pair.may_cut else np.zeros(len(raw), dtype=bool)
+    begin = np.zeros(len(raw) + 1, dtype=bool)
+    begin[1:-1] = solid[:-1] & (raw[1:] == 0x20)
+    begin[first[1:] - 1] = False  # B spells no single blank on its own
+    begin[first[:-1][np.diff(first) > 0]] = True
+    start = np.flatnonzero(begin)
+    entry, text_of = _entries(raw, start, np.append(start[1:], len(raw))[:len(start)], first, known, solid)
     wrong = np.unique(text_of[~known.right[entry]])
     if len(wrong):  # whole, as cuts are sure only where tokens spell the text
         keep = ~np.isin(text_of, wrong)
-        again, owner = _entries(raw, first[wrong], np.append(first[wrong], len(raw)), known, first[wrong + 1])
+        again, owner = _entries(raw, first[wrong], first[wrong + 1], np.append(first[wrong], len(raw)), known)
         entry = np.concatenate((entry[keep], again[known.right[again]]))
         text_of = np.concatenate((text_of[keep], wrong[owner[known.right[again]]]))
         order = np.argsort(text_of, kind="stable")
@@ -296,25 +325,30 @@ def align(texts: list[bytes | None], known: Segments) -> Aligned:
     n = len(texts)
     counts = np.zeros((n, 4), dtype=np.int64)
     np.add.at(counts, text_of, known.counts[entry])
-    cut = np.searchsorted(text_of, np.arange(n + 1)).tolist()
-    numbers_, texts_ = entry.tolist(), known.texts
-    digests = [hashlib.sha256(b"".join([texts_[i] for i in numbers_[x:y]])[:-1]).hexdigest() if y > x else ""
+    size = known.text_size[entry]
+    groups = memoryview(known.text[ranges(known.text_place[entry], size)])
+    cut = begins(size)[np.searchsorted(text_of, np.arange(n + 1))].tolist()
+    digests = [hashlib.sha256(groups[x:y - 1]).hexdigest() if y > x else ""
                for x, y in zip(cut[:-1], cut[1:], strict=True)]
     return Aligned(counts, digests, *_document_pairs(text_of, entry, n, known))
 
 
-def _entries(raw: np.ndarray, start: np.ndarray, first: np.ndarray, known: Segments,
-             end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _entries(raw: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, known: Segments,
+             solid: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The entries of segments, and the text of each."""
-    end = np.append(start[1:], len(raw))[:len(start)] if end is None else end
     hashes = _word_hashes(raw, start, end)
     at = known.index.find(hashes)
     new = np.flatnonzero(at < 0)
     if len(new):
         distinct, one, which = np.unique(hashes[new], return_index=True, return_inverse=True)
         one = new[one]
-        at[new] = known.learn(distinct, [raw[x:y].tobytes() for x, y in zip(
-            start[one].tolist(), end[one].tolist(), strict=True)])[which]
+        together = solid[end[one] - 1] if solid is not None else np.zeros(len(one), dtype=bool)
+        numbers = np.empty(len(one), dtype=np.int64)
+        for kind in (True, False):
+            own = np.flatnonzero(together == kind)
+            numbers[own] = known.learn(distinct[own], [raw[x:y].tobytes() for x, y in zip(
+                start[one[own]].tolist(), end[one[own]].tolist(), strict=True)], TOGETHER if kind else 1)
+        at[new] = numbers[which]
     return at, np.searchsorted(first, start, side="right") - 1
 
 
@@ -403,6 +437,8 @@ def _aligned_chunks(rows: DataFrame, file_a: str, file_b: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        # a task has one core; more threads of the library would take those of other tasks
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         known = Segments(TokenizerPair(file_a, file_b))
         number = TaskContext.get().partitionId() << 40
         for batch in batches:

@@ -91,9 +91,9 @@ def test_long_texts_are_spelled_whole():
         found = alignment.align([text.encode()], known)
         whole = alignment.Segments(known.pair)
         raw = b" " + text.encode()
-        whole.learn(np.array([1], dtype=np.uint64), [raw])
+        whole.learn(np.array([1], dtype=np.uint64), [raw], 1)
         assert whole.right.all() and found.counts[0].tolist() == whole.counts[0].tolist()
-        assert found.digests[0] == hashlib.sha256(whole.texts[0][:-1]).hexdigest()
+        assert found.digests[0] == hashlib.sha256(whole.text.tobytes()[:-1]).hexdigest()
 
 
 def test_refined_cuts_characters_and_fallback_bytes_by_decoded_bytes():
