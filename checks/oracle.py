@@ -181,6 +181,36 @@ def _export(name: str, columns: list[str], rows: str) -> str:
         SELECT '{name}' AS export, concat_ws('|', {cells}) AS row FROM ({rows})"""
 
 
+STAR_ROWS = over_kpi(" UNION ALL ".join([
+    _export("hechos_visitas", [
+        '"visitId"', '"fullVisitorId"', '"date"', '"visitNumber"', '"visitStartTime"',
+        "visits", "pageviews", "transactions", 'round("transactionRevenue" * 100)::BIGINT',
+        '"channelGrouping"', '"hitType"'], "SELECT * FROM kpi"),
+    _export("dim_tiempo", ['"date"', '"year"', '"month"', '"day"', "weekday"],
+            _DATE_DIMENSION),
+    _export("dim_visitante", ['"fullVisitorId"', '"socialEngagementType"'],
+            'SELECT DISTINCT "fullVisitorId", "socialEngagementType" FROM kpi'),
+    _export("dim_canal", ['"channelGrouping"'], 'SELECT DISTINCT "channelGrouping" FROM kpi'),
+    _export("dim_pagina", ['"pagePath"', "referer", '"isInteraction"'],
+            'SELECT DISTINCT "pagePath", referer, "isInteraction" FROM kpi'),
+]))
+
+EVENT_SUMS = over_kpi("""
+    SELECT true AS names_match, true AS stamps_fit, true AS time_passed,
+           1::BIGINT AS runs, true AS every_batch_complete, 0::BIGINT AS errors,
+           (SELECT count(*) FROM raw)::BIGINT AS filas_originales,
+           (SELECT count(*) FROM kpi)::BIGINT AS filas_finales,
+           (SELECT count(*) FROM ev WHERE k = '7')::BIGINT AS null_visitors""")
+
+# Visits with odd numbers come in a lot without totals.
+MIXED_LOTS = f"""
+    SELECT * EXCLUDE (even) REPLACE (
+      CASE WHEN even THEN visits END AS visits,
+      CASE WHEN even THEN pageviews END AS pageviews,
+      CASE WHEN even THEN transactions END AS transactions,
+      CASE WHEN even THEN "transactionRevenue" END AS "transactionRevenue")
+    FROM (SELECT *, "visitId"::BIGINT % 2 = 0 AS even FROM ({KPI_ROWS}))"""
+
 ORACLE = {
     # Files
     "csv_multiline_roundtrip": """
@@ -192,6 +222,9 @@ ORACLE = {
         SELECT page_id::VARCHAR AS page_id, url, CASE WHEN page_id % 2 = 0 THEN html END AS html
         FROM pages""",
     "csv_wide_roundtrip": "SELECT page_id::VARCHAR AS page_id, url, html FROM pages",
+    "csv_split_scan": """
+        SELECT doc_id::VARCHAR AS doc_id, text, lang, source, n_chars::VARCHAR AS n_chars
+        FROM documents""",
     "chunked_export": """
         WITH numbered AS (
           SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders)
@@ -257,6 +290,9 @@ ORACLE = {
         SELECT * REPLACE (nullif("fullVisitorId", '') AS "fullVisitorId",
                           nullif(hits, '') AS hits), 3::INTEGER AS files
         FROM ({CLEAN_RAW})""",
+    "raw_ingest_splits": f"""
+        SELECT * REPLACE (nullif("fullVisitorId", '') AS "fullVisitorId", nullif(hits, '') AS hits)
+        FROM ({CLEAN_RAW})""",
     # Visit KPI
     "visit_kpi": KPI_ROWS,
     "visit_kpi_typed_totals": """
@@ -266,13 +302,14 @@ ORACLE = {
                'PAGE' AS "hitType"
         FROM events""",
     "visit_kpi_rebuild": KPI_ROWS,
-    "kpi_mixed_schemas": f"""
-        SELECT * EXCLUDE (even) REPLACE (
-          CASE WHEN even THEN visits END AS visits,
-          CASE WHEN even THEN pageviews END AS pageviews,
-          CASE WHEN even THEN transactions END AS transactions,
-          CASE WHEN even THEN "transactionRevenue" END AS "transactionRevenue")
-        FROM (SELECT *, "visitId"::BIGINT % 2 = 0 AS even FROM ({KPI_ROWS}))""",
+    "kpi_mixed_schemas": MIXED_LOTS,
+    "kpi_incremental_schemas": MIXED_LOTS,
+    "monitored_mixed_lots": MIXED_LOTS,
+    # A row without a visitor id comes back from CSV as one without a visitor.
+    "session_settings": over_kpi("""
+        SELECT metric, count(*) FILTER ("fullVisitorId" <> '') AS value
+        FROM kpi, (VALUES ('kpi'), ('kpi2')) jobs(metric) GROUP BY metric
+        UNION ALL SELECT 'changed settings', 0"""),
     "visit_kpi_microbatch": KPI_ROWS,
     "monitored_rebuild": KPI_ROWS,
     "batch_error_mixed": over_kpi("""
@@ -289,12 +326,8 @@ ORACLE = {
     "rows_where_null": f"""
         WITH {_EVENTS}
         SELECT event_id::VARCHAR AS "visitId" FROM ev WHERE k = '7'""",
-    "batch_events": over_kpi("""
-        SELECT true AS names_match, true AS stamps_fit, true AS time_passed,
-               1::BIGINT AS runs, true AS every_batch_complete, 0::BIGINT AS errors,
-               (SELECT count(*) FROM raw)::BIGINT AS filas_originales,
-               (SELECT count(*) FROM kpi)::BIGINT AS filas_finales,
-               (SELECT count(*) FROM ev WHERE k = '7')::BIGINT AS null_visitors"""),
+    "batch_events": EVENT_SUMS,
+    "append_events": EVENT_SUMS,
     "batch_error_isolation": over_kpi("""
         SELECT 'failed lot' AS metric, 2::BIGINT AS value
         UNION ALL SELECT 'failed files', 1::BIGINT
@@ -325,17 +358,6 @@ ORACLE = {
         UNION ALL SELECT 'dim_canal', count(*) FROM (SELECT DISTINCT "channelGrouping" FROM kpi)
         UNION ALL SELECT 'dim_pagina', count(*)
           FROM (SELECT DISTINCT "pagePath", referer, "isInteraction" FROM kpi)"""),
-    "star_exports": over_kpi(" UNION ALL ".join([
-        _export("hechos_visitas", [
-            '"visitId"', '"fullVisitorId"', '"date"', '"visitNumber"', '"visitStartTime"',
-            "visits", "pageviews", "transactions", 'round("transactionRevenue" * 100)::BIGINT',
-            '"channelGrouping"', '"hitType"'], "SELECT * FROM kpi"),
-        _export("dim_tiempo", ['"date"', '"year"', '"month"', '"day"', "weekday"],
-                _DATE_DIMENSION),
-        _export("dim_visitante", ['"fullVisitorId"', '"socialEngagementType"'],
-                'SELECT DISTINCT "fullVisitorId", "socialEngagementType" FROM kpi'),
-        _export("dim_canal", ['"channelGrouping"'], 'SELECT DISTINCT "channelGrouping" FROM kpi'),
-        _export("dim_pagina", ['"pagePath"', "referer", '"isInteraction"'],
-                'SELECT DISTINCT "pagePath", referer, "isInteraction" FROM kpi'),
-    ])),
+    "star_exports": STAR_ROWS,
+    "star_incremental": STAR_ROWS,
 }

@@ -1,6 +1,6 @@
 """One query per operator, over the whole test tables."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +16,14 @@ from footfall.operators import (
     row_count, rows_where_null, split_csv, union_lots,
 )
 from footfall.plans import (
-    StarTables, build_star, channel_dimension, clean_raw, date_dimension, ingest_csv, load_lots,
-    page_dimension, visit_facts, visit_kpi, visitor_dimension,
+    StarTables, build_star, channel_dimension, clean_raw, date_dimension, extend_star, ingest_csv,
+    load_lots, page_dimension, visit_facts, visit_kpi, visitor_dimension,
 )
 from footfall.scratch import new_database, new_folder
 from footfall.sources import (
     accumulate_parquet, export_table, read_accumulated, read_csv, read_csv_by_header,
-    read_csv_wide, read_parquet, read_table, write_csv, write_parquet, write_table,
+    read_csv_splits, read_csv_wide, read_lot, read_parquet, read_table, write_csv, write_parquet,
+    write_table,
 )
 from footfall.streaming import (
     append_new_kpi, as_json_lines, decode_events, deliver_events, json_event_log, read_event_log,
@@ -34,6 +35,8 @@ QUERIES: dict[str, Query] = {}
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 ROWS_PER_CHUNK = 5000
+STAR_EXPORTS = [contract.FACT_TABLE, contract.DATE_TABLE, contract.VISITOR_TABLE, contract.CHANNEL_TABLE,
+                contract.PAGE_TABLE]
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -77,6 +80,14 @@ def csv_wide_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_wide(spark, folder)
 
 
+@query("csv_split_scan")
+def csv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of many lines, read in splits."""
+    folder = new_folder(spark, "splits")
+    write_csv(table(spark, sf_dir, "documents"), folder)
+    return read_csv_splits(spark, folder)
+
+
 @query("chunked_export")
 def chunked_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row and column of the chunks, with the chunk and the place in it."""
@@ -220,6 +231,14 @@ def raw_ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingested.withColumn("files", F.lit(len(ingested.inputFiles())))
 
 
+@query("raw_ingest_splits")
+def raw_ingest_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "ingest")
+    write_csv(raw_visits(spark, sf_dir), f"{folder}/csv")
+    ingest_csv(spark, f"{folder}/csv", f"{folder}/parquet")
+    return read_parquet(spark, f"{folder}/parquet")
+
+
 # --- visit KPI ----------------------------------------------------------------
 
 
@@ -277,6 +296,43 @@ def visit_kpi_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, f"{folder}/kpi")
 
 
+def _two_lots(spark: SparkSession, sf_dir: str) -> Iterator[tuple[str, int]]:
+    """A folder of raw visits and its files: first a lot without ``totals``, then a full one beside it."""
+    visits = raw_visits(spark, sf_dir)
+    odd = F.coalesce(F.col("visitId").cast("long") % 2 == 1, F.lit(False))
+    source = new_folder(spark, "lots")
+    yield source, write_lot(visits.where(odd).drop("totals"), source)
+    yield source, write_lot(visits.where(~odd), source)
+
+
+@query("kpi_incremental_schemas")
+def kpi_incremental_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over a lot without ``totals``, then one over what is new, which has them."""
+    folder = new_folder(spark, "kpi")
+    for source, _ in _two_lots(spark, sf_dir):
+        append_new_kpi(spark, source, f"{folder}/kpi", f"{folder}/progress")
+    return read_lot(spark, f"{folder}/kpi")
+
+
+@query("session_settings")
+def session_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings that jobs have changed, and the rows that they made in the caller's session."""
+    before = dict(spark.conf.getAll)
+    folder = new_folder(spark, "settings")
+    write_csv(raw_visits(spark, sf_dir), f"{folder}/csv")
+    ingest_csv(spark, f"{folder}/csv", f"{folder}/clean")
+    append_new_kpi(spark, f"{folder}/clean", f"{folder}/kpi", f"{folder}/progress")
+    run_monitored_kpi(spark, f"{folder}/clean", json_event_log(f"{folder}/events"), f"{folder}/progress2",
+                      f"{folder}/kpi2")
+    after = dict(spark.conf.getAll)
+    changed = sum(before.get(name) != after.get(name) for name in before.keys() | after.keys())
+    return union_lots(
+        *(row_count(read_accumulated(spark, f"{folder}/{name}")).select(
+            F.lit(name).alias("metric"), F.col("rows").alias("value")) for name in ("kpi", "kpi2")),
+        spark.range(1).select(F.lit("changed settings").alias("metric"), F.lit(changed).cast("long").alias("value")),
+    )
+
+
 # --- profiles and progress events ---------------------------------------------
 
 
@@ -304,7 +360,21 @@ def batch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_monitored_kpi(
         spark, source, json_event_log(f"{folder}/events"), f"{folder}/progress",
         files_per_batch=files_per_batch)
-    events = read_event_log(spark, f"{folder}/events")
+    return _event_sums(spark, source, f"{folder}/events")
+
+
+@query("append_events")
+def append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of the job that appends exactly once."""
+    source, files_per_batch = raw_lots(spark, sf_dir)
+    folder = new_folder(spark, "reported")
+    append_new_kpi(spark, source, f"{folder}/kpi", f"{folder}/progress", files_per_batch,
+                   emit=json_event_log(f"{folder}/events"))
+    return _event_sums(spark, source, f"{folder}/events")
+
+
+def _event_sums(spark: SparkSession, source: str, log: str) -> DataFrame:
+    events = read_event_log(spark, log)
     names = events.where(F.col("evento") == contract.BATCH_STARTED).select(
         F.explode("archivos").alias("name"))
     paths = read_parquet(spark, source).select("_metadata.file_name").distinct()
@@ -361,7 +431,7 @@ def batch_error_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = raw_visits(spark, sf_dir)
     source = new_folder(spark, "lots")
     write_lot(visits, source)
-    write_lot(visits.drop("hits").coalesce(1), source)
+    write_lot(visits.drop("hits").limit(10), source)
     folder = new_folder(spark, "mixed")
     run_monitored_kpi(
         spark, source, json_event_log(f"{folder}/events"), f"{folder}/progress",
@@ -389,6 +459,15 @@ def monitored_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_accumulated(spark, f"{folder}/kpi")
 
 
+@query("monitored_mixed_lots")
+def monitored_mixed_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches with different columns, read back whole."""
+    folder = new_folder(spark, "monitored")
+    for source, _ in _two_lots(spark, sf_dir):
+        run_monitored_kpi(spark, source, json_event_log(f"{folder}/events"), f"{folder}/progress", f"{folder}/kpi")
+    return read_accumulated(spark, f"{folder}/kpi")
+
+
 @query("event_stream_decode")
 def event_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of all events, with a broken message for every tenth."""
@@ -467,14 +546,25 @@ def star_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "star")
     build_star(spark, lots, StarTables.in_database(database), export_to=folder)
 
-    def rows(name: str) -> DataFrame:
-        exported = read_parquet(spark, f"{folder}/{name}")
+    return _export_rows({name: read_parquet(spark, f"{folder}/{name}") for name in STAR_EXPORTS})
+
+
+@query("star_incremental")
+def star_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of a star that was built over one lot and then extended by the other."""
+    database, lots = _lot_tables(spark, sf_dir)
+    tables = StarTables.in_database(database)
+    build_star(spark, lots[:1], tables)
+    extend_star(spark, lots[1:], tables)
+    return _export_rows({name: read_table(spark, f"{database}.{name}") for name in STAR_EXPORTS})
+
+
+def _export_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of tables as text."""
+    def rows(name: str, df: DataFrame) -> DataFrame:
         if name == contract.FACT_TABLE:
-            exported = exported.withColumn(
-                "transactionRevenue", F.round(F.col("transactionRevenue") * 100).cast("long"))
-        cells = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in exported.columns]
-        return exported.select(F.lit(name).alias("export"), F.concat_ws("|", *cells).alias("row"))
-
-    return union_lots(*(rows(name) for name in (
-        contract.FACT_TABLE, contract.DATE_TABLE, contract.VISITOR_TABLE, contract.CHANNEL_TABLE,
-        contract.PAGE_TABLE)))
+            df = df.withColumn("transactionRevenue", F.round(F.col("transactionRevenue") * 100).cast("long"))
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns]
+        return df.select(F.lit(name).alias("export"), F.concat_ws("|", *cells).alias("row"))
+
+    return union_lots(*(rows(name, df) for name, df in tables.items()))

@@ -14,7 +14,7 @@ from decimal import Decimal
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,6 +129,74 @@ def _first_hit_of_literals(texts: pa.Array) -> pa.Array:
         [pa.array(column, pa.string()) for column in columns], names=HIT_COLUMNS)
 
 
+# --- plain literals without Python ------------------------------------------------------------
+
+_NOT_PLAIN = r'[\\"\x00]'
+_TYPES = {"true": "True", "false": "False", "null": "None"}
+_TEXT_TYPES = ("VOID", "STRING", "BOOLEAN", "BIGINT")
+_PATHS = ["$.type", "$.page.pagePath", "$.isInteraction", "$.referer"]
+
+
+def _only(value: Column, function) -> Column:
+    """``function`` of a value that is computed once, however often the function names it."""
+    return F.get(F.transform(F.array(value), function), F.lit(0))
+
+
+def _plain_as_json(text: Column) -> Column:
+    """A literal whose strings all are in single quotes, without escapes, as JSON text; else NULL.
+
+    Split at its quotes, such a text has strings in the odd pieces and all else in the even ones.
+    What is no JSON after respelling does not parse; what is, means the same in both languages, but
+    for words that are values in JSON alone and for nesting that Python's parser refuses.
+    """
+    def respelled(piece: Column, i: Column) -> Column:
+        for word, literal in _TYPES.items():
+            piece = F.when(i % 2 == 0, F.replace(piece, F.lit(literal), F.lit(word))).otherwise(piece)
+        return piece
+
+    def outside(piece: Column, i: Column) -> Column:
+        return i % 2 == 0
+
+    def joined(pieces: Column) -> Column:
+        plain = F.array_join(F.filter(pieces, outside), " ")
+        brackets = F.length(plain) - F.length(F.translate(plain, "[{", ""))
+        safe = ~plain.rlike("true|false|null|NaN|Infinity") & (
+            (brackets <= _SAFE_DEPTH) | (F.length(_without_leaves(plain)) == 0))
+        return F.when(safe, F.array_join(F.transform(pieces, respelled), '"'))
+
+    plain = text.rlike(r"^[\[{](?s:.*)[\]}]$") & ~text.rlike(_NOT_PLAIN)
+    return F.when(plain, _only(F.split(text, "'", -1), joined))
+
+
+def _without_leaves(outside: Column) -> Column:
+    """The brackets that are left once innermost pairs are taken away, some levels of them."""
+    brackets = F.regexp_replace(outside, r"[^\[\]{}]+", "")
+    for _ in range(6):
+        brackets = F.regexp_replace(brackets, r"(\[\]|\{\})+", "")
+    return brackets
+
+
+def _hit_of_variant(hits: Column, text: Column) -> Column:
+    """The first hit, or NULL where a value is no plain text, truth value or whole number."""
+    def found(hit: Column) -> Column:
+        values = [F.variant_get(hit, path, "variant") for path in _PATHS]
+        plain = [F.coalesce(F.schema_of_variant(value), F.lit("VOID")).isin(*_TEXT_TYPES) for value in values]
+        page = F.coalesce(F.schema_of_variant(F.variant_get(hit, "$.page", "variant")), F.lit("OBJECT"))
+        none = F.struct(*(F.lit(None).cast("string").alias(name) for name in HIT_COLUMNS))
+        own = F.struct(*(F.variant_get(hit, path, "string").alias(name)
+                         for path, name in zip(_PATHS, HIT_COLUMNS, strict=True)))
+        usable = F.coalesce(F.schema_of_variant(hit).startswith("OBJECT"), F.lit(False)) & page.startswith("OBJECT")
+        return F.when(~usable, none).when(plain[0] & plain[1] & plain[2] & plain[3], own)
+
+    hit = F.when(text.startswith("{"), hits).otherwise(F.variant_get(hits, "$[0]", "variant"))
+    return F.when(hits.isNotNull(), _only(hit, found))
+
+
+def _first_hit_of_plain(text: Column) -> Column:
+    """The first hit of a plain literal by built-in functions; NULL for all other texts."""
+    return _only(F.try_parse_json(_plain_as_json(text)), lambda hits: _hit_of_variant(hits, text))
+
+
 _JSON_HIT = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("page", T.StructType([T.StructField("pagePath", T.StringType())])),
@@ -162,3 +230,20 @@ def first_hit(hits: Column, dialect: str = "python_literal") -> Column:
     if dialect == "json":
         return _first_hit_of_json(hits)
     raise ValueError(f"unknown hits dialect {dialect!r}")
+
+
+def with_first_hit(df: DataFrame, hits: str, name: str, dialect: str = "python_literal") -> DataFrame:
+    """Add the struct of :func:`first_hit`, with Python only for literals that need it.
+
+    Plain literals (strings in single quotes without escapes, as exports write them) are respelled as
+    JSON and parsed by built-in functions, whose strictness decides; Python gets the texts that
+    do not parse so, and NULL for all others.
+    """
+    if dialect != "python_literal":
+        return df.withColumn(name, first_hit(F.col(hits), dialect))
+    plain = df.withColumn(_PLAIN, _first_hit_of_plain(F.col(hits)))
+    rest = F.when(F.col(_PLAIN).isNull(), F.col(hits))
+    return plain.withColumn(name, F.coalesce(F.col(_PLAIN), _first_hit_of_literals(rest))).drop(_PLAIN)
+
+
+_PLAIN = "_plain hit"

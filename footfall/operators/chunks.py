@@ -5,123 +5,31 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footfall.scratch import write_aside
+from footfall.sources.records import SPLIT, runs, split_index, split_lines
 
 # Tasks carry the code they run, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEFAULT_ROWS_PER_FILE = 100_000
 
-_SPLIT = ["file", "start", "length"]
 _LINES = "file string, start long, length long, seq long, value string, n_out long, n_in long"
-_STATES = "file string, start long, length long, n_out long, n_in long, end_out int, end_in int"
-
-
-def ends_quoted(line: str, quoted: bool) -> bool:
-    """Whether a line that begins outside (or inside) a quoted field ends inside one.
-
-    As CSV readers see it: a quote opens a field only as its first character, inside a quoted
-    field two quotes are one, and what follows the closing quote up to the comma is plain.
-    """
-    at, begins = 0, True
-    while True:
-        if begins and not quoted:
-            quoted = line.startswith('"', at)
-            at += quoted
-        while quoted:
-            found = line.find('"', at)
-            if found < 0:
-                return True
-            quoted = line.startswith('"', found + 1)
-            at = found + 1 + quoted
-        found = line.find(",", at)
-        if found < 0:
-            return False
-        at, begins = found + 1, True
-
-
-class _Run:
-    """Reads the lines of one split, not knowing whether it begins inside a quoted field.
-
-    Both cases are followed: how many records have begun, and whether a quoted field is open.
-    """
-
-    def __init__(self) -> None:
-        self.seq, self.begun, self.quoted = 0, [0, 0], [False, True]
-
-    def add(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Records begun up to and with each line, in both cases."""
-        has_quote = np.flatnonzero(np.asarray(pc.match_substring(values, '"')))
-        out = []
-        for case in (0, 1):
-            begins = np.empty(len(values), dtype=np.int64)
-            at, quoted = 0, self.quoted[case]
-            for line in has_quote.tolist():
-                begins[at:line + 1] = not quoted
-                at, quoted = line + 1, ends_quoted(values[line].as_py(), quoted)
-            begins[at:] = not quoted
-            out.append(self.begun[case] + np.cumsum(begins))
-            self.begun[case] += int(begins.sum())
-            self.quoted[case] = quoted
-        self.seq += len(values)
-        return out[0], out[1]
-
-
-def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple, _Run, pa.RecordBatch, int]]:
-    """Pieces of batches that belong to one split, with that split's run."""
-    split, run = None, _Run()
-    for batch in batches:
-        keys = list(zip(*(batch[name].to_pylist() for name in _SPLIT), strict=True))
-        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if a == b:
-                continue
-            if keys[a] != split:
-                split, run = keys[a], _Run()
-            yield split, run, batch.slice(a, b - a), run.seq
-
-
-def _states(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per split: the records that begin in it and how it ends, in both cases."""
-    last: dict[tuple, _Run] = {}
-    for split, run, piece, _ in _runs(batches):
-        run.add(piece["value"])
-        last[split] = run
-    rows = [(*split, *run.begun, *map(int, run.quoted)) for split, run in last.items()]
-    names = [field.split()[0] for field in _STATES.split(", ")]
-    yield pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True)) for row in rows],
-                                     schema=pa.schema([(n, pa.string() if n == "file" else pa.int32()
-                                                        if n.startswith("end") else pa.int64())
-                                                       for n in names]))
 
 
 def _lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each line with its place in the split and the records begun so far, in both cases."""
-    for _, run, piece, seq in _runs(batches):
+    for _, run, piece, seq in runs(batches):
         n_out, n_in = run.add(piece["value"])
         yield pa.RecordBatch.from_arrays(
-            [*(piece[name] for name in _SPLIT), pa.array(np.arange(seq, seq + piece.num_rows)),
+            [*(piece[name] for name in SPLIT), pa.array(np.arange(seq, seq + piece.num_rows)),
              piece["value"], pa.array(n_out), pa.array(n_in)],
             [field.split()[0] for field in _LINES.split(", ")])
 
 
-def _composed(splits):
-    """For the splits of one file: whether each begins quoted, and the records before it."""
-    splits = splits.sort_values("start")
-    quoted, before, begins, earlier = 0, 0, [], []
-    for row in splits.itertuples():
-        begins.append(quoted)
-        earlier.append(before)
-        before += row.n_in if quoted else row.n_out
-        quoted = row.end_in if quoted else row.end_out
-    return splits[_SPLIT].assign(quoted=begins, before=earlier, records=before)
-
-
 def running_total(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
     """Add the sum of ``value`` over all rows that come before in ``order`` (unique).
 
@@ -162,23 +70,15 @@ def split_csv(
     a chunk together.  Nothing is copied in between; should Spark cut the files differently in
     the second pass, it fails instead of losing a line.
     """
-    lines = (
-        spark.read.options(lineSep="\n", recursiveFileLookup=True).text(source)
-        .select("value", F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("start"),
-                F.col("_metadata.file_block_length").alias("length"))
-    )
-    splits = write_aside(
-        lines.mapInArrow(_states, _STATES).groupBy("file").applyInPandas(
-            _composed, "file string, start long, length long, quoted int, before long, records long"),
-        "splits")
+    lines = split_lines(spark, source)
+    splits = split_index(lines)
     files = splits.groupBy("file").agg((F.max("records") - 1).alias("rows"))
     files = write_aside(running_total(files, "file", "rows", "offset"), "files")
     known = splits.join(files.select("file", "offset"), "file").drop("records")
 
     record = F.col("before") + F.when(F.col("quoted") == 1, F.col("n_in")).otherwise(F.col("n_out")) - 1
     numbered = (
-        lines.mapInArrow(_lines, _LINES).join(known, _SPLIT, "left")
+        lines.mapInArrow(_lines, _LINES).join(known, SPLIT, "left")
         .withColumn("record", F.when(F.col("before").isNull(), F.raise_error(
             F.lit("the files were cut differently in the second pass"))).otherwise(record))
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.json_text import normalize_json_list, normalize_json_map
 from footfall.operators.columns import nullify_placeholders, require_columns
-from footfall.sources.files import read_csv, read_csv_wide, write_parquet
+from footfall.sources.files import read_csv, read_csv_splits, read_csv_wide, write_parquet
 
 
 def clean_raw(df: DataFrame) -> DataFrame:
@@ -30,10 +30,12 @@ def ingest_csv(
 ) -> None:
     """CSV file or folder to a cleaned Parquet folder.
 
-    ``partitions`` spreads the rows before cleaning.  One big multi-line file needs it,
-    for its parsing is a single task; many files are parallel already and need no shuffle.
+    Large files are read in splits by many tasks, with no shuffle.  With ``partitions`` each file is
+    one task instead, and its rows are dealt to so many before cleaning, which then write as many
+    files.
     """
-    raw = (read_csv_wide if wide else read_csv)(spark, source)
     if partitions:
-        raw = raw.repartition(partitions)
+        raw = (read_csv_wide if wide else read_csv)(spark, source).repartition(partitions)
+    else:
+        raw = read_csv_splits(spark, source)
     write_parquet(clean_raw(raw), target)

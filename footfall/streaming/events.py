@@ -21,9 +21,10 @@ def event_rows(spark: SparkSession, events: Sequence[dict]) -> DataFrame:
 
 
 def stamp_events(events: DataFrame) -> DataFrame:
-    """Set ``timestamp`` to the current time in UTC, whatever the session's time zone."""
-    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
-    return events.withColumn("timestamp", now.cast("timestamp_ntz"))
+    """Set ``timestamp`` to the current time in UTC, whatever the session's time zone, where an event
+    has no time of its own."""
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+    return events.withColumn("timestamp", F.coalesce("timestamp", now))
 
 
 def as_json_lines(events: DataFrame) -> DataFrame:

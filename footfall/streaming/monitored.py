@@ -4,17 +4,24 @@ import os
 import time
 import traceback
 from collections.abc import Callable
+from itertools import batched
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from footfall import contract
 from footfall.operators.profile import profile_metrics
 from footfall.plans.visits import visit_kpi
-from footfall.sources.lots import escape_glob, files_missing, read_lot
+from footfall.sources.lots import escape_glob, files_lacking, read_lot
+from footfall.sources.manifest import (
+    RECORDS, commit_lot, forget_lot, merged_schema, read_text, remove, storage, write_text,
+)
 from footfall.streaming.events import EventSink, event_rows
 
+Result = TypeVar("Result")
 _FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -37,12 +44,14 @@ def run_monitored_kpi(
     and NULLs, computes the KPI rows, counts those and writes them.  Without ``target`` they are
     only counted.
 
-    A batch has its own folder ``<target>/lote-<n>``, emptied if the batch is repeated;
-    ``read_accumulated`` reads them all.  A target belongs to one checkpoint: with a new one the
+    A batch has its own folder ``<target>/lote-<n>``, emptied if the batch is repeated, and counts once
+    its record is among those of the target (see :mod:`footfall.sources.manifest`);
+    ``read_accumulated`` reads all that count, whatever their columns.  A target belongs to one checkpoint: with a new one the
     lots of an earlier run are removed first, as nothing of them counts as done; a target that
     another checkpoint goes on filling raises ``ValueError``.
 
-    Files without a key or the hits are bad.  If the pass over the others fails, it is tried
+    Files without a key or the hits are bad, and so are those that are no Parquet files; a store that
+    does not answer stops the run.  If the pass over the others fails, it is tried
     again, for the cause may be the cluster and not the files; then by halves, until the bad
     files are alone.  Each bad file has its ``error`` event.  With ``on_error="fail"`` the run
     then stops, and a restart repeats the batch, so nothing is lost.  With ``"skip"`` it goes on
@@ -64,10 +73,7 @@ def run_monitored_kpi(
         lot = {"lote_id": batch_id + 1}
         names = [os.path.basename(path) for path in paths]
         send({"evento": contract.BATCH_STARTED, **lot, "archivos": names})
-        folder = f"{target.rstrip('/')}/lote-{batch_id + 1:06d}" if target else None
-        if folder:
-            _remove(spark, folder)
-        report, bad = _isolated(spark, paths, folder, dialect, attempts)
+        report, bad, commit = _lot(spark, paths, target, f"lote-{batch_id + 1:06d}", dialect, attempts)
         for path, error in bad:
             send({
                 "evento": contract.BATCH_FAILED, **lot, "archivos": [os.path.basename(path)],
@@ -78,6 +84,7 @@ def run_monitored_kpi(
         if bad:
             spark.createDataFrame([(path,) for path, _ in bad], "value string").coalesce(1) \
                 .write.mode("append").text(failed)
+        commit()
         send(*({**event, **lot} for event in report))
 
     if target:
@@ -106,81 +113,92 @@ def run_monitored_kpi(
 
 def retry_failed(
     spark: SparkSession, failed: str, target: str | None, attempts: int = 3,
-    dialect: str = "python_literal",
+    dialect: str = "python_literal", files_per_batch: int = 1000,
 ) -> list[str]:
-    """Process the files named in the folder ``failed`` again, as the lot ``<target>/lote-otra``.
+    """Process the files named in the folder ``failed`` again, as lots ``<target>/lote-otra-<n>``.
 
-    Returns the names that still fail.  The lot is replaced each time, so a second call after
+    Returns the names that still fail.  These lots are replaced each time, so a second call after
     mending more files loses none.
     """
-    paths = sorted(row.value for row in spark.read.text(failed).distinct().toLocalIterator())
-    folder = f"{target.rstrip('/')}/lote-otra" if target else None
-    if folder:
-        _remove(spark, folder)
-    _, bad = _isolated(spark, paths, folder, dialect, attempts)
-    return [path for path, _ in bad]
+    names = (row.value for row in spark.read.text(failed).distinct().orderBy("value").toLocalIterator())
+    if target:
+        place, files = storage(spark, f"{target.rstrip('/')}/{RECORDS}/lote-otra-*.json")
+        for status in files.globStatus(place) or []:
+            files.delete(status.getPath(), False)
+    still = []
+    for number, paths in enumerate(batched(names, files_per_batch), 1):
+        _, bad, commit = _lot(spark, list(paths), target, f"lote-otra-{number:06d}", dialect, attempts)
+        commit()
+        still += [path for path, _ in bad]
+    return still
 
 
 _MARK = "_checkpoint"
 
 
-def _path(spark: SparkSession, path: str):
-    """A path in Hadoop's terms and its file system."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    path, files = _path(spark, folder)
-    files.delete(path, True)
-
-
 def _claim(spark: SparkSession, target: str, checkpoint: str) -> None:
     """Make ``target`` the output of ``checkpoint``; a new checkpoint starts with no lots."""
-    mark, files = _path(spark, f"{target.rstrip('/')}/{_MARK}")
-    mine, checkpoints = _path(spark, f"{checkpoint.rstrip('/')}/metadata")
-    owner = None
-    if files.exists(mark):
-        stream = files.open(mark)
-        owner = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        stream.close()
+    folder = target.rstrip("/")
+    owner = read_text(spark, f"{folder}/{_MARK}")
+    mine, checkpoints = storage(spark, f"{checkpoint.rstrip('/')}/metadata")
     if checkpoints.exists(mine):
         if owner not in (None, checkpoint):
             raise ValueError(f"{target} holds the lots of checkpoint {owner}, not of {checkpoint}")
     else:
-        for status in files.globStatus(_path(spark, f"{target.rstrip('/')}/lote-*")[0]) or []:
+        remove(spark, f"{folder}/{RECORDS}")
+        place, files = storage(spark, f"{folder}/lote-*")
+        for status in files.globStatus(place) or []:
             files.delete(status.getPath(), True)
     if owner != checkpoint:
-        stream = files.create(mark, True)
-        stream.write(bytearray(checkpoint.encode()))
-        stream.close()
+        write_text(spark, f"{folder}/{_MARK}", checkpoint)
+
+
+def _lot(
+    spark: SparkSession, paths: list[str], target: str | None, name: str, dialect: str, attempts: int
+) -> tuple[list[dict], list[tuple[str, Exception]], Callable[[], None]]:
+    """Process files as one lot: its events, the bad files, and what makes the lot count."""
+    folder = f"{target.rstrip('/')}/{name}" if target else None
+    if target:
+        forget_lot(spark, target, name)
+        remove(spark, folder)
+    report, bad, parts = _isolated(spark, paths, folder, dialect, attempts)
+
+    def commit() -> None:
+        if target and parts:
+            rows = sum(event.get("filas_finales", 0) for event in report)
+            commit_lot(spark, target, name, merged_schema(list(parts.values())),
+                       [f"{name}/{part}" for part in parts], rows)
+
+    return report, bad, commit
 
 
 def _isolated(
     spark: SparkSession, paths: list[str], folder: str | None, dialect: str, attempts: int
-) -> tuple[list[dict], list[tuple[str, Exception]]]:
-    """The events of all files that can be processed, and the bad files with their errors."""
-    missing = files_missing(spark, paths, [*contract.KEY_COLUMNS, "hits"])
+) -> tuple[list[dict], list[tuple[str, Exception]], dict[str, StructType]]:
+    """The events of all files that can be processed, the bad files with their errors, and the folders
+    written with their schemas."""
+    lacking = files_lacking(spark, paths, [*contract.KEY_COLUMNS, "hits"])
     bad: list[tuple[str, Exception]] = [
-        (path, ValueError(f"{path} lacks {', '.join(names)}")) for path, names in missing.items()]
-    reports = []
-    todo = [([path for path in paths if path not in missing], "todo")]
+        (path, ValueError(f"{path} {problem}")) for path, problem in lacking.items()]
+    reports, parts = [], {}
+    todo = [([path for path in paths if path not in lacking], "todo")]
     while todo:
         some, part = todo.pop()
         if not some:
             continue
         try:
             own = f"{folder}/{part}" if folder else None
-            reports.append(_retried(lambda s=some, o=own: _one_pass(spark, s, o, dialect), attempts))
+            report, parts[part] = _retried(lambda s=some, o=own: _one_pass(spark, s, o, dialect), attempts)
+            reports.append(report)
         except Exception as error:
             if folder:
-                _remove(spark, f"{folder}/{part}")
+                remove(spark, f"{folder}/{part}")
             if len(some) == 1:
                 bad.append((some[0], error))
             else:
                 half = len(some) // 2
                 todo += [(some[half:], f"{part}-b"), (some[:half], f"{part}-a")]
-    return _summed(reports), sorted(bad, key=lambda item: item[0])
+    return _summed(reports), sorted(bad, key=lambda item: item[0]), parts
 
 
 def _summed(reports: list[list[dict]]) -> list[dict]:
@@ -203,7 +221,7 @@ def _summed(reports: list[list[dict]]) -> list[dict]:
     ]
 
 
-def _retried(work: Callable[[], list[dict]], attempts: int) -> list[dict]:
+def _retried(work: Callable[[], Result], attempts: int) -> Result:
     """The result of ``work``, tried again after any failure but a wrong set of columns."""
     for _ in range(attempts - 1):
         try:
@@ -217,8 +235,8 @@ def _retried(work: Callable[[], list[dict]], attempts: int) -> list[dict]:
 
 def _one_pass(
     spark: SparkSession, paths: list[str], folder: str | None, dialect: str
-) -> list[dict]:
-    """Write the KPI rows of some files; the events that tell how it went."""
+) -> tuple[list[dict], StructType]:
+    """Write the KPI rows of some files; the events that tell how it went, and the rows' schema."""
     raw = read_lot(spark, *map(escape_glob, paths))
     before, after = Observation(), Observation()
     kpi = visit_kpi(raw.observe(before, *profile_metrics(raw)), dialect)
@@ -247,4 +265,4 @@ def _one_pass(
             "columnas_finales": kpi.columns,
         },
         {"evento": contract.BATCH_FINISHED, "duracion_segundos": seconds},
-    ]
+    ], kpi.schema

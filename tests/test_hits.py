@@ -1,12 +1,15 @@
 import ast
+import random
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from footfall.functions import first_hit
-from footfall.functions.hits import _parse_literal, _respell_as_json, first_hit_of_literal
+from footfall.functions import first_hit, with_first_hit
+from footfall.functions.hits import (
+    _first_hit_of_plain, _parse_literal, _respell_as_json, first_hit_of_literal,
+)
 
 NONE = (None, None, None, None)
 
@@ -122,3 +125,41 @@ def test_usual_hits_take_the_fast_way():
     long_visit = repr([hit] * 500)
     assert _respell_as_json(long_visit) is not None
     assert _respell_as_json("[" * 150 + "]" * 150) is None
+
+
+def both_ways(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, hits string").repartition(3)
+    found = with_first_hit(df.withColumn("plain", _first_hit_of_plain(F.col("hits"))), "hits", "h")
+    return {r.i: r for r in found.select("i", "h.*", F.col("plain").isNotNull().alias("fast")).collect()}
+
+
+def test_plain_literals_need_no_python(spark):
+    texts = [text for text, _ in LITERAL_CASES]
+    rows = both_ways(spark, texts)
+    assert [tuple(rows[i])[1:5] for i in range(len(texts))] == [want for _, want in LITERAL_CASES]
+    hit = {"type": "PAGE", "page": {"pagePath": "/men"}, "isInteraction": True, "time": 1.5, "x": [None, {}]}
+    fast = [repr([hit]), repr(hit), repr([hit] * 300), "[]", "['A']", "[{'type': 'A', 'page': None}]", repr([hit, 7])]
+    slow = [repr([{**hit, "type": "it's"}]), "[{'type': 1.5}]", "[{'type': {'a': 1}}]", "[{'a': 1}, {1}]", "[{'type': true}]",
+            "[" * 150 + "]" * 150, "[{'type': 'A', 'type': 'B'}]", "({},)", None]
+    rows = both_ways(spark, fast + slow)
+    assert [rows[i].fast for i in range(len(rows))] == [True] * len(fast) + [False] * len(slow)
+    assert all(tuple(rows[i])[1:5] == first_hit_of_literal(text) for i, text in enumerate(fast + slow))
+
+
+def test_both_ways_agree_on_scrambled_literals(spark):
+    random.seed(4)
+    parts = ["[", "]", "{", "}", ":", ",", " ", "'", '"', "'a'", '"b"', "''", "True", "False", "None", "true", "null",
+             "NaN", "Infinity", "1", "-2", "+3", "05", "1.50", "-0", ".5", "2.", "1e5", "1_0", "1" * 25, "b", "\\", "\n", "\t",
+             "\f", "#", "(", "'k': ", "'type': ", "'page': ", "'pagePath': ", "{'pagePath': 'p'}", "'referer': ", "\0",
+             "é", "\u2028", "True'", "'x': [1, {}], "]
+    frames = ["[%s]", "{%s}", "[{'type': %s}]", "[{'type': 'A', 'page': %s}]", "[{'page': {'pagePath': %s}}, %s]", "%s",
+              "{'referer': %s, 'isInteraction': %s}"]
+    texts = []
+    for _ in range(4000):
+        frame = random.choice(frames)
+        texts.append(frame % tuple("".join(random.choices(parts, k=random.choice([0, 1, 1, 1, 2, 3, 5])))
+                                   for _ in range(frame.count("%s"))))
+    rows = both_ways(spark, texts)
+    for i, text in enumerate(texts):
+        assert tuple(rows[i])[1:5] == first_hit_of_literal(text), text
+    assert sum(rows[i].fast for i in rows) > 200

@@ -1,14 +1,18 @@
 import datetime
+import glob
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
 
 from footfall.plans import (
-    StarTables, build_star, channel_dimension, date_dimension, load_lots, page_dimension,
+    StarTables, build_star, channel_dimension, date_dimension, extend_star, load_lots, page_dimension,
     visit_facts, visit_kpi, visitor_dimension,
 )
 from footfall.scratch import new_database
-from footfall.sources import read_parquet, read_table, write_table
+from footfall.sources import (
+    append_table, export_parquet, read_parquet, read_table, sized, write_table,
+)
 
 SENTINEL = "not available in demo dataset"
 
@@ -79,3 +83,59 @@ def test_lots_must_have_the_same_columns(spark, kpi):
     write_table(kpi.drop("visits"), f"{database}.b")
     with pytest.raises(AnalysisException):
         build_star(spark, [f"{database}.a", f"{database}.b"], StarTables.in_database(database))
+
+
+def test_extending_a_star_equals_building_it(spark, kpi, raw, tmp_path):
+    database = new_database(spark, "star")
+    more = visit_kpi(raw(
+        {"visitId": "6", "date": "bad"}, {"visitId": "7", "date": "worse"}, {"visitId": "8", "date": None},
+        {"visitId": "9", "date": "20170101"}, {"visitId": "10", "date": "20170102", "hits": None},
+        {"visitId": "11", "channelGrouping": "Social", "fullVisitorId": "u2"}))
+    last = visit_kpi(raw({"visitId": "12", "date": "worse", "channelGrouping": None, "fullVisitorId": "u2"}))
+    lots = [f"{database}.{name}" for name in ("a", "b", "c")]
+    for rows, name in zip((kpi, more.select(more.columns[::-1]), last), lots, strict=True):
+        write_table(rows, name)
+    grown, whole = (StarTables.in_database(new_database(spark, name)) for name in ("grown", "whole"))
+    build_star(spark, lots[:1], grown)
+    extend_star(spark, lots[1:2], grown)
+    counts = extend_star(spark, lots[2:], grown)
+    wanted = build_star(spark, lots, whole)
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, wanted.collect()))
+    for one, two in zip(grown.all(), whole.all(), strict=True):
+        rows = read_table(spark, one).select(read_table(spark, two).columns)
+        assert rows.exceptAll(read_table(spark, two)).count() == 0
+
+
+def test_an_unfinished_star_is_not_extended(spark, kpi):
+    database = new_database(spark, "star")
+    write_table(kpi, f"{database}.a")
+    tables = StarTables.in_database(database)
+    build_star(spark, [f"{database}.a"], tables)
+    append_table(visit_facts(kpi), tables.fact)
+    with pytest.raises(ValueError, match="build the star anew"):
+        extend_star(spark, [f"{database}.a"], tables)
+
+
+def test_appended_columns_go_by_name(spark, kpi):
+    name = f"{new_database(spark, 'append')}.a"
+    write_table(kpi, name)
+    append_table(kpi.select("visitId", "date"), name)
+    assert read_table(spark, name).where("fullVisitorId IS NULL").count() == 5
+    with pytest.raises(ValueError, match="no columns extra"):
+        append_table(kpi.withColumn("extra", kpi.visitId), name)
+
+
+def test_exports_come_in_even_files(spark, tmp_path):
+    rows = spark.range(0, 400_000, 1, 3).selectExpr("id", "CAST(sha2(CAST(id AS STRING), 256) AS STRING) AS t")
+    skewed = rows.where("id < 390000").coalesce(1).union(rows.where("id >= 390000"))
+    assert "REBALANCE" in sized(skewed)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+    try:
+        export_parquet(skewed, f"{tmp_path}/many", single_file=False)
+        export_parquet(rows.limit(10), f"{tmp_path}/few", single_file=False)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    sizes = [os.path.getsize(p) for p in glob.glob(f"{tmp_path}/many/*.parquet")]
+    assert len(sizes) > 3 and max(sizes) < 3 * min(sizes)
+    assert len(glob.glob(f"{tmp_path}/few/*.parquet")) == 1
+    assert read_parquet(spark, f"{tmp_path}/many").count() == 400_000
