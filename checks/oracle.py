@@ -181,6 +181,11 @@ def _export(name: str, columns: list[str], rows: str) -> str:
         SELECT '{name}' AS export, concat_ws('|', {cells}) AS row FROM ({rows})"""
 
 
+FIRST_HITS = f"""
+    WITH {_EVENTS}
+    SELECT CASE k WHEN '13' THEN NULL ELSE event_id::VARCHAR END AS "visitId", {_hit(_BAD_HITS)}
+    FROM ev"""
+
 STAR_ROWS = over_kpi(" UNION ALL ".join([
     _export("hechos_visitas", [
         '"visitId"', '"fullVisitorId"', '"date"', '"visitNumber"', '"visitStartTime"',
@@ -255,10 +260,8 @@ ORACLE = {
                year(o_orderdate)::INTEGER AS "year", month(o_orderdate)::INTEGER AS "month",
                day(o_orderdate)::INTEGER AS "day", strftime(o_orderdate, '%A') AS weekday
         FROM orders""",
-    "first_hit_literal": f"""
-        WITH {_EVENTS}
-        SELECT CASE k WHEN '13' THEN NULL ELSE event_id::VARCHAR END AS "visitId", {_hit(_BAD_HITS)}
-        FROM ev""",
+    "first_hit_literal": FIRST_HITS,
+    "first_hit_builtin": FIRST_HITS,
     "first_hit_json": """
         WITH ev AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
         SELECT event_id::VARCHAR AS "visitId",

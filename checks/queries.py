@@ -9,7 +9,7 @@ from checks.derived_visits import raw_lots, raw_visits, raw_visits_json, table,
 from footfall import contract
 from footfall.functions import (
     date_parts, first_hit, lenient_double, lenient_int, normalize_json_list, normalize_json_map,
-    parse_day, parse_totals,
+    parse_day, parse_totals, with_first_hit,
 )
 from footfall.operators import (
     column_profile, drop_columns, drop_rows_missing, keep_columns, nullify_placeholders,
@@ -183,6 +183,13 @@ def first_hit_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
         "visitId", "hit.*")
 
 
+@query("first_hit_builtin")
+def first_hit_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by built-in functions, with Python for literals that these cannot read."""
+    visits = raw_visits(spark, sf_dir).select("visitId", "hits")
+    return with_first_hit(visits, "hits", "hit").select("visitId", "hit.*")
+
+
 @query("first_hit_json")
 def first_hit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = raw_visits_json(spark, sf_dir)
@@ -235,7 +242,7 @@ def raw_ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_ingest_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "ingest")
     write_csv(raw_visits(spark, sf_dir), f"{folder}/csv")
-    ingest_csv(spark, f"{folder}/csv", f"{folder}/parquet")
+    ingest_csv(spark, f"{folder}/csv", f"{folder}/parquet", splits=True)
     return read_parquet(spark, f"{folder}/parquet")
 
 

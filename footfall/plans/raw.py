@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from footfall.functions.json_text import normalize_json_list, normalize_json_map
 from footfall.operators.columns import nullify_placeholders, require_columns
-from footfall.sources.files import read_csv, read_csv_splits, read_csv_wide, write_parquet
+from footfall.sources.files import (
+    has_large_files, read_csv, read_csv_splits, read_csv_wide, write_parquet,
+)
 
 
 def clean_raw(df: DataFrame) -> DataFrame:
@@ -27,15 +29,17 @@ def ingest_csv(
     target: str,
     wide: bool = False,
     partitions: int | None = None,
+    splits: bool | None = None,
 ) -> None:
     """CSV file or folder to a cleaned Parquet folder.
 
-    Large files are read in splits by many tasks, with no shuffle.  With ``partitions`` each file is
-    one task instead, and its rows are dealt to so many before cleaning, which then write as many
-    files.
+    With ``splits`` files are read in splits by many tasks, with no shuffle; by default where the
+    largest has several splits, as that reads the text three times.  Else each file is one task.
+    ``partitions`` deals the rows to so many tasks before cleaning, which then write as many files.
     """
+    if splits is None:
+        splits = not partitions and has_large_files(spark, source)
+    raw = (read_csv_splits if splits else read_csv_wide if wide else read_csv)(spark, source)
     if partitions:
-        raw = (read_csv_wide if wide else read_csv)(spark, source).repartition(partitions)
-    else:
-        raw = read_csv_splits(spark, source)
+        raw = raw.repartition(partitions)
     write_parquet(clean_raw(raw), target)

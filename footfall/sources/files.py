@@ -58,6 +58,18 @@ def read_csv_splits(spark: SparkSession, *paths: str, schema: T.StructType | Non
     return parsed.where(is_row).select(*(F.col(f"row.c{i}").alias(name) for i, name in enumerate(columns)))
 
 
+#: Splits of a file from which reading it in splits is worth the passes.
+MANY_SPLITS = 4
+
+
+def has_large_files(spark: SparkSession, source: str) -> bool:
+    """Whether a file below ``source`` has many splits; only names and sizes are looked at."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    largest = listed.agg(F.max("length")).first()[0] or 0
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return largest >= MANY_SPLITS * split
+
+
 def _is_header(columns: list[str]) -> Column:
     """False for the first record of a file, which is no row; an error if it names other columns."""
     same = F.lit(True)

@@ -10,6 +10,7 @@ from table look-ups on arrays.
 import math
 import sys
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -219,11 +220,11 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = to
 
 
-_RECORDS = "file string, start long, piece long, record long, whole boolean, value string"
+_RECORDS = "file string, start long, piece long, record long, value string"
 
 
-def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The records of pieces; parts of one that other pieces go on with are not ``whole``."""
+def _records(batches: Iterable[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """The records that lie in one piece, or the parts of those that other pieces go on with."""
     for batch in batches:
         for i in range(batch.num_rows):
             quoted = batch["quoted"][i].as_py()
@@ -236,15 +237,27 @@ def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.flatnonzero(run.begins(lines)[0])
             head = not len(starts) or starts[0] > 0
             cuts = np.concatenate(([0] if head else [], starts, [len(lines)])).astype(np.int32)
-            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), pa.concat_arrays([lines])), "\n")
-            whole = np.ones(len(texts), dtype=bool)
-            whole[0] &= not head
-            whole[-1] &= not run.quoted[0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([batch[name][i].as_py()] * len(texts), kind)
-                 for name, kind in (("file", pa.string()), ("start", pa.int64()), ("piece", pa.int64()))]
-                + [pa.array(begun - head + np.arange(len(texts))), pa.array(whole), texts],
-                [field.split()[0] for field in _RECORDS.split(", ")])
+            kept = np.ones(len(cuts) - 1, dtype=bool)
+            kept[0] &= not head
+            kept[-1] &= not run.quoted[0]
+            at = np.flatnonzero(kept == whole)
+            if not len(at):
+                continue
+            record = pa.array((begun - head + at).astype(np.int64))
+            texts = _joined(lines, cuts, at)
+            here = [pa.array([batch[name][i].as_py()] * len(at), kind)
+                    for name, kind in (("file", pa.string()), ("start", pa.int64()), ("piece", pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*here, record, texts], ["file", "start", "piece", "record", "value"])
+
+
+def _joined(lines: pa.Array, cuts: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The lines from ``cuts[i]`` to before ``cuts[i + 1]`` as one text, for each i of ``at``."""
+    if len(at) < 3:
+        return pa.array(["\n".join(lines.slice(cuts[i], cuts[i + 1] - cuts[i]).to_pylist()) for i in at], pa.string())
+    begin, end = int(cuts[at[0]]), int(cuts[at[-1] + 1])  # those of whole records are next to each other
+    offsets = pa.array(np.append(cuts[at], end) - begin, pa.int32())
+    values = pa.concat_arrays([lines.slice(begin, end - begin)])
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, values), "\n")
 
 
 def csv_records(spark: SparkSession, *sources: str) -> DataFrame:
@@ -257,10 +270,11 @@ def csv_records(spark: SparkSession, *sources: str) -> DataFrame:
     """
     lines = split_lines(spark, *sources)
     known = split_index(lines).drop("records")
-    parts = lines.mapInArrow(_pieces, _PIECES).join(known, SPLIT, "left").mapInArrow(_records, _RECORDS)
+    pieces = lines.mapInArrow(_pieces, _PIECES).join(known, SPLIT, "left")
     cut = (
-        parts.where("NOT whole").groupBy("file", "record")
+        pieces.mapInArrow(partial(_records, whole=False), _RECORDS).groupBy("file", "record")
         .agg(F.array_sort(F.collect_list(F.struct("start", "piece", "value"))).alias("parts"))
         .select("file", "record", F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"))
     )
-    return parts.where("whole").select("file", "record", "value").unionByName(cut)
+    whole = pieces.mapInArrow(partial(_records, whole=True), _RECORDS)
+    return whole.select("file", "record", "value").unionByName(cut)

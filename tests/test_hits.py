@@ -140,7 +140,8 @@ def test_plain_literals_need_no_python(spark):
     hit = {"type": "PAGE", "page": {"pagePath": "/men"}, "isInteraction": True, "time": 1.5, "x": [None, {}]}
     fast = [repr([hit]), repr(hit), repr([hit] * 300), "[]", "['A']", "[{'type': 'A', 'page': None}]", repr([hit, 7])]
     slow = [repr([{**hit, "type": "it's"}]), "[{'type': 1.5}]", "[{'type': {'a': 1}}]", "[{'a': 1}, {1}]", "[{'type': true}]",
-            "[" * 150 + "]" * 150, "[{'type': 'A', 'type': 'B'}]", "({},)", None]
+            "[" * 150 + "]" * 150, "[{'type': 'A', 'type': 'B'}]", "({},)", None, "[{'type': 'A'}][]", "[{'type': 'A'}], [1]", "[{'type': 'A'}]},{",
+            "{'type': 'A'}, 'hits': {'type': 'B'}", "[{'type': 'A', 'referer': 'it is True'}]", "[{'type': 'A'}] x"]
     rows = both_ways(spark, fast + slow)
     assert [rows[i].fast for i in range(len(rows))] == [True] * len(fast) + [False] * len(slow)
     assert all(tuple(rows[i])[1:5] == first_hit_of_literal(text) for i, text in enumerate(fast + slow))

@@ -4,7 +4,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from footfall.sources import read_csv, read_csv_splits
+from footfall.plans import ingest_csv
+from footfall.sources import read_csv, read_csv_splits, read_parquet, write_csv
+from footfall.sources.files import has_large_files
 from footfall.sources.records import Run, csv_records, split_lines
 
 
@@ -110,3 +112,17 @@ def test_headers_must_agree(spark, tmp_path):
     (tmp_path / "2.csv").write_text("b,a\n1,2\n")
     with pytest.raises(Exception, match="names other columns"):
         read_csv_splits(spark, str(tmp_path)).collect()
+
+
+def test_ingest_reads_large_files_in_splits(spark, raw, tmp_path):
+    write_csv(raw({"visitId": "1"}, {"visitId": "2"}), f"{tmp_path}/in")
+    assert not has_large_files(spark, f"{tmp_path}/in")
+    ingest_csv(spark, f"{tmp_path}/in", f"{tmp_path}/whole")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50")
+    try:
+        assert has_large_files(spark, f"{tmp_path}/in")
+        ingest_csv(spark, f"{tmp_path}/in", f"{tmp_path}/split")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    one, two = (read_parquet(spark, f"{tmp_path}/{name}") for name in ("whole", "split"))
+    assert rows_of(one) == rows_of(two) and one.count() == 2
