@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
@@ -19,6 +19,9 @@ FIT_ROWS = 4000
 STEPS = 12
 #: Unit vectors of a batch that are held at once.
 ROWS_AT_ONCE = 256
+TEXT_BYTES = 1 << 20
+#: Counts of languages are broadcast up to so many.
+BROADCAST_LANGS = 100_000
 #: Classes of texts by powers of two of their distinct n-grams, which a repeated word adds none to.
 CLASSES = DIMENSIONS.bit_length()
 #: At most this part of a language's rows is fitted to, so that others remain to be compared.
@@ -84,21 +87,28 @@ class Centroids:
     least: np.ndarray | float
 
 
+def _parts(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+    """Few rows and few bytes of texts at a time; one long text is a part of its own."""
+    for batch in batches:
+        for big in slices(batch, text=text, limit=TEXT_BYTES):
+            for at in range(0, big.num_rows, ROWS_AT_ONCE):
+                yield big.slice(at, ROWS_AT_ONCE)
+
+
 def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
     """In how many texts each hashed n-gram occurs, over all rows, and the number of rows."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, found, rows = _letters(), np.zeros(DIMENSIONS, dtype=np.int64), 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                counts, _ = grams(batch[0].slice(at, ROWS_AT_ONCE).to_pylist(), letters)
-                found += (counts > 0).sum(axis=0)
-                rows += len(counts)
+        for part in _parts(batches):
+            counts, _ = grams(part["text"].to_pylist(), letters)
+            found += (counts > 0).sum(axis=0)
+            rows += len(counts)
         yield pa.RecordBatch.from_pydict({"dim": np.arange(-1, DIMENSIONS),
                                           "n": np.concatenate(([rows], found))})
 
     sums = (
-        docs.select(text).mapInArrow(count, "dim long, n long")
+        docs.select(F.col(text).alias("text")).mapInArrow(count, "dim long, n long")
         .groupBy("dim").agg(F.sum("n").alias("n")).collect()
     )
     found = np.zeros(DIMENSIONS + 1, dtype=np.int64)
@@ -107,27 +117,38 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
     return found[1:], int(found[0])
 
 
-def fit_rows(docs: DataFrame, lang: str, order: str, bound: int) -> DataFrame:
-    """At most ``bound`` rows, evenly over the languages and the same ones whenever asked.
+def _place(text: str, order: str) -> Column:
+    """Where a row stands in the choice of rows; rows without an ``order`` go by their text."""
+    return F.when(F.col(order).isNull(), F.xxhash64(F.col(text), F.lit(7))).otherwise(
+        F.xxhash64(F.col(order), F.lit(7)))
+
+
+def fit_rows(docs: DataFrame, text: str, lang: str, order: str, bound: int) -> DataFrame:
+    """At most ``bound`` rows (or one for each language, if there are more of these), evenly over the
+    languages and the same ones whenever asked.
 
     Rows are taken by a hash of ``order``, at most ``FIT_PART`` of a language's; a first cut by hash
-    keeps the ranking of a frequent language small.
+    keeps the ranking of a frequent language small.  Of rows with the same hash one is taken, the
+    same one always.
     """
     totals = docs.groupBy(lang).agg(F.count(F.lit(1)).alias("_total"))
-    each = max(1, bound // max(1, totals.count()))
-    place = F.xxhash64(F.col(order), F.lit(7))
-    share = F.pmod(place, F.lit(1 << 30)) / (1 << 30)
+    n_langs = totals.count()
+    if n_langs <= BROADCAST_LANGS:
+        totals = F.broadcast(totals)
+    each = max(1, bound // max(1, n_langs))
+    share = F.pmod("_place", F.lit(1 << 30)) / (1 << 30)
     few = (
-        docs.join(F.broadcast(totals.limit(bound)), lang)
+        docs.join(totals, lang).withColumn("_place", _place(text, order))
         .where(share <= F.lit(2.0 * each + 64) / F.col("_total"))
-        .select(docs["*"], place.alias("_place"), "_total")
+        .groupBy(lang, "_place").agg(F.first("_total").alias("_total"),
+                                     F.min_by(text, F.xxhash64(text)).alias(text))
     )
     size = F.least(F.lit(each), F.ceil(F.first("_total") * FIT_PART)).cast("int")
     picked = few.groupBy(lang).agg(F.slice(F.sort_array(F.collect_list("_place")), F.lit(1), size)
                                    .alias("_taken"))
     return (
         few.join(picked, lang).where(F.array_contains("_taken", F.col("_place")))
-        .drop("_taken", "_total").limit(2 * bound)
+        .drop("_taken", "_total")
     )
 
 
@@ -155,8 +176,8 @@ def learn(train: DataFrame, text: str = "text", lang: str = "lang", order: str =
     """Fit the model to labelled rows.
 
     Document frequencies come from all rows of ``train`` with a language; the centroids from at
-    most about ``bound`` rows of them, evenly over the languages, whose vectors Spark computes; the
-    least cosines from all other rows.
+    most ``bound`` rows of them (see :func:`fit_rows`), whose vectors tasks compute and cluster, a
+    language in each; the least cosines from all other rows.
     """
     train = train.where(F.col(lang).isNotNull())
     found, rows = document_frequencies(train, text)
@@ -164,35 +185,38 @@ def learn(train: DataFrame, text: str = "text", lang: str = "lang", order: str =
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _letters()
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
-                counts, n_letters = grams(part["text"].to_pylist(), letters)
-                data = [v.astype("<f4").tobytes() if n else None
-                        for v, n in zip(unit_vectors(counts, idf), n_letters, strict=True)]
-                yield pa.RecordBatch.from_pydict({"lang": part["lang"].cast(pa.string()),
-                                                  "_place": part["_place"],
-                                                  "data": pa.array(data, pa.binary())})
+        for part in _parts(batches):
+            counts, n_letters = grams(part["text"].to_pylist(), letters)
+            data = [v.astype("<f4").tobytes() if n else None
+                    for v, n in zip(unit_vectors(counts, idf), n_letters, strict=True)]
+            yield pa.RecordBatch.from_pydict({"lang": part["lang"].cast(pa.string()),
+                                              "_place": part["_place"],
+                                              "data": pa.array(data, pa.binary())})
+
+    def cluster(rows: pa.Table) -> pa.Table:
+        """The centroids of a language, the places of the rows they are fitted to with the first."""
+        order = np.argsort(rows["_place"].to_numpy())
+        joined = b"".join(rows["data"].take(pa.array(order)).to_pylist())
+        own = np.frombuffer(joined, dtype="<f4").reshape(len(order), DIMENSIONS)
+        centers = [center.astype("<f4").tobytes() for center in _cluster(own, centroids)]
+        places = [rows["_place"].to_pylist(), *([[]] * (len(centers) - 1))]
+        return pa.table({"lang": [rows["lang"][0].as_py()] * len(centers), "n": range(len(centers)),
+                         "center": pa.array(centers, pa.binary()),
+                         "places": pa.array(places, pa.list_(pa.int64()))})
 
     sample = fit_rows(train.select(F.col(text).alias("text"), F.col(lang).alias("lang"),
-                                   F.col(order).alias("order")), "lang", "order", bound)
-    by_lang: dict[str, list[np.ndarray]] = {}
-    taken = []
+                                   F.col(order).alias("order")), "text", "lang", "order", bound)
     made = sample.select("lang", "_place", "text").mapInArrow(
-        vectors, "lang string, _place long, data binary")
-    for row in made.where(F.col("data").isNotNull()).toLocalIterator():
-        by_lang.setdefault(row["lang"], []).append(np.frombuffer(row["data"], dtype="<f4"))
-        taken.append(row["_place"])
-    langs, centers = [], []
-    for name in sorted(by_lang):
-        own = np.array(sorted(map(tuple, by_lang[name])), dtype=np.float32)
-        center = _cluster(own, centroids)
-        langs += [name] * len(center)
-        centers.append(center)
+        vectors, "lang string, _place long, data binary").where("data IS NOT NULL")
+    found = made.groupBy("lang").applyInArrow(
+        cluster, "lang string, n long, center binary, places array<long>").collect()
+    found.sort(key=lambda row: (row["lang"], row["n"]))
+    langs = [row["lang"] for row in found]
+    centers = [np.frombuffer(row["center"], dtype="<f4")[None] for row in found]
+    taken = [place for row in found for place in row["places"]]
     model = Centroids(langs, np.concatenate(centers) if centers else np.zeros((0, DIMENSIONS)), idf, 0.0)
     if langs:
-        others = train.select(F.col(text).alias("text"),
-                              F.xxhash64(F.col(order), F.lit(7)).alias("_place"))
+        others = train.select(F.col(text).alias("text"), _place(text, order).alias("_place"))
         model.least = least_cosines(cosine_counts(others, model, np.array(taken)), langs)
     return model
 
@@ -212,16 +236,13 @@ def cosine_counts(rows: DataFrame, model: Centroids, taken: np.ndarray) -> np.nd
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centers, idf, of_center, taken = shared.value
         letters, found = _letters(), np.zeros(shape, dtype=np.int64)
-        for batch in batches:
-            for big in slices(batch, limit=1 << 20):
-                for at in range(0, big.num_rows, ROWS_AT_ONCE):
-                    part = big.slice(at, ROWS_AT_ONCE)
-                    part = part.filter(pa.array(~np.isin(np.asarray(part["_place"]), taken)))
-                    counts, n_letters = grams(part["text"].to_pylist(), letters)
-                    counts = counts[n_letters > 0]
-                    cosine = unit_vectors(counts, idf) @ centers.T
-                    bins = np.clip(cosine.max(axis=1) * BINS, 0, BINS - 1).astype(np.int64)
-                    np.add.at(found, (of_center[cosine.argmax(axis=1)], text_class(counts), bins), 1)
+        for part in _parts(batches):
+            part = part.filter(pa.array(~np.isin(np.asarray(part["_place"]), taken)))
+            counts, n_letters = grams(part["text"].to_pylist(), letters)
+            counts = counts[n_letters > 0]
+            cosine = unit_vectors(counts, idf) @ centers.T
+            bins = np.clip(cosine.max(axis=1) * BINS, 0, BINS - 1).astype(np.int64)
+            np.add.at(found, (of_center[cosine.argmax(axis=1)], text_class(counts), bins), 1)
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_pydict({"at": at, "n": found.ravel()[at]})
 

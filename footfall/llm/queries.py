@@ -88,10 +88,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_language")
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document without an id is not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = language.learn(docs.where(crc_rest("doc_id", 4) != 2))
+    held_out = F.coalesce(crc_rest("doc_id", 4) == 2, F.lit(False))
+    model = language.learn(docs.where(~held_out))
     return language.identify(docs, model, keep=["doc_id"]).select(
-        "doc_id", (crc_rest("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
 @query("op9_packing")

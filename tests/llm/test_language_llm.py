@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from footfall.llm.language import Centroids, identify, learn
+from footfall.llm import language
+from footfall.llm.language import Centroids, fit_rows, identify, learn
 
 WORDS = {"de": "der die das und nicht keit schön über lich ung".split(),
          "fr": "le la les et être où ment tion eau aux".split(),
@@ -71,3 +72,67 @@ def test_unlearned_languages_and_random_letters_are_rejected(spark):
     assert clean.where("rejected").count() <= 0.01 * clean.count()
     short = docs.where("doc_id % 2 = 1").selectExpr("substring_index(text, ' ', 8) AS text")
     assert identify(short, model).where("rejected").count() <= 0.02 * short.count()
+
+
+def plain_vector(text, idf):
+    """Counts of n-grams by a loop over characters, weighted and of length 1."""
+    chars, letters = [" "], "".join(c if c.isalpha() else " " for c in text.lower())
+    chars = " " + " ".join(letters.split()) + " " if letters.split() else " "
+    counts = np.zeros(language.DIMENSIONS)
+    for n in language.ORDERS:
+        for at in range(len(chars) - n + 1):
+            key = n
+            for char in chars[at:at + n]:
+                key = (key * 0x100000001B3 + ord(char)) % 2**64
+            counts[key * 0x9E3779B97F4A7C15 % 2**64 >> 52] += 1
+    vector = np.log1p(counts) * idf
+    return vector / max(np.linalg.norm(vector), 1e-12)
+
+
+def test_vectors_and_nearest_centroids_equal_plain_loops(spark, model):
+    random.seed(6)
+    texts = [text(random.choice(list(WORDS)), random.randint(1, 30)) for _ in range(40)] + ["a1b  c,é", "ŒUVRE x"]
+    got = identify(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+    for row in got:
+        vector = plain_vector(row.text, model.idf)
+        cosines = model.vectors.astype(float) @ vector
+        assert row.lang_pred == model.langs[int(np.argmax(cosines))]
+        assert row.score == pytest.approx(min(max(cosines.max(), 0), 1), abs=1e-4)
+
+
+def test_clusters_equal_a_plain_loop():
+    rng = np.random.default_rng(2)
+    own = rng.random((60, 8))
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    unit = lambda v: [x / sum(y * y for y in v) ** 0.5 for x in v]
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    centers = [unit([sum(column) / len(own) for column in own.T])]
+    for _ in range(2):
+        near = [max(dot(v, c) for c in centers) for v in own]
+        centers.append(list(own[near.index(min(near))]))
+    for _ in range(language.STEPS):
+        nearest = [max(range(3), key=lambda i, v=v: dot(v, centers[i])) for v in own]
+        centers = [unit([sum(v[d] for v, m in zip(own, nearest) if m == i) for d in range(8)])
+                   if i in nearest else centers[i] for i in range(3)]
+    assert np.allclose(language._cluster(own, 3), centers, atol=1e-6)
+
+
+def test_fitted_rows_are_bounded_whatever_repeats(spark):
+    rows = [(1, "same text", "de")] * 500 + [(None, f"text {i}", "de") for i in range(300)]
+    rows += [(i, "x y", f"l{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    found = fit_rows(docs, "text", "lang", "doc_id", 40).groupBy("lang").count().collect()
+    assert len(found) == 31 and all(r["count"] == 1 for r in found)  # 40 // 31 a language
+    again = [fit_rows(docs.repartition(n), "text", "lang", "doc_id", 310).collect() for n in (2, 5)]
+    assert sorted(map(repr, again[0])) == sorted(map(repr, again[1])) and len(again[0]) <= 310
+
+
+def test_query_gives_no_null_for_a_missing_id(spark, tmp_path):
+    from footfall.llm.queries import QUERIES
+
+    random.seed(8)
+    rows = [(None if i % 7 == 0 else i, text(lang, 30), lang, "s", 1) for i, lang in enumerate(list(WORDS) * 30)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    out = QUERIES["op8_language"](spark, str(tmp_path))
+    assert out.where("held_out IS NULL").count() == 0 and out.where("doc_id IS NULL AND NOT held_out").count() == 13
