@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from footfall.llm.exchange import (
-    answered_rows, bucket_count, bucket_cuts, bucket_rows, chunk_rows, numbers, release, slices,
-    texts_of, write_chunks,
+    answered_rows, bucket_count, bucket_cuts, bucket_rows, chunk_rows, numbers, packed, release, slices,
+    texts_of, unpacked, write_blobs, write_chunks,
 )
 from footfall.llm.graph import components
 from footfall.llm.words import mix, whole_hashes, window_hashes, words_of
@@ -23,9 +23,12 @@ COORDINATES = 128
 #: binomial (128, 0.75): mean 96, and below 72 with a probability of 1.2e-6, once in some 830 000
 #: pairs; at 0.76 of 2.9e-7.
 MATCHES = 72
-#: Lists of up to so many members are compared in full at once; longer ones have so many hubs
-#: after the most central one, and by how much more in each further round.
-SHORT, HUBS, MORE = 4, 64, 16
+#: All members of lists of up to so many meet at once; of longer ones all meet the most central one.
+SHORT = 4
+#: Sets that are compared together: so many, with so many shingles in all (a larger set is alone).
+BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 18
+#: Shingles whose holders are counted at once.
+COLUMNS = 4096
 
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 FACTORS, SHIFTS = _SEEDS[:COORDINATES] | np.uint64(1), _SEEDS[COORDINATES:]
@@ -268,10 +271,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id",
        of sizes that allow the similarity meet.  Pairs with enough collisions are confirmed on
        their full sets.  Members that links join need not meet again.
     4. Members of lists that still hold several components are posted anew under their rarest
-       shingles, an exact filter that parts documents with a common passage from near copies.
-       These lists get more and more hubs that the others meet, until one component is left or
-       all members were hubs.  So a list of thousands of near copies costs a link each, and no link
-       between components is lost but by the chance that ``matches`` allows for.
+       shingles, an exact filter that parts documents with a common passage from near copies, and
+       meet as before, now without the test of signatures.
+    5. What is still apart in these lists is compared in full, block with block: a block holds
+       the sets of documents of one size class and mostly one list, a task counts the common
+       shingles of all pairs of two blocks at once, and links that join components go on, at most
+       one for each document.  So many documents that look alike but are not similar enough
+       cost time within tasks and no rows, and no link between components is lost but by the
+       chance that ``matches`` allows for.
 
     A text without words links with nothing, nor does a row with a NULL key, which is kept and
     has no component.  Keys are whole numbers; rows with
@@ -309,31 +316,32 @@ def _components(spark: SparkSession, sketch: DataFrame, rows: DataFrame, size: i
         F.lit(COORDINATES - matches + 1).cast("long").alias("prefix")))
     found = None
 
-    def meet(lists: DataFrame, low: int, high: int) -> None:
+    def join(links: DataFrame) -> None:
         nonlocal found
-        pairs = write_aside(
-            _meeting(_with_components(lists, found), low, high, similarity), "met")
-        likely = write_aside(_match(_across(pairs, found), classes, matches), "pairs")
+        if not links.isEmpty():
+            found = _joined(found, links)
+        release(spark)
+
+    def meet(lists: DataFrame, by_signature: bool) -> None:
+        pairs = write_aside(_meeting(_with_components(lists, found), similarity), "met")
+        likely = _across(pairs, found)
+        if by_signature:
+            likely = _match(likely, classes, matches)
+        likely = write_aside(likely, "pairs")
         ends = likely.select(F.col("a").alias("key")).unionByName(
             likely.select(F.col("b").alias("key"))).distinct()
         texts = write_aside(_texts(rows, classes, ends), "texts")
-        new = write_aside(_confirm(likely, texts, size, similarity), "links")
-        if not new.isEmpty():
-            found = _joined(found, new)
-        release(spark)
+        join(write_aside(_confirm(likely, texts, size, similarity), "links"))
 
     lists = _different(lists, found)
-    meet(lists, 0, 0)
-    lists = _apart(lists, found, 0)
+    meet(lists, by_signature=True)
+    lists = _apart(lists, found)
     if lists is not None:
         lists = _different(_refined(lists, rows, classes, size, similarity), found)
-        meet(lists, 0, 0)
-    low, high = 0, HUBS
-    while lists is not None and low < (lists.agg(F.max("size")).first()[0] or 0):
-        lists = _apart(lists, found, low)
-        if lists is not None:
-            meet(lists, low, high)
-            low, high = high, high * MORE
+        meet(lists, by_signature=False)
+        lists = _apart(lists, found)
+    if lists is not None:
+        join(write_aside(_block_links(lists, found, rows, classes, size, similarity), "links"))
     if found is None:
         return classes.select("_set", F.col("key").alias("component_id"))
     return write_aside(
@@ -367,9 +375,9 @@ def _with_components(lists: DataFrame, found: DataFrame | None) -> DataFrame:
         "component", F.coalesce("component", "key"))
 
 
-def _apart(lists: DataFrame, found: DataFrame | None, low: int) -> DataFrame | None:
-    """The postings of lists that hold several components and members that did not meet yet."""
-    left = _different(lists.where((F.col("size") > SHORT) & (F.col("size") > low)), found)
+def _apart(lists: DataFrame, found: DataFrame | None) -> DataFrame | None:
+    """The postings of lists that hold several components and members that did not meet."""
+    left = _different(lists.where(F.col("size") > SHORT), found)
     return None if left.isEmpty() else left
 
 
@@ -403,29 +411,153 @@ def _refined(lists: DataFrame, rows: DataFrame, classes: DataFrame, size: int,
         (F.col("n") - need + 1).cast("long").alias("prefix")))
 
 
-def _meeting(live: DataFrame, low: int, high: int, similarity: int) -> DataFrame:
+def _meeting(live: DataFrame, similarity: int) -> DataFrame:
     """Pairs (a, b) of a member of a list and a hub, of different components.
 
-    With ``high`` 0, all members of short lists are hubs and the most central one of others; else
-    those whose place in the list is from ``low`` to below ``high``.
+    All members of short lists are hubs and the most central one of others.
     """
-    hub = live.select("post", F.col("key").alias("hub"), F.col("n").alias("hub_n"),
-                      F.col("component").alias("of"), "size", "rank")
-    if high == 0:
-        central = live.where(F.col("size") > SHORT).groupBy("post").agg(
-            F.max(F.struct("central", "key", "n", "component")).alias("top"))
-        hubs = hub.where(F.col("size") <= SHORT).select("post", "hub", "hub_n", "of").unionByName(
-            central.select("post", F.col("top.key").alias("hub"), F.col("top.n").alias("hub_n"),
-                           F.col("top.component").alias("of")))
-    else:
-        place = F.pmod("rank", "size")
-        hubs = hub.where((place >= low) & (place < high)).select("post", "hub", "hub_n", "of")
+    central = live.where(F.col("size") > SHORT).groupBy("post").agg(
+        F.max(F.struct("central", "key", "n", "component")).alias("top"))
+    hubs = (
+        live.where(F.col("size") <= SHORT)
+        .select("post", F.col("key").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("of"))
+        .unionByName(central.select("post", F.col("top.key").alias("hub"), F.col("top.n").alias("hub_n"),
+                                    F.col("top.component").alias("of")))
+    )
     hubs = write_aside(hubs, "hubs").withColumnRenamed("post", "list")
     met = live.join(hubs, (F.col("post") == F.col("list")) & (F.col("component") != F.col("of"))
                     & (100 * F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n")))
     return met.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
 
 
+def _block_links(lists: DataFrame, found: DataFrame | None, rows: DataFrame, classes: DataFrame, size: int,
+                 similarity: int) -> DataFrame:
+    """Links (a, b) that join components, of all pairs of members that share a list.
+
+    A document goes to a block of its longest list and its size class.  Similar sets are of the same or
+    of neighbouring classes, as a class reaches up to the size that the similarity allows for.
+    Blocks meet where a list has members of both, unless all are of one component.
+    """
+    lists = _with_components(lists, found)
+    members = lists.groupBy("post").agg(F.count(F.lit(1)).alias("members"))
+    step = float(np.log(100 / similarity)) or 1.0
+    kind = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
+    homes = lists.join(members, "post").groupBy("key").agg(
+        F.max(F.struct("members", "post")).alias("home"), F.first("n").alias("n"), F.first("rank").alias("rank"),
+        F.first("component").alias("component")).withColumn("kind", kind)
+    group = ["home", "kind"]
+    most = F.greatest(F.lit(1), F.least(F.lit(BLOCK_SETS), F.floor(F.lit(BLOCK_SHINGLES) / F.max("n"))))
+    parts = homes.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
+    placed = write_aside(
+        homes.join(parts, group).select(
+            "key", "n", "kind", "component",
+            F.xxhash64("home", "kind", F.pmod("rank", "parts")).alias("block")), "placed")
+    blocks = placed.groupBy("block").agg(
+        F.first("kind").alias("kind"), F.min("component").alias("low"), F.max("component").alias("high"))
+    within = lists.select("post", "key").join(placed.select("key", "block"), "key").select(
+        "post", "block").distinct().join(blocks, "block")
+    one, two = (within.select("post", *(F.col(c).alias(f"{c}_{end}") for c in ("block", "kind", "low", "high")))
+                for end in "ab")
+    pairs = one.join(two, "post").where(
+        "block_a <= block_b AND abs(kind_a - kind_b) <= 1"
+        " AND NOT (low_a = high_a AND low_b = high_b AND low_a = low_b)"
+    ).select("block_a", "block_b").distinct()
+    texts = _texts(rows, classes, placed.select("key"))
+    sets = write_blobs(_set_blocks(placed.join(texts, "key"), size), "blocks")
+    both = (
+        write_aside(pairs, "meeting").join(sets.withColumnsRenamed({"block": "block_a", "data": "one"}), "block_a")
+        .join(sets.withColumnsRenamed({"block": "block_b", "data": "two"}), "block_b")
+    )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, one, two in zip(*(batch[c] for c in ("block_a", "block_b", "one", "two")), strict=True):
+                left = unpacked(one.as_buffer())
+                right = None if a == b else unpacked(two.as_buffer())
+                yield pa.RecordBatch.from_pydict(dict(zip("ab", _forest(left, right, similarity), strict=True)))
+
+    return both.select("block_a", "block_b", "one", "two").mapInArrow(run, "a long, b long")
+
+
+def _set_blocks(rows: DataFrame, size: int) -> DataFrame:
+    """A row for each block: its members' keys, components and sets, packed."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, components, sets = [], [], []
+        for batch in table.select(["key", "component", "text"]).to_batches():
+            for part in slices(batch, limit=1 << 20):
+                shingle, begins = shingle_sets(texts_of(part), size)
+                keys.append(part["key"])
+                components.append(part["component"])
+                sets.append(pa.LargeListArray.from_arrays(pa.array(begins, pa.int64()), pa.array(shingle)))
+        block = pa.RecordBatch.from_arrays(
+            [pa.concat_arrays(keys), pa.concat_arrays(components), pa.concat_arrays(sets)],
+            ["key", "component", "set"])
+        return pa.table({"block": table["block"][:1], "data": pa.array([packed(block)], pa.binary())})
+
+    return rows.select("block", "key", "component", "text").groupBy("block").applyInArrow(
+        run, "block long, data binary")
+
+
+def _flat(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All shingles of a block's sets, the member each is of, and the sizes of the sets."""
+    sizes = np.diff(np.asarray(block["set"].offsets))
+    return block["set"].flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes), sizes
+
+
+def common_shingles(left: pa.RecordBatch, right: pa.RecordBatch) -> np.ndarray:
+    """How many shingles each set of the one block has in common with each of the other.
+
+    Only shingles of both blocks count; the matrices of some thousand of them at a time are multiplied.
+    """
+    (one, of_one, sizes_one), (two, of_two, sizes_two) = _flat(left), _flat(right)
+    shared = np.intersect1d(one, two)
+    found = np.zeros((len(sizes_one), len(sizes_two)), dtype=np.float32)
+    sides = []
+    for shingle, of, sizes in ((one, of_one, sizes_one), (two, of_two, sizes_two)):
+        column = np.searchsorted(shared, shingle)
+        known = column < len(shared)
+        known[known] = shared[column[known]] == shingle[known]
+        order = np.argsort(column[known], kind="stable")
+        sides.append((column[known][order], of[known][order], len(sizes)))
+    for begin in range(0, len(shared), COLUMNS):
+        has = []
+        for column, of, n in sides:
+            part = slice(*np.searchsorted(column, (begin, begin + COLUMNS)))
+            matrix = np.zeros((n, min(COLUMNS, len(shared) - begin)), dtype=np.float32)
+            matrix[of[part], column[part] - begin] = 1
+            has.append(matrix)
+        found += has[0] @ has[1].T
+    return np.rint(found).astype(np.int64)
+
+
+def _forest(left: pa.RecordBatch, right: pa.RecordBatch | None, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between members of two blocks (or of one) that join components not joined before."""
+    other = right if right is not None else left
+    common = common_shingles(left, other)
+    sizes = [np.diff(np.asarray(block["set"].offsets)) for block in (left, other)]
+    union = sizes[0][:, None] + sizes[1][None, :] - common
+    one, two = left["component"].to_numpy(), other["component"].to_numpy()
+    linked = (100 * common >= similarity * union) & (union > 0) & (one[:, None] != two[None, :])
+    root: dict[int, int] = {}
+
+    def find(node: int) -> int:
+        while (above := root.get(node, node)) != node:
+            root[node] = root.get(above, above)
+            node = above
+        return node
+
+    links = []
+    for i, j in np.argwhere(linked).tolist():
+        a, b = find(int(one[i])), find(int(two[j]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            links.append((i, j))
+    at = np.array(links, dtype=np.int64).reshape(-1, 2)
+    a, b = left["key"].to_numpy()[at[:, 0]], other["key"].to_numpy()[at[:, 1]]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
 def _texts(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(key, text) of wanted classes: the text of the row with the class's key."""
     chosen = classes.join(wanted, "key").select(F.col("key").alias("_key"), F.col("tag").alias("_tag"))

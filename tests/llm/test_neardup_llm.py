@@ -2,6 +2,10 @@ import random
 import re
 from math import comb
 
+import numpy as np
+import pyarrow as pa
+
+from footfall.llm import neardup
 from footfall.llm.graph import components
 from footfall.llm.neardup import COORDINATES, MATCHES, SIMILARITY, _joined, near_duplicates
 
@@ -111,3 +115,40 @@ def test_signatures_miss_hardly_a_pair_at_the_threshold():
     p = SIMILARITY / 100
     missed = sum(comb(COORDINATES, k) * p ** k * (1 - p) ** (COORDINATES - k) for k in range(MATCHES))
     assert missed < 2e-6
+
+
+def test_many_documents_around_the_threshold(spark):
+    """A group that looks alike, of which some pairs are just similar enough and most are not."""
+    random.seed(12)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(260):
+        words = list(base)
+        for at in random.sample(range(120), random.choice([1, 2, 3, 4, 5])):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    for i in range(260, 300, 2):  # alike, and of many sizes
+        words = base[:random.randint(60, 120)] + [f"y{i}_{j}" for j in range(random.randint(5, 40))]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(words[2:] + [f"z{i}"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs).collect()}
+    assert got == brute(rows)
+    assert 20 < sum(kept for _, _, kept in got.values()) < 290
+
+
+def test_common_shingles_and_forests_equal_plain_sets():
+    rng = np.random.default_rng(3)
+    blocks, sets = [], []
+    for n, start in ((40, 0), (25, 40)):
+        own = [np.unique(rng.choice(6000, rng.integers(1, 400))).astype(np.uint64) for _ in range(n)]
+        own[3] = own[7] = own[0]
+        begins = np.cumsum([0, *map(len, own)])
+        blocks.append(pa.RecordBatch.from_arrays(
+            [pa.array(range(start, start + n)), pa.array([start] * 2 + list(range(start + 2, start + n))),
+             pa.LargeListArray.from_arrays(pa.array(begins), pa.array(np.concatenate(own)))], ["key", "component", "set"]))
+        sets.append([set(s.tolist()) for s in own])
+    for a, b in ((0, 1), (0, 0)):
+        want = [[len(x & y) for y in sets[b]] for x in sets[a]]
+        assert neardup.common_shingles(blocks[a], blocks[b]).tolist() == want
+    found = sorted(zip(*map(list, neardup._forest(blocks[0], None, 75))))
+    assert len(found) == 2 and {x for pair in found for x in pair} <= {0, 3, 7}  # 0, 3 and 7 are one set
