@@ -2,6 +2,7 @@
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -76,21 +77,18 @@ def _unpack_keys(value: pa.Scalar) -> np.ndarray:
     return full.view("<u8").ravel()
 
 
-ASKED = "bucket long, chunk long, keys binary, fit binary, held binary, one binary"
+ASKED = "bucket long, chunk long, keys binary, fit binary, held binary"
 
 
-def _ask(chunk: int, batch: pa.RecordBatch, order: int, n_buckets: int) -> dict:
-    """Per bucket: distinct n-grams of all orders, and how often training texts have them."""
+def _ask(chunk: int, batch: pa.RecordBatch, level: int, order: int, n_buckets: int) -> dict:
+    """Per bucket: distinct n-grams of one order, and how often training texts have them."""
     grams, begins = ngrams(texts_of(batch), order)
     role = np.repeat(batch["_role"].to_numpy(zero_copy_only=False), np.diff(begins))
-    found, which = np.unique(np.concatenate(grams), return_inverse=True)
-    roles = np.tile(role, order)
-    fit = np.bincount(which[roles == FIT], minlength=len(found))
-    held = np.bincount(which[roles == HELD], minlength=len(found))
-    one = np.zeros(len(found), dtype=bool)
-    one[which[:len(role)]] = True
+    found, which = np.unique(grams[level - 1], return_inverse=True)
+    fit = np.bincount(which[role == FIT], minlength=len(found))
+    held = np.bincount(which[role == HELD], minlength=len(found))
     cuts = bucket_cuts(found, n_buckets)
-    rows: dict[str, list] = {n: [] for n in ("bucket", "chunk", "keys", "fit", "held", "one")}
+    rows: dict[str, list] = {n: [] for n in ("bucket", "chunk", "keys", "fit", "held")}
     for bucket in np.flatnonzero(np.diff(cuts)).tolist():
         piece = slice(cuts[bucket], cuts[bucket + 1])
         rows["bucket"].append(bucket)
@@ -98,7 +96,6 @@ def _ask(chunk: int, batch: pa.RecordBatch, order: int, n_buckets: int) -> dict:
         rows["keys"].append(_pack_keys(found[piece]))
         rows["fit"].append(_pack_few(fit[piece]))
         rows["held"].append(_pack_few(held[piece]))
-        rows["one"].append(np.packbits(one[piece]).tobytes())
     return rows
 
 
@@ -137,9 +134,6 @@ def _answer(table: pa.Table) -> dict:
 
     fit = total_of("fit")
     total = fit + total_of("held")
-    one = np.zeros(len(found), dtype=bool)
-    one[which[np.concatenate([np.unpackbits(numbers(v, "u1"), count=n).astype(bool)
-                              for v, n in zip(table["one"], sizes, strict=True)])]] = True
     ends = np.cumsum(sizes)
     pieces = [which[e - n:e] for e, n in zip(ends, sizes, strict=True)]
     chunks = table["chunk"].to_pylist()
@@ -150,9 +144,9 @@ def _answer(table: pa.Table) -> dict:
         "fit": [*(small_counts(fit[p]) if c % 2 else None
                   for p, c in zip(pieces, chunks, strict=True)), None],
         "total": [*(small_counts(total[p]) for p in pieces), None],
-        "tokens": [*rest, int(total[one].sum())],
-        "distinct": [*rest, int((total[one] > 0).sum())],
-        "fit_tokens": [*rest, int(fit[one].sum())],
+        "tokens": [*rest, int(total.sum())],
+        "distinct": [*rest, int((total > 0).sum())],
+        "fit_tokens": [*rest, int(fit.sum())],
     }
 
 
@@ -162,13 +156,17 @@ def _counts(grams: list[np.ndarray], answers: pa.Table, column: str, n_buckets:
 
     The context of order 1 is empty; its count is left 0 and the caller knows the total.
     """
-    found, which = np.unique(np.concatenate(grams), return_inverse=True)
-    known = np.zeros(len(found), dtype=np.int64)
-    cuts = bucket_cuts(found, n_buckets)
-    for bucket, data in zip(answers["bucket"].to_pylist(), answers[column], strict=True):
-        piece = slice(cuts[bucket], cuts[bucket + 1])
-        known[piece] = counts_of(data, piece.stop - piece.start)
-    count = np.split(known[which], len(grams))
+    levels = answers["level"].to_numpy()
+    count = []
+    for level, own in enumerate(grams, 1):
+        found, which = np.unique(own, return_inverse=True)
+        known = np.zeros(len(found), dtype=np.int64)
+        cuts = bucket_cuts(found, n_buckets)
+        for at in np.flatnonzero(levels == level).tolist():
+            bucket = answers["bucket"][at].as_py()
+            piece = slice(cuts[bucket], cuts[bucket + 1])
+            known[piece] = counts_of(answers[column][at], piece.stop - piece.start)
+        count.append(known[which])
     context = [np.zeros(len(count[0]), dtype=np.int64)]
     for k in range(1, len(grams)):
         before = np.concatenate(([0], count[k - 1][:-1]))
@@ -267,9 +265,9 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     estimates come from the others, and the held-out tokens say how much each order deserves.
     The final estimates use all training documents.
 
-    Counts cover the whole corpus.  They travel as distinct n-grams per chunk and bucket, so a
-    very frequent word or pair is one entry per chunk; every chunk gets back the counts of its
-    own n-grams only.  A NULL or empty text is its end alone.
+    Counts cover the whole corpus.  They travel as distinct n-grams per chunk and bucket, one order
+    after the other, so a very frequent word or pair is one entry per chunk; every chunk gets back
+    the counts of its own n-grams only.  A NULL or empty text is its end alone.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"),
@@ -280,16 +278,19 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     held = held.withColumn("chunk", F.col("chunk") * 2 + 1)
     chunks = held.unionByName(rest.withColumn("chunk", F.col("chunk") * 2))
     size = chunks.agg(F.sum("n_bytes").alias("n_bytes")).first().n_bytes or 0
-    n_buckets = bucket_count(spark, 3 * size)
+    n_buckets = bucket_count(spark, size)
     n_docs = {r._role: r.n for r in rows.groupBy("_role").agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    answers = write_blobs(bucket_rows(
-        chunk_rows(chunks, lambda chunk, batch: [_ask(chunk, batch, order, n_buckets)],
-                   ASKED),
-        _answer, ANSWER), "counts")
-    release(spark)
-    sums = answers.where("chunk = -1").agg(*(F.sum(c).alias(c) for c in (
+    # one order after the other, so that the pieces of one only are on the disks at a time
+    levels = []
+    for level in range(1, order + 1):
+        asked = chunk_rows(chunks, lambda chunk, batch, k=level: [_ask(chunk, batch, k, order, n_buckets)], ASKED)
+        levels.append(write_blobs(bucket_rows(asked, _answer, ANSWER), f"counts{level}"))
+        release(spark)
+    sums = levels[0].where("chunk = -1").agg(*(F.sum(c).alias(c) for c in (
         "tokens", "distinct", "fit_tokens"))).first()
+    answers = reduce(DataFrame.unionByName, (
+        found.withColumn("level", F.lit(level)) for level, found in enumerate(levels, 1)))
     totals = Totals(sums.tokens or 0, sums.distinct or 0, sums.fit_tokens or 0,
                     n_docs.get(FIT, 0) + n_docs.get(HELD, 0), n_docs.get(FIT, 0))
 
@@ -303,7 +304,7 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
                 "kind": [kind[:, i:i + EM_TOKENS].tobytes() for i in cuts]}
 
     weights = learn_weights(write_blobs(answered_rows(
-        held, answers.where("pmod(chunk, 2) = 1 AND chunk >= 0").select("chunk", "bucket", "fit"),
+        held, answers.where("pmod(chunk, 2) = 1 AND chunk >= 0").select("chunk", "level", "bucket", "fit"),
         features, "p binary, kind binary"), "estimates"), order)
 
     def finish(chunk: int, batch: pa.RecordBatch, own: pa.Table) -> dict:
@@ -321,7 +322,7 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
         }
 
     scored = answered_rows(
-        chunks, answers.where("chunk >= 0").select("chunk", "bucket", "total"), finish,
+        chunks, answers.where("chunk >= 0").select("chunk", "level", "bucket", "total"), finish,
         StructType([StructField("_key", docs.schema[key].dataType), *RESULT.fields]))
     return scored.select(
         F.col("_key").alias(key),
