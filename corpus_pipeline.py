@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import decontaminate, language, neardup, packing, secrets
@@ -15,10 +15,18 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
+def _apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """The documents with all columns but those a stage uses under names that no operator has, and what
+    gives all columns their own names back."""
+    names = {c: c if c in used else f"_own{i}" for i, c in enumerate(docs.columns)}
+    return (docs.select(*(F.col(f"`{c}`").alias(name) for c, name in names.items())),
+            [F.col(name).alias(c) for c, name in names.items()])
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language is undetermined or far from all that were learned."""
-    judged = language.identify(docs, language.learn(docs))
-    return judged.where(~F.col("rejected")).select(*docs.columns)
+    rows, own = _apart(docs, "doc_id", "text", "lang")
+    return language.identify(rows, language.learn(rows)).where("NOT rejected").select(*own)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +36,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Groups are of rows, so texts that share an id but are no near copies all stay.  Of rows with
     the same id and a text without words one stays.
     """
-    rows = write_aside(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rows, own = _apart(docs, "doc_id", "text")
+    rows = write_aside(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
     found = neardup.near_duplicates(rows, key="_row").select("_row", "n_shingles", "component_id")
     wordless = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
     place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text").alias("hash"), "_row")
@@ -39,21 +48,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
                  F.when(wordless, F.col("place.hash")).alias("hash"))
         .agg(F.min("place").alias("least")).select(F.col("least._row").alias("_row"))
     )
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    return rows.join(kept, "_row", "left_semi").select(*own)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a window of a benchmark item."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.where("n_hit = 0").select(*docs.columns)
+    rows, own = _apart(docs, "text")
+    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"))
+    return found.where("n_hit = 0").select(*own)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets by a mark; ``n_chars`` follows the text."""
-    found = secrets.scan_secrets(docs, secrets.labelled_samples(docs))
+    rows, own = _apart(docs, "text", "n_chars")
+    found = secrets.scan_secrets(rows, secrets.labelled_samples(rows))
     clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col("spans")))
     return clean.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long"))
-                            .otherwise(F.col("n_chars"))).select(*docs.columns)
+                            .otherwise(F.col("n_chars"))).select(*own)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
