@@ -10,6 +10,8 @@ Chunks are written to the shared folder first: they keep their numbers when a ta
 or an executor is lost.
 """
 
+import contextlib
+import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
 
@@ -119,6 +121,7 @@ def chunk_rows(chunks: DataFrame, task: Callable[[int, pa.RecordBatch], Iterable
             for chunk, data in zip(batch["chunk"], batch["data"], strict=True):
                 for part in task(chunk.as_py(), unpacked(data.as_buffer())):
                     yield pa.RecordBatch.from_pydict(part, schema=columns)
+                give_back()
 
     return chunks.select("chunk", "data").mapInArrow(run, schema)
 
@@ -127,8 +130,12 @@ def bucket_rows(asked: DataFrame, task: Callable[[pa.Table], dict],
                 schema: str | StructType) -> DataFrame:
     """Rows that ``task`` makes of all rows of a bucket."""
     schema, columns = _schemas(schema)
-    return asked.groupBy("bucket").applyInArrow(
-        lambda table: pa.Table.from_pydict(task(table), schema=columns), schema)
+
+    def run(table: pa.Table) -> pa.Table:
+        give_back()
+        return pa.Table.from_pydict(task(table), schema=columns)
+
+    return asked.groupBy("bucket").applyInArrow(run, schema)
 
 
 def answered_rows(chunks: DataFrame, answers: DataFrame,
@@ -138,6 +145,7 @@ def answered_rows(chunks: DataFrame, answers: DataFrame,
     schema, columns = _schemas(schema)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         parts = [task(chunk.as_py(), unpacked(data.as_buffer()), right)
                  for chunk, data in zip(left["chunk"], left["data"], strict=True)]
         tables = [pa.Table.from_pydict(part, schema=columns) for part in parts]
@@ -150,6 +158,17 @@ def answered_rows(chunks: DataFrame, answers: DataFrame,
     )
 
 
+def give_back() -> None:
+    """Return freed memory to the system, which allocators else keep.
+
+    A worker goes on to other tasks, and those of an executor would each hold what their largest
+    chunk once took.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # glibc alone has this call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of steps whose results have been written.
 
@@ -184,6 +203,13 @@ def _schemas(schema: str | StructType) -> tuple[StructType, pa.Schema]:
     return schema, to_arrow_schema(schema)
 
 
+def others(columns: list[str], names: Iterable[str]) -> list[str]:
+    """The columns that are not named like one of ``names``, compared as Spark does, without regard to
+    case."""
+    taken = {name.lower() for name in names}
+    return [column for column in columns if column.lower() not in taken]
+
+
 def hidden(kept: list[str]) -> list[Column]:
     """A caller's columns under names that no operator uses."""
     return [F.col(f"`{name}`").alias(f"_k{i}") for i, name in enumerate(kept)]

@@ -40,9 +40,11 @@ class Totals:
     fit_docs: int
 
 
-def ngrams(texts: list[bytes | None], order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each order from 1, the hash of the n-gram that ends with each token; and where each
-    text's tokens begin.  A text's tokens are its words and one end; starts come before it."""
+def ngrams(texts: list[bytes | None], order: int, levels: Iterable[int] | None = None
+           ) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each order from 1 (or for each of ``levels``), the hash of the n-gram that ends with each
+    token; and where each text's tokens begin.  A text's tokens are its words and one end; starts
+    come before it."""
     words = words_of(texts, lower=True)
     n_texts, pad = len(texts), order - 1
     first = words.first[:-1] + np.arange(n_texts)
@@ -54,7 +56,7 @@ def ngrams(texts: list[bytes | None], order: int) -> tuple[list[np.ndarray], np.
     padded[ends] = END
     token = np.sort(np.concatenate((place, ends)))
     begins = np.concatenate((first, [len(token)]))
-    return [window_hashes(padded, k)[token - k + 1] for k in range(1, order + 1)], begins
+    return [window_hashes(padded, k)[token - k + 1] for k in levels or range(1, order + 1)], begins
 
 
 def _role(column: Column) -> Column:
@@ -82,9 +84,9 @@ ASKED = "bucket long, chunk long, keys binary, fit binary, held binary"
 
 def _ask(chunk: int, batch: pa.RecordBatch, level: int, order: int, n_buckets: int) -> dict:
     """Per bucket: distinct n-grams of one order, and how often training texts have them."""
-    grams, begins = ngrams(texts_of(batch), order)
+    (grams,), begins = ngrams(texts_of(batch), order, [level])
     role = np.repeat(batch["_role"].to_numpy(zero_copy_only=False), np.diff(begins))
-    found, which = np.unique(grams[level - 1], return_inverse=True)
+    found, which = np.unique(grams, return_inverse=True)
     fit = np.bincount(which[role == FIT], minlength=len(found))
     held = np.bincount(which[role == HELD], minlength=len(found))
     cuts = bucket_cuts(found, n_buckets)
