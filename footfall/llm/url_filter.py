@@ -6,15 +6,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.exchange import hidden, shown
+from footfall.llm.exchange import hidden, others, shown
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
-#: One block is one 64-bit word, so a probe reads one row; 2**16 blocks bound the filter to
-#: 65 536 rows of two numbers, about 1 MB, whatever the length of the list.
-BLOCKS = 1 << 16
-BITS_PER_KEY = 4
+#: One block is one 64-bit word, so a probe reads one row.  With so many keys a block and bits a key,
+#: some 40 per cent of the bits are set and 2 to 3 per cent of other URLs pass as possible hits.
+KEYS_PER_BLOCK, BITS_PER_KEY = 8, 4
+LEAST_BLOCKS = 1 << 10
+#: A filter of up to so many rows of two numbers (some 16 MB, for 8 million URLs) is broadcast; a larger
+#: one is joined by block.
+BROADCAST_BLOCKS = 1 << 20
 
 Rule = tuple[str, str, str]
 
@@ -68,11 +71,16 @@ def _bits(key: Column) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
-def blocked_bloom(keys: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
+def blocks_for(n_keys: int) -> int:
+    """A power of two of blocks that hold about ``KEYS_PER_BLOCK`` keys each."""
+    return max(LEAST_BLOCKS, 1 << (max(1, -(-n_keys // KEYS_PER_BLOCK)) - 1).bit_length())
+
+
+def blocked_bloom(keys: DataFrame, key: str, blocks: int) -> DataFrame:
     """A blocked Bloom filter of a column: columns ``block`` and ``word``, at most ``blocks`` rows.
 
     ``bit_or`` is associative, so each task merges its keys before the shuffle and sends no more
-    than ``blocks`` rows.  A longer list makes the filter denser, never larger.
+    than ``blocks`` rows.
     """
     return (
         keys.where(F.col(key).isNotNull())
@@ -82,23 +90,25 @@ def blocked_bloom(keys: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
 
 
 def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule],
-                 url: str = "url", listed_url: str = "url", blocks: int = BLOCKS) -> DataFrame:
+                 url: str = "url", listed_url: str = "url", blocks: int | None = None,
+                 broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
     """Judge every row of ``pages``; its columns stay, and five follow.
 
     ``host`` and ``path`` are the parts of the URL, ``rule`` the longest fitting rule (else NULL),
     ``listed`` whether the canonical URL is one of ``listed``, and ``verdict`` the rule's, else
     ``block`` for a listed URL and ``allow`` for any other.
 
-    The filter of the listed canonical URLs is broadcast (its size is bounded by ``blocks``).
-    Rows that it lets through are possible hits; only their distinct URLs meet the list in an
+    The filter of the listed canonical URLs has as many ``blocks`` as their number asks for, and is
+    broadcast up to ``broadcast_blocks`` of them; beyond, rows meet it in a shuffled join by block,
+    rows without a host dealt evenly.  Rows that it lets through are possible hits; only their distinct URLs meet the list in an
     exact hash join, which removes false positives, and the confirmed ones come back to those
-    rows.  A URL that a third of all rows share is one row of that join.  All other rows are
-    never shuffled.
+    rows.  A URL that a third of all rows share is one row of that join.  With a broadcast filter all
+    other rows are never shuffled.
 
     A NULL URL, or one without ``://``, has empty parts, fits no rule and is never listed.
     Repeated rows are judged alike; columns of ``pages`` named like a result column are replaced.
     """
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "listed", "verdict")]
+    kept = others(pages.columns, ("host", "path", "rule", "listed", "verdict"))
     parts = (
         pages.select(*hidden(kept), url_host(F.col(url)).alias("host"),
                      url_path(F.col(url)).alias("path"))
@@ -109,14 +119,18 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule],
         listed.select(url_host(F.col(listed_url)).alias("h"), url_path(F.col(listed_url)).alias("p"))
         .where(F.col("h") != "").select(canonical_url(F.col("h"), F.col("p")).alias("_listed"))
     )
-    bloom = blocked_bloom(keys, "_listed", blocks).select(
-        F.col("block").alias("_block"), F.col("word").alias("_word"))
+    if blocks is None:
+        blocks = blocks_for(keys.distinct().count())
+    bloom = blocked_bloom(keys, "_listed", blocks).select("block", F.col("word").alias("_word"))
+    none = F.lit(-1) - F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)).cast("int")
+    parts = parts.withColumn("_block", F.coalesce(_block(F.col("_key"), blocks), none))
+    small = blocks <= broadcast_blocks
     probed = (
-        parts.join(F.broadcast(bloom), _block(F.col("_key"), blocks) == F.col("_block"), "left")
+        parts.join(F.broadcast(bloom) if small else bloom.hint("merge"), F.col("_block") == F.col("block"), "left")
         .withColumn("_possible", F.coalesce(
             F.col("_word").bitwiseAND(_bits(F.col("_key"))) == _bits(F.col("_key")), F.lit(False)))
         .withColumn("_probe", F.when(F.col("_possible"), F.col("_key")))
-        .drop("_block", "_word", "_key")
+        .drop("_block", "block", "_word", "_key")
     )
     maybe = probed.where(F.col("_probe").isNotNull())
     confirmed = (

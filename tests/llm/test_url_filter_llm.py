@@ -1,5 +1,5 @@
 from footfall.llm.queries import RULES
-from footfall.llm.url_filter import blocked_bloom, url_verdicts
+from footfall.llm.url_filter import LEAST_BLOCKS, blocked_bloom, blocks_for, url_verdicts
 
 LISTED = [("http://bad.org/a/",), ("https://www.worse.net/x?y=1",), (None,), ("nothing",)]
 
@@ -44,3 +44,32 @@ def test_repeated_rows_clashing_names_and_empty_tables(spark):
         (1, "http://bad.org/a", 5, "k", "bad.org", "/a", None, True, "block")] * 3
     assert url_verdicts(pages.limit(0), listed, RULES).count() == 0
     assert {r.verdict for r in url_verdicts(pages, listed.limit(0), []).collect()} == {"allow"}
+
+
+def test_the_filter_grows_with_the_list_and_is_joined_beyond_its_bound(spark):
+    assert [blocks_for(n) for n in (0, 1, 8 * LEAST_BLOCKS, 8 * LEAST_BLOCKS + 1, 9_000_000)] == [
+        LEAST_BLOCKS, LEAST_BLOCKS, LEAST_BLOCKS, 2 * LEAST_BLOCKS, 1 << 21]
+    keys = spark.range(80_000).selectExpr("concat('http://h', id, '.org/', id) AS url")
+    blocks = blocks_for(80_000)
+    assert blocked_bloom(keys, "url", blocks).selectExpr("avg(bit_count(word)) AS bits").first().bits < 0.6 * 64
+    listed = [(f"http://h{i}.org/{i}",) for i in range(3000)]
+    urls = [f"http://h{i}.org/{i}" for i in range(0, 6000, 7)] + [None, "no scheme"] * 50 + ["http://h7.org/7"] * 200
+    rows = [judge(spark, urls, listed, broadcast_blocks=bound) for bound in (1 << 20, 0)]
+    assert rows[0] == rows[1] and sum(r.listed for r in rows[0].values()) == 429 + 200
+
+
+def test_ties_of_rules_and_very_long_urls(spark):
+    from pyspark.sql import functions as F
+
+    from footfall.llm.url_filter import first_rule
+
+    rules = [("allow", "a.com", "/bb"), ("block", "x.a.com", "/"), ("block", "a.com", "/bb"), ("allow", "a.com", "/")]
+    urls = spark.createDataFrame([("x.a.com", "/bbb"), ("a.com", "/bb" + "b" * 200_000), ("a.com", "/c"), ("b.com", "/")],
+                                 "h string, p string")
+    got = [r.rule and (r.rule.rule, r.rule.verdict) for r in urls.select(
+        first_rule(F.col("h"), F.col("p"), rules).alias("rule")).collect()]
+    # of equal length the longer host wins, then block
+    assert got == [("x.a.com/", "block"), ("a.com/bb", "block"), ("a.com/", "allow"), None]
+    long = "http://" + "h" * 100_000 + ".net/fr/" + "p" * 300_000
+    row = judge(spark, [long, long + "?q"], [(long,)])[1]
+    assert (len(row.host), len(row.path), row.rule, row.verdict, row.listed) == (100_004, 300_004, "net/fr/", "block", True)
