@@ -1,11 +1,12 @@
 """Secret scans: three fixed patterns, and random-looking strings by character Markov models."""
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.exchange import hidden, shown
+from footfall.llm.exchange import hidden, others, shown
 
 #: The three base kinds in their listed order; a failing match of ``assign`` still uses up its
 #: text, while shorter runs of the other two kinds can hold no match, so their bound is in the
@@ -27,10 +28,51 @@ SMOOTHING = 0.5
 THRESHOLD = 0.5
 
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
+RUNS = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
+#: Entries of an array, and characters of a text, that are walked one by one; longer ones in two levels.
+STRIDE, PIECE = 64, 1 << 16
+FAR = 1 << 62
 
 
-def _spans(text: Column, pattern: str, kind: int, value_group: int = 1, least: int = 0) -> Column:
-    """Spans of all matches, leftmost first; those whose value group is too short are left out.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column, zero: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """At each entry, ``merge`` (associative) of ``zero`` and all entries before it.
+
+    Some entries at a time are folded anew for each of them, and their totals once more, so the work
+    grows hardly faster than the array; appending to an array in a fold copies it each time.
+    """
+    def before(entries: Column) -> Column:
+        return F.transform(entries, lambda _, j: F.aggregate(F.slice(entries, 1, j), zero, merge))
+
+    def joined(strides: Column) -> Column:
+        totals = F.transform(strides, lambda stride: F.aggregate(stride, zero, merge))
+        return F.flatten(F.zip_with(strides, _let(totals, before), lambda stride, earlier: F.transform(
+            before(stride), lambda own: merge(earlier, own))))
+
+    strides = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / STRIDE).cast("int")),
+                          lambda i: F.slice(values, i * STRIDE + 1, STRIDE))
+    return F.when(F.size(values) > STRIDE, _let(strides, joined)).otherwise(before(values))
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _smaller(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
+def _matches(text: Column, pattern: str, kind: int, value_group: int = 1, least: int = 0) -> Column:
+    """All matches with what their value group holds, leftmost first; those whose value is too short are
+    left out.
 
     ``split`` gives what lies between the matches, so running lengths give positions.
     """
@@ -38,39 +80,58 @@ def _spans(text: Column, pattern: str, kind: int, value_group: int = 1, least: i
     parts = F.zip_with(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(1)),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)),
-        lambda whole, value: F.struct(F.length(whole).cast("long").alias("size"),
-                                      F.length(value).alias("value")),
+        lambda whole, value: F.struct(F.length(whole).cast("long").alias("size"), value.alias("value")),
     )
-    steps = F.zip_with(F.slice(between, 1, F.size(parts)), parts, lambda gap, part: F.struct(
-        gap.alias("gap"), part["size"].alias("size"), part["value"].alias("value")))
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans"))
-    walked = F.aggregate(steps, empty, lambda acc, step: F.struct(
-        (acc["at"] + step["gap"] + step["size"]).alias("at"),
-        F.when(step["value"] >= least, F.array_append(acc["spans"], F.struct(
-            (acc["at"] + step["gap"]).alias("start"), F.lit(kind).alias("kind"),
-            (acc["at"] + step["gap"] + step["size"]).alias("end"),
-        ))).otherwise(acc["spans"]).alias("spans"),
-    ))
-    return F.when(text.rlike(pattern), walked["spans"]).otherwise(F.array().cast(SPAN))
+    steps = _let(parts, lambda parts: F.zip_with(F.slice(between, 1, F.size(parts)), parts, lambda gap, part: F.struct(
+        gap.alias("gap"), part["size"].alias("size"), part["value"].alias("value"))))
+
+    def placed(steps: Column) -> Column:
+        sizes = F.transform(steps, lambda step: step["gap"] + step["size"])
+        starts = _let(sizes, lambda sizes: _running(sizes, F.lit(0).cast("long"), _plus))
+        return F.filter(F.zip_with(starts, steps, lambda at, step: F.struct(
+            (at + step["gap"]).alias("start"), F.lit(kind).alias("kind"),
+            (at + step["gap"] + step["size"]).alias("end"), step["value"].alias("value"),
+        )), lambda span: F.length(span["value"]) >= least)
+
+    return F.when(text.rlike(pattern), _let(steps, placed)).otherwise(F.array().cast(RUNS))
+
+
+def _without_values(spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"]))
 
 
 def base_spans(text: Column) -> Column:
     """Spans of the three fixed patterns by start, then kind; positions are code points."""
-    return F.array_sort(F.concat(
-        _spans(text, ASSIGN, 0, value_group=3, least=ASSIGN_VALUE),
-        _spans(text, ACCESS, 1),
-        _spans(text, HEX, 2),
-    ))
+    return F.array_sort(_without_values(F.concat(
+        _matches(text, ASSIGN, 0, value_group=3, least=ASSIGN_VALUE),
+        _matches(text, ACCESS, 1),
+        _matches(text, HEX, 2),
+    )))
 
 
 def free_runs(text: Column, base: Column) -> Column:
-    """Runs that touch no base span."""
-    return F.filter(_spans(text, RUN, 3), lambda run: ~F.exists(
-        base, lambda span: (span["start"] < run["end"]) & (run["start"] < span["end"])))
+    """Runs that touch no base span, with their text as ``value``.
+
+    Both in one order: the farthest end of the base spans before a run and the next start after it
+    decide.
+    """
+    runs = _matches(text, RUN, 3)
 
+    def untouched(events: Column) -> Column:
+        ends = F.transform(events, lambda e: F.when(e["kind"] == 3, F.lit(-1).cast("long")).otherwise(e["end"]))
+        starts = F.transform(F.reverse(events), lambda e: F.when(
+            e["kind"] == 3, F.lit(FAR).cast("long")).otherwise(e["start"]))
+        farthest = _let(ends, lambda x: _running(x, F.lit(-1).cast("long"), _larger))
+        following = F.reverse(_let(starts, lambda x: _running(x, F.lit(FAR).cast("long"), _smaller)))
+        judged = F.zip_with(F.arrays_zip(events.alias("e"), farthest.alias("f")), following, lambda x, n: F.struct(
+            x["e"].alias("run"), ((x["e"]["kind"] == 3) & (x["f"] <= x["e"]["start"])
+                                  & (n >= x["e"]["end"])).alias("free")))
+        return F.transform(F.filter(judged, lambda x: x["free"]), lambda x: x["run"])
 
-def _slice_of(text: Column, span: Column) -> Column:
-    return text.substr((span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int"))
+    valued = F.transform(base, lambda s: F.struct(
+        s["start"], s["kind"], s["end"], F.lit("").alias("value")))
+    return F.when(F.size(base) == 0, runs).otherwise(
+        _let(F.array_sort(F.concat(valued, runs)), untouched))
 
 
 def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -92,7 +153,7 @@ def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
             v.alias("value"), F.lit(True).alias("is_random"))))
         .otherwise(F.array().cast("array<struct<value:string,is_random:boolean>>")),
         F.transform(free_runs(F.col("t"), F.col("base")), lambda run: F.struct(
-            _slice_of(F.col("t"), run).alias("value"), F.lit(False).alias("is_random"))),
+            run["value"].alias("value"), F.lit(False).alias("is_random"))),
     )).alias("sample")).select("sample.*")
 
 
@@ -163,10 +224,10 @@ def scan_secrets(docs: DataFrame, samples: DataFrame, text: str = "text",
     ratios = likelihood_ratios(transition_counts(samples))
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
     source = F.coalesce(F.col(text), F.lit(""))
-    kept = [c for c in docs.columns if c != "spans"]
+    kept = others(docs.columns, ["spans"])
     found = docs.select(*hidden(kept), source.alias("_text"), base_spans(source).alias("_base"))
-    random = F.filter(free_runs(F.col("_text"), F.col("_base")), lambda run: _ratio(
-        _slice_of(F.col("_text"), run), table) >= threshold)
+    random = _without_values(F.filter(
+        free_runs(F.col("_text"), F.col("_base")), lambda run: _ratio(run["value"], table) >= threshold))
     return found.select(*shown(kept), F.array_sort(F.concat(F.col("_base"), random)).alias("spans"))
 
 
@@ -180,12 +241,25 @@ def spans_text(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with each span, or overlapping spans together, replaced by ``mark``."""
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-    walked = F.aggregate(spans, empty, lambda acc, s: F.struct(
-        F.greatest(acc["at"], s["end"]).alias("at"),
-        F.when((s["start"] < acc["at"]), acc["out"]).otherwise(F.concat(acc["out"], F.array(
-            text.substr((acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
-            F.lit(mark)))).alias("out"),
-    ), lambda acc: F.concat(F.array_join(acc["out"], ""), text.substr(
-        (acc["at"] + 1).cast("int"), F.length(text))))
-    return F.when(F.size(spans) > 0, walked).otherwise(text)
+    zero = F.lit(0).cast("long")
+    n_pieces = F.greatest(F.ceil(F.length(text) / PIECE), F.lit(1)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), n_pieces - 1),
+                         lambda i: text.substr(i * PIECE + 1, F.lit(PIECE)))
+
+    def part(pieces: Column, start: Column, end: Column) -> Column:
+        """Characters of the text from its pieces, so that none is sought from the text's beginning."""
+        first, last = (F.floor(at / PIECE).cast("int") for at in (start, end - 1))
+        return F.when(end > start, F.array_join(F.transform(F.sequence(first, last), lambda i: F.get(pieces, i).substr(
+            (F.greatest(start - i * PIECE, zero) + 1).cast("int"),
+            (F.least(end - i * PIECE, F.lit(PIECE)) - F.greatest(start - i * PIECE, zero)).cast("int"))), "")).otherwise("")
+
+    def walked(pieces: Column) -> Column:
+        ends = F.transform(spans, lambda s: s["end"])
+        done = _let(ends, lambda x: _running(x, zero, _larger))
+        groups = F.filter(F.zip_with(spans, done, lambda s, at: F.struct(s["start"].alias("start"), at.alias("at"))),
+                          lambda g: g["start"] >= g["at"])
+        shown_parts = F.transform(groups, lambda g: F.concat(part(pieces, g["at"], g["start"]), F.lit(mark)))
+        return F.concat(F.array_join(shown_parts, ""),
+                        part(pieces, F.array_max(ends), F.length(text).cast("long")))
+
+    return F.when(F.size(spans) > 0, _let(pieces, walked)).otherwise(text)

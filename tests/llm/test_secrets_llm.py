@@ -1,10 +1,11 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from footfall.llm.secrets import (
-    KINDS, labelled_samples, redacted, scan_secrets, spans_text,
+    KINDS, labelled_samples, likelihood_ratios, redacted, scan_secrets, spans_text, transition_counts,
 )
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
@@ -77,3 +78,51 @@ def test_empty_table_repeated_rows_and_clashing_names(spark):
     assert [len(r.spans) for r in out.collect()] == [1, 1]
     none = docs.limit(0)
     assert scan_secrets(none, labelled_samples(none)).count() == 0
+
+
+def free(text):
+    """Runs of 16 or more that touch no base span."""
+    spans = brute(text)
+    return [(m.start(), m.end(), m[0]) for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text or "")
+            if all(m.end() <= a or b <= m.start() for a, _, b in spans)]
+
+
+def test_markov_spans_equal_a_plain_loop(spark):
+    random.seed(9)
+    known, words = samples(spark)
+    ratios = likelihood_ratios(transition_counts(known))
+    hexes = "0123456789abcdef"
+    parts = [*words[:20], *("".join(random.choices(hexes, k=n)) for n in (15, 16, 20, 23, 24, 40)), "AKIA" + "Q" * 20,
+             "token=", "password: ", " ", " ", ".", "é", "\n"]
+    made = ["".join(random.choices(parts, k=random.choice([3, 30, 300]))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    got = {r.doc_id: r for r in scan_secrets(docs, known).withColumn("clean", redacted(F.col("text"), F.col("spans"))).collect()}
+    n_random = 0
+    for i, text in enumerate(made):
+        want = brute(text)
+        for a, b, run in free(text):
+            steps = [ratios[ord(x) * 128 + ord(y)] for x, y in zip(run, run[1:])]
+            if sum(steps) / len(steps) >= 0.5:
+                want.append((a, 3, b))
+                n_random += 1
+        assert [(s.start, s.kind, s.end) for s in got[i].spans] == sorted(want)
+        clean, at = "", 0
+        for a, _, b in sorted(want):
+            if a >= at:
+                clean += text[at:a] + "[secret]"
+            at = max(at, b)
+        assert got[i].clean == clean + text[at:]
+    assert n_random > 8
+
+
+def test_a_long_text_with_very_many_hits(spark):
+    text = " ".join(f"é token={i:08d} plainidentifier{i % 10}words" for i in range(80_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    known, _ = samples(spark)
+    started = time.time()
+    row = scan_secrets(docs, known).withColumn("clean", redacted(F.col("text"), F.col("spans"))).first()
+    seconds = time.time() - started
+    assert [(s.start, s.kind, s.end) for s in row.spans] == brute(text) and len(row.spans) == 80_000
+    assert row.clean == re.sub(r"token=\d+", "[secret]", text)
+    assert labelled_samples(docs).where("is_random").count() == 80_000
+    assert seconds < 60
