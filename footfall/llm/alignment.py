@@ -23,7 +23,8 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from footfall.llm.exchange import (
-    answered_rows, hidden, numbers, packed, release, shown, slices, texts_of, write_blobs,
+    answered_rows, hidden, numbers, others, packed, release, shown, slices, texts_of,
+    write_blobs,
 )
 from footfall.llm.lookup import HashIndex, begins, ranges
 from footfall.llm.words import _word_hashes
@@ -396,7 +397,7 @@ def align_documents(docs: DataFrame, file_a: str, file_b: str, text: str = "text
     """
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c != text] if keep is None else keep
-    kept = [c for c in kept if c.lower() not in RESULT.names]
+    kept = others(kept, RESULT.names)
     chunks = write_blobs(
         _aligned_chunks(docs.select(*hidden(kept), F.col(f"`{text}`").alias("_text")), file_a, file_b),
         "alignment", compression="uncompressed")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from footfall.llm.exchange import hidden, shown, slices, texts_of
+from footfall.llm.exchange import hidden, others, shown, slices, texts_of
 from footfall.llm.lookup import HashIndex, begins, ranges
 from footfall.llm.words import words_of
 
@@ -455,9 +455,9 @@ def decode_documents(encoded: DataFrame, tokenizer_file: str, ids: str = "ids",
 
 
 def _kept(df: DataFrame, used: str | None, keep: list[str] | None, names: list[str]) -> list[str]:
-    """The columns to hand on; names are compared as Spark does, without regard to case."""
+    """The columns to hand on."""
     kept = [c for c in df.columns if c != used] if keep is None else keep
-    return [c for c in kept if c.lower() not in names]
+    return others(kept, names)
 
 
 def _with(part: pa.RecordBatch, names: list[str], columns: list[pa.Array]) -> pa.RecordBatch:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from footfall.llm.exchange import hidden, shown, slices, texts_of
+from footfall.llm.exchange import hidden, others, shown, slices, texts_of
 from footfall.llm.words import PLAIN, Words, mix, words_of
 from footfall.scratch import write_aside
 
@@ -210,7 +210,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     hits nothing.
     """
     names = [n.split()[0] for n in RESULT.split(",")]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    kept = others(docs.columns if keep is None else keep, names)
     rows = docs.select(*hidden(kept), F.col(text).alias("_text"))
     windows = write_aside(item_windows(benchmark, item, item_text, window), "windows")
     n_bytes = windows.agg(F.sum(F.length("window") + F.length("item") + 64)).first()[0] or 0

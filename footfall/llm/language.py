@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from footfall.llm.exchange import hidden, shown, slices
+from footfall.llm.exchange import hidden, others, shown, slices
 
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
@@ -294,7 +294,7 @@ def identify(docs: DataFrame, model: Centroids, text: str = "text",
     Rows are judged where they lie, without a shuffle; columns named like a result column are
     replaced.
     """
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in RESULT.names]
+    kept = others(docs.columns if keep is None else keep, RESULT.names)
     rows = docs.select(*hidden(kept), F.col(text).alias("_text"))
     fields = rows.drop("_text").schema
     shared = docs.sparkSession.sparkContext.broadcast(

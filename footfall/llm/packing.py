@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from footfall.llm.exchange import hidden, shown, slices, texts_of
+from footfall.llm.exchange import hidden, others, shown, slices, texts_of
 from footfall.llm.words import Words, words_of
 
 CAPACITY = 2048
@@ -268,7 +268,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, text: str = "text",
     """
     names = [f.name for f in PIECE.fields]
     kept = [c for c in docs.columns if c != text] if keep is None else keep
-    kept = [c for c in kept if c not in names]
+    kept = others(kept, names)
     rows = docs.select(*hidden(kept), F.col(text).alias("_text"))
     fields = rows.drop("_text").schema
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from footfall.llm.exchange import release, slices, texts_of
+from footfall.llm.exchange import hidden, others, release, shown, slices, texts_of
 from footfall.llm.words import words_of
 from footfall.scratch import write_aside
 
@@ -497,8 +497,8 @@ def score_quality(docs: DataFrame, model: Views, metadata: list[str], text: str
     text has no words, a NULL metadata column is a value of its own; columns named like a result
     column are replaced.
     """
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in RESULT.names]
-    fields = docs.select(*kept).schema
+    kept = others(docs.columns if keep is None else keep, RESULT.names)
+    fields = docs.select(*hidden(kept)).schema
     shared = docs.sparkSession.sparkContext.broadcast(
         (model.text, model.meta, model.text_scale, model.meta_scale, model.both))
 
@@ -514,10 +514,10 @@ def score_quality(docs: DataFrame, model: Views, metadata: list[str], text: str
                 scores = [chance(a * both[0] + b * both[1] + both[2]),
                           chance(a * text_s[0] + text_s[1]), chance(b * meta_s[0] + meta_s[1])]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part[f"_k{i}"] for i in range(len(kept))), *map(pa.array, scores)],
-                    [*kept, *RESULT.names])
+                    [*(part[name] for name in fields.names), *map(pa.array, scores)],
+                    [*fields.names, *RESULT.names])
 
-    rows = docs.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(kept)),
-                       *(F.col(c).alias(f"_m{i}") for i, c in enumerate(metadata)),
+    rows = docs.select(*hidden(kept), *(F.col(c).alias(f"_m{i}") for i, c in enumerate(metadata)),
                        F.col(text).alias("_text"))
-    return rows.mapInArrow(run, StructType(list(fields.fields) + list(RESULT.fields)))
+    found = rows.mapInArrow(run, StructType(list(fields.fields) + list(RESULT.fields)))
+    return found.select(*shown(kept), *RESULT.names)

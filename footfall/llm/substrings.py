@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from footfall.llm.exchange import (
-    answered_rows, bucket_count, bucket_cuts, bucket_of, bucket_rows, chunk_rows, hidden, numbers,
-    release, shown, texts_of, write_chunks,
+    answered_rows, bucket_count, bucket_cuts, bucket_of, bucket_rows, chunk_rows, hidden,
+    numbers, others, release, shown, texts_of, write_chunks,
 )
 from footfall.llm.words import Words, distinct, window_hashes, words_of
 from footfall.scratch import write_aside
@@ -206,7 +206,7 @@ def drop_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW,
     """
     spark, block = docs.sparkSession, block_size(window)
     kept = [c for c in docs.columns if c != text] if keep is None else keep
-    kept = [c for c in kept if c not in RESULT.names]
+    kept = others(kept, RESULT.names)
     rows = docs.select(*hidden(kept), F.col(text).alias("text"))
     fields = rows.drop("text").schema
     chunks = write_chunks(rows, "chunks")
