@@ -6,13 +6,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from footfall.llm.exchange import (
-    answered_rows, bucket_count, bucket_cuts, bucket_rows, chunk_rows, counts_of, numbers, release,
-    small_counts, texts_of, write_blobs, write_chunks,
+    CHUNK_BYTES, CHUNK_SCHEMA, answered_rows, bucket_count, bucket_cuts, bucket_rows, chunk_rows, counts_of,
+    numbers, packed, release, slices, small_counts, texts_of, write_blobs,
 )
 from footfall.llm.words import window_hashes, words_of
 
@@ -82,23 +83,25 @@ def _unpack_keys(value: pa.Scalar) -> np.ndarray:
 ASKED = "bucket long, chunk long, keys binary, fit binary, held binary"
 
 
-def _ask(chunk: int, batch: pa.RecordBatch, level: int, order: int, n_buckets: int) -> dict:
-    """Per bucket: distinct n-grams of one order, and how often training texts have them."""
-    (grams,), begins = ngrams(texts_of(batch), order, [level])
+def _ask(chunk: int, batch: pa.RecordBatch, levels: list[int], order: int, n_buckets: int) -> Iterator[dict]:
+    """Per bucket: distinct n-grams of some orders, each with buckets of its own, and how often training
+    texts have them."""
+    grams, begins = ngrams(texts_of(batch), order, levels)
     role = np.repeat(batch["_role"].to_numpy(zero_copy_only=False), np.diff(begins))
-    found, which = np.unique(grams, return_inverse=True)
-    fit = np.bincount(which[role == FIT], minlength=len(found))
-    held = np.bincount(which[role == HELD], minlength=len(found))
-    cuts = bucket_cuts(found, n_buckets)
-    rows: dict[str, list] = {n: [] for n in ("bucket", "chunk", "keys", "fit", "held")}
-    for bucket in np.flatnonzero(np.diff(cuts)).tolist():
-        piece = slice(cuts[bucket], cuts[bucket + 1])
-        rows["bucket"].append(bucket)
-        rows["chunk"].append(chunk)
-        rows["keys"].append(_pack_keys(found[piece]))
-        rows["fit"].append(_pack_few(fit[piece]))
-        rows["held"].append(_pack_few(held[piece]))
-    return rows
+    for level, own in zip(levels, grams, strict=True):
+        found, which = np.unique(own, return_inverse=True)
+        fit = np.bincount(which[role == FIT], minlength=len(found))
+        held = np.bincount(which[role == HELD], minlength=len(found))
+        cuts = bucket_cuts(found, n_buckets)
+        rows: dict[str, list] = {n: [] for n in ("bucket", "chunk", "keys", "fit", "held")}
+        for bucket in np.flatnonzero(np.diff(cuts)).tolist():
+            piece = slice(cuts[bucket], cuts[bucket + 1])
+            rows["bucket"].append(level * n_buckets + bucket)
+            rows["chunk"].append(chunk)
+            rows["keys"].append(_pack_keys(found[piece]))
+            rows["fit"].append(_pack_few(fit[piece]))
+            rows["held"].append(_pack_few(held[piece]))
+        yield rows
 
 
 def _pack_few(counts: np.ndarray) -> bytes:
@@ -158,14 +161,14 @@ def _counts(grams: list[np.ndarray], answers: pa.Table, column: str, n_buckets:
 
     The context of order 1 is empty; its count is left 0 and the caller knows the total.
     """
-    levels = answers["level"].to_numpy()
+    levels, buckets = np.divmod(answers["bucket"].to_numpy(), n_buckets)
     count = []
     for level, own in enumerate(grams, 1):
         found, which = np.unique(own, return_inverse=True)
         known = np.zeros(len(found), dtype=np.int64)
         cuts = bucket_cuts(found, n_buckets)
         for at in np.flatnonzero(levels == level).tolist():
-            bucket = answers["bucket"][at].as_py()
+            bucket = buckets[at]
             piece = slice(cuts[bucket], cuts[bucket + 1])
             known[piece] = counts_of(answers[column][at], piece.stop - piece.start)
         count.append(known[which])
@@ -244,6 +247,40 @@ def learn_weights(held: DataFrame, order: int, rounds: int = ROUNDS) -> np.ndarr
     return weights
 
 
+def _role_chunks(rows: DataFrame) -> DataFrame:
+    """Write rows as numbered chunks, held-out ones (odd numbers) apart from others."""
+
+    def row(parts: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
+        part = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        return pa.RecordBatch.from_pydict({
+            "chunk": [number], "n_rows": [part.num_rows],
+            "n_bytes": [sum(len(t or b"") for t in texts_of(part))],
+            "data": pa.array([packed(part)], pa.binary())})
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 40
+        waiting, size = [], 0
+        for batch in batches:
+            for part in slices(batch):
+                is_held = pc.equal(part["_role"], HELD)
+                held, rest = part.filter(is_held), part.filter(pc.invert(is_held))
+                if rest.num_rows:
+                    yield row([rest], 2 * number)
+                    number += 1
+                if held.num_rows:
+                    waiting.append(held)
+                    size += held.nbytes
+                if size >= CHUNK_BYTES:
+                    yield row(waiting, 2 * number + 1)
+                    number, waiting, size = number + 1, [], 0
+        if waiting:
+            yield row(waiting, 2 * number + 1)
+
+    return write_blobs(rows.mapInArrow(pack, CHUNK_SCHEMA), "chunks", compression="uncompressed")
+
+
 RESULT = StructType([
     StructField("n_tokens", LongType()), StructField("n_known", LongType()),
     StructField("train_tokens", LongType()), StructField("base_score", DoubleType()),
@@ -267,32 +304,28 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     estimates come from the others, and the held-out tokens say how much each order deserves.
     The final estimates use all training documents.
 
-    Counts cover the whole corpus.  They travel as distinct n-grams per chunk and bucket, one order
-    after the other, so a very frequent word or pair is one entry per chunk; every chunk gets back
+    Counts cover the whole corpus.  They travel as distinct n-grams per chunk and bucket, those of the
+    highest order after the others, so a very frequent word or pair is one entry per chunk; every chunk gets back
     the counts of its own n-grams only.  A NULL or empty text is its end alone.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"),
                        _role(F.col(key)).alias("_role"))
-    held = write_chunks(rows.where(F.col("_role") == HELD), "held")
-    rest = write_chunks(rows.where(F.col("_role") != HELD), "rest")
-    # numbers of both tables begin at 0: the held-out chunks take the odd ones
-    held = held.withColumn("chunk", F.col("chunk") * 2 + 1)
-    chunks = held.unionByName(rest.withColumn("chunk", F.col("chunk") * 2))
+    chunks = _role_chunks(rows)
+    held = chunks.where("pmod(chunk, 2) = 1")
     size = chunks.agg(F.sum("n_bytes").alias("n_bytes")).first().n_bytes or 0
     n_buckets = bucket_count(spark, size)
     n_docs = {r._role: r.n for r in rows.groupBy("_role").agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    # one order after the other, so that the pieces of one only are on the disks at a time
-    levels = []
-    for level in range(1, order + 1):
-        asked = chunk_rows(chunks, lambda chunk, batch, k=level: [_ask(chunk, batch, k, order, n_buckets)], ASKED)
-        levels.append(write_blobs(bucket_rows(asked, _answer, ANSWER), f"counts{level}"))
+    # the longest n-grams, which are most, by themselves: pieces of both are not on the disks at once
+    found = []
+    for levels in filter(None, ([*range(1, order)], [order])):
+        asked = chunk_rows(chunks, lambda chunk, batch, own=levels: _ask(chunk, batch, own, order, n_buckets), ASKED)
+        found.append(write_blobs(bucket_rows(asked, _answer, ANSWER), "counts"))
         release(spark)
-    sums = levels[0].where("chunk = -1").agg(*(F.sum(c).alias(c) for c in (
+    answers = reduce(DataFrame.unionByName, found)
+    sums = found[0].where(f"chunk = -1 AND bucket < {2 * n_buckets}").agg(*(F.sum(c).alias(c) for c in (
         "tokens", "distinct", "fit_tokens"))).first()
-    answers = reduce(DataFrame.unionByName, (
-        found.withColumn("level", F.lit(level)) for level, found in enumerate(levels, 1)))
     totals = Totals(sums.tokens or 0, sums.distinct or 0, sums.fit_tokens or 0,
                     n_docs.get(FIT, 0) + n_docs.get(HELD, 0), n_docs.get(FIT, 0))
 
@@ -306,7 +339,7 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
                 "kind": [kind[:, i:i + EM_TOKENS].tobytes() for i in cuts]}
 
     weights = learn_weights(write_blobs(answered_rows(
-        held, answers.where("pmod(chunk, 2) = 1 AND chunk >= 0").select("chunk", "level", "bucket", "fit"),
+        held, answers.where("pmod(chunk, 2) = 1 AND chunk >= 0").select("chunk", "bucket", "fit"),
         features, "p binary, kind binary"), "estimates"), order)
 
     def finish(chunk: int, batch: pa.RecordBatch, own: pa.Table) -> dict:
@@ -324,7 +357,7 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
         }
 
     scored = answered_rows(
-        chunks, answers.where("chunk >= 0").select("chunk", "level", "bucket", "total"), finish,
+        chunks, answers.where("chunk >= 0").select("chunk", "bucket", "total"), finish,
         StructType([StructField("_key", docs.schema[key].dataType), *RESULT.fields]))
     return scored.select(
         F.col("_key").alias(key),
