@@ -235,7 +235,8 @@ ORACLE = {
           SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders)
         SELECT (i // 5000)::BIGINT AS chunk, 1::BIGINT AS files, (i % 5000)::BIGINT AS place,
                o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey,
-               o_orderstatus, o_orderpriority
+               o_orderstatus, o_totalprice::VARCHAR AS o_totalprice,
+               strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority
         FROM numbered""",
     "parquet_accumulate": """
         SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders""",

@@ -33,7 +33,7 @@ from footfall.streaming import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 ROWS_PER_CHUNK = 5000
 STAR_EXPORTS = [contract.FACT_TABLE, contract.DATE_TABLE, contract.VISITOR_TABLE, contract.CHANNEL_TABLE,
                 contract.PAGE_TABLE]
@@ -91,7 +91,7 @@ def csv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("chunked_export")
 def chunked_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row and column of the chunks, with the chunk and the place in it."""
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
     folder = new_folder(spark, "chunks")
     write_csv(orders.select(*(F.col(c).cast("string").alias(c) for c in ORDER_COLUMNS))
               .orderBy(F.col("o_orderkey").cast("long")), f"{folder}/whole")

@@ -61,7 +61,8 @@ def split_csv(
 
     File number n goes to ``<target>/<chunk_column>=n/``; the last one may be short.  Records are
     copied as text, so ragged rows, empty lines and every field stay as they are.  Files count in
-    name order and must have one header, else ``ValueError``.
+    name order and must have one header, else ``ValueError``, as where a header does not end within
+    the first split of its file.
 
     A file is read in splits, also inside a quoted field of many lines.  One pass finds for each
     split how many records begin in it and whether a quoted field is open at its end, for both
@@ -74,7 +75,7 @@ def split_csv(
     splits = split_index(lines)
     files = splits.groupBy("file").agg((F.max("records") - 1).alias("rows"))
     files = write_aside(running_total(files, "file", "rows", "offset"), "files")
-    known = splits.join(files.select("file", "offset"), "file").drop("records")
+    known = splits.join(files.select("file", "offset"), "file").drop("records", "header")
 
     record = F.col("before") + F.when(F.col("quoted") == 1, F.col("n_in")).otherwise(F.col("n_out")) - 1
     numbered = (
@@ -82,12 +83,9 @@ def split_csv(
         .withColumn("record", F.when(F.col("before").isNull(), F.raise_error(
             F.lit("the files were cut differently in the second pass"))).otherwise(record))
     )
-    headers = (
-        numbered.where("record = 0").groupBy("file")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "seq", "value"))).alias("lines"))
-        .select(F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("header"))
-        .distinct().take(2)
-    )
+    headers = splits.where("start = 0").select("header").distinct().take(2)
+    if any(row.header is None for row in headers):
+        raise ValueError("the header of a file does not end in the file's first split")
     if len(headers) > 1:
         raise ValueError("the files have different headers")
     rows = files.agg(F.sum("rows")).first()[0] or 0

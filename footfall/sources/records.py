@@ -147,21 +147,29 @@ def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple, Run, pa.Rec
             yield split, run, batch.slice(a, b - a), run.seq
 
 
-_STATES = "file string, start long, length long, n_out long, n_in long, end_out int, end_in int"
+_STATES = ("file string, start long, length long, n_out long, n_in long, end_out int, end_in int, "
+           "header string")
 
 
 def _states(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per split: the records that begin in it and how it ends, in both cases."""
+    """One row per split: the records that begin in it and how it ends, in both cases; and of a file's
+    first split the first record, if it ends there."""
     last: dict[tuple, Run] = {}
+    headers: dict[tuple, list[str]] = {}
     for split, run, piece, _ in runs(batches):
-        run.add(piece["value"])
+        n_out, _ = run.add(piece["value"])
         last[split] = run
-    rows = [(*split, *run.begun, *map(int, run.quoted)) for split, run in last.items()]
+        if split[1] == 0 and n_out[0] == 1:
+            first = piece["value"].slice(0, int(np.searchsorted(n_out, 1, side="right")))
+            headers.setdefault(split, []).extend(first.to_pylist())
+    rows = []
+    for split, run in last.items():
+        whole = split in headers and (run.begun[0] > 1 or not run.quoted[0])
+        rows.append((*split, *run.begun, *map(int, run.quoted), "\n".join(headers[split]) if whole else None))
     names = [field.split()[0] for field in _STATES.split(", ")]
+    kinds = {"file": pa.string(), "header": pa.string(), "end_out": pa.int32(), "end_in": pa.int32()}
     yield pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True)) for row in rows],
-                                     schema=pa.schema([(n, pa.string() if n == "file" else pa.int32()
-                                                        if n.startswith("end") else pa.int64())
-                                                       for n in names]))
+                                     schema=pa.schema([(n, kinds.get(n, pa.int64())) for n in names]))
 
 
 def _composed(splits):
@@ -173,7 +181,7 @@ def _composed(splits):
         earlier.append(before)
         before += row.n_in if quoted else row.n_out
         quoted = row.end_in if quoted else row.end_out
-    return splits[SPLIT].assign(quoted=begins, before=earlier, records=before)
+    return splits[[*SPLIT, "header"]].assign(quoted=begins, before=earlier, records=before)
 
 
 def split_lines(spark: SparkSession, *sources: str) -> DataFrame:
@@ -187,13 +195,14 @@ def split_lines(spark: SparkSession, *sources: str) -> DataFrame:
 
 
 def split_index(lines: DataFrame) -> DataFrame:
-    """For each split whether it begins quoted and the file's records before it; and all its records.
+    """For each split whether it begins quoted and the file's records before it; the file's records in all;
+    and for a file's first split its first record, NULL if that goes on in the next one.
 
     One pass over the text, written aside.
     """
     return write_aside(
         lines.mapInArrow(_states, _STATES).groupBy("file").applyInPandas(
-            _composed, "file string, start long, length long, quoted int, before long, records long"),
+            _composed, "file string, start long, length long, header string, quoted int, before long, records long"),
         "splits")
 
 
@@ -269,7 +278,7 @@ def csv_records(spark: SparkSession, *sources: str) -> DataFrame:
     in a scan of their own.
     """
     lines = split_lines(spark, *sources)
-    known = split_index(lines).drop("records")
+    known = split_index(lines).drop("records", "header")
     pieces = lines.mapInArrow(_pieces, _PIECES).join(known, SPLIT, "left")
     cut = (
         pieces.mapInArrow(partial(_records, whole=False), _RECORDS).groupBy("file", "record")

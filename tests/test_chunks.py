@@ -92,6 +92,20 @@ def test_files_must_have_one_header(spark, tmp_path):
         split_csv(spark, f"{tmp_path}/in", f"{tmp_path}/out", 10)
 
 
+def test_headers_of_many_lines_and_one_that_a_split_cuts(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('a,"b\nc ""x"""\n1,2\n3,4\n')
+    split_csv(spark, str(tmp_path / "in.csv"), f"{tmp_path}/out", 1)
+    assert sizes(f"{tmp_path}/out") == [(["a", 'b\nc "x"'], [["1", "2"]]), (["a", 'b\nc "x"'], [["3", "4"]])]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        with pytest.raises(ValueError, match="first split"):
+            split_csv(spark, str(tmp_path / "in.csv"), f"{tmp_path}/out", 1)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet='a,"', max_size=12), st.booleans())
 def test_ends_quoted_as_the_csv_module_reads(line, quoted):
