@@ -94,11 +94,11 @@ def write_blobs(df: DataFrame, purpose: str, compression: str = "snappy") -> Dat
     return df.sparkSession.read.parquet(folder)
 
 
-def bucket_count(spark: SparkSession, n_bytes: int) -> int:
+def bucket_count(spark: SparkSession, n_bytes: int, least: int = LEAST_BUCKET_BYTES) -> int:
     """Buckets of bounded size, and enough of them to level out over the shuffle partitions, unless
-    they would hold next to nothing."""
+    they would hold next to nothing (below ``least``)."""
     even = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(min(even, 1 + n_bytes // LEAST_BUCKET_BYTES), -(-n_bytes // BUCKET_BYTES))
+    return max(min(even, 1 + n_bytes // least), -(-n_bytes // BUCKET_BYTES))
 
 
 def bucket_of(hashes: np.ndarray, n_buckets: int) -> np.ndarray:

@@ -25,6 +25,8 @@ ROUNDS = 12
 #: One in so many training documents gives the held-out counts.
 HELD_PART = 10
 KEY_BYTES = 6
+#: Bytes of text for which a bucket is worth while: smaller ones make more and tinier pieces of a chunk.
+BUCKET_TEXT = 1 << 19
 EM_TOKENS = 1 << 12
 FIT, HELD, OTHER = 0, 1, 2
 
@@ -314,7 +316,7 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     chunks = _role_chunks(rows)
     held = chunks.where("pmod(chunk, 2) = 1")
     size = chunks.agg(F.sum("n_bytes").alias("n_bytes")).first().n_bytes or 0
-    n_buckets = bucket_count(spark, size)
+    n_buckets = bucket_count(spark, size, BUCKET_TEXT)
     n_docs = {r._role: r.n for r in rows.groupBy("_role").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     # the longest n-grams, which are most, by themselves: pieces of both are not on the disks at once
